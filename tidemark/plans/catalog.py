@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("q_dimensions", "q_events")
+_MODULES = ("q_dimensions", "q_events", "q_analytics")
 
 
 def _load():
