@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("q_dimensions", "q_events", "q_analytics", "q_matches", "q_kpi")
+_MODULES = ("q_dimensions", "q_events", "q_analytics", "q_matches", "q_kpi", "q_streaming")
 
 
 def _load():
