@@ -23,14 +23,15 @@ def standardise_columns(df: DataFrame) -> DataFrame:
 
 def parse_dates(df: DataFrame, cols: Sequence[str], fmt: str | None = None) -> DataFrame:
     """Parse text columns to timestamps (bad input -> NULL) and flag rows where parsing failed."""
-    out = df
     failed = None
+    parsed_cols = {}
     for c in cols:
         parsed = F.try_to_timestamp(F.col(c), F.lit(fmt)) if fmt else F.try_to_timestamp(F.col(c))
         bad = F.col(c).isNotNull() & parsed.isNull()
         failed = bad if failed is None else failed | bad
-        out = out.withColumn(c, parsed)
-    return out.withColumn("parse_failed", failed)
+        parsed_cols[c] = parsed
+    # flag from the raw text first, then replace the text by the parsed value
+    return df.withColumn("parse_failed", failed).withColumns(parsed_cols)
 
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
