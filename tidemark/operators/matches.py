@@ -14,12 +14,15 @@ BUCKETS = 16  # fixed value: bucket count of the reference's bucketed match tabl
 KILLING_SPREE = "PROMO"  # stand-in medal name that plays "Killing Spree"
 
 
-def write_bucketed(spark: SparkSession, df: DataFrame, name: str, key: str = "match_id", buckets: int = BUCKETS) -> DataFrame:
+def write_bucketed(
+    spark: SparkSession, df: DataFrame, name: str, key: str = "match_id", buckets: int = BUCKETS,
+    table: str | None = None,
+) -> DataFrame:
     """Write ``df`` as a bucketed, sorted table under the shared staging folder and read it back.
 
     Joins and aggregations on ``key`` between tables bucketed alike need no exchange.
     """
-    table = f"tidemark_{name}_{uuid.uuid4().hex[:10]}"
+    table = table or f"tidemark_{name}_{uuid.uuid4().hex[:10]}"
     (
         df.write.mode("overwrite")
         .bucketBy(buckets, key)

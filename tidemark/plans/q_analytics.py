@@ -83,7 +83,8 @@ def q_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- game facts: dedupe, cube, stretch, streak ---
 
 def deduped_details(t: Tables) -> DataFrame:
-    return keep_first(adapters.game_details(t), ["player_id", "game_id"], list(DETAILS_ORDER))
+    one = keep_first(adapters.box_scores(t), ["player_id", "game_id"], list(DETAILS_ORDER))
+    return adapters.with_player_team(t, one)
 
 
 def game_facts(t: Tables) -> DataFrame:

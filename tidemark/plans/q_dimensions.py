@@ -19,12 +19,14 @@ PLAYER_STATICS = ("college", "country")
 PLAYER_TRACKED = ("scoring_class", "is_active")
 
 
-def _max_season(ps: DataFrame) -> int:
-    return ps.agg(F.max("season")).first()[0]
+def last_season(t: Tables) -> int:
+    """The league's last season: max order year (one-column scan, one scalar to the driver)."""
+    return t.orders.agg(F.max(F.year("o_orderdate"))).first()[0]
 
 
 def players_snapshots(t: Tables, through: int | None = None) -> DataFrame:
     ps = adapters.player_seasons(t)
+    through = last_season(t) if through is None else through
     snap = cumulative_backfill(ps, ["player_name"], "season", PLAYER_STATS, PLAYER_STATICS, through=through)
     return with_scoring_class(snap)
 
@@ -57,7 +59,7 @@ def q_players_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot of the last season = previous season's snapshot + that season's rows (C1)."""
     t = Tables(spark, sf_dir)
     ps = adapters.player_seasons(t)
-    last = _max_season(ps)
+    last = last_season(t)
     prev = cumulative_backfill(ps, ["player_name"], "season", PLAYER_STATS, PLAYER_STATICS, through=last - 1)
     prev = prev.where(F.col("season") == last - 1)
     step = cumulative_step(prev, ps, ["player_name"], "season", PLAYER_STATS, PLAYER_STATICS, as_of=last)
@@ -72,14 +74,16 @@ def _scd_out(df: DataFrame) -> DataFrame:
 
 
 def q_scd_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snaps = players_snapshots(Tables(spark, sf_dir))
-    return _scd_out(scd_backfill(snaps, ["player_name"], "season", PLAYER_TRACKED))
+    t = Tables(spark, sf_dir)
+    last = last_season(t)
+    snaps = players_snapshots(t, last)
+    return _scd_out(scd_backfill(snaps, ["player_name"], "season", PLAYER_TRACKED, as_of=last))
 
 
 def q_scd_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    snaps = players_snapshots(t)
-    last = _max_season(adapters.player_seasons(t))
+    last = last_season(t)
+    snaps = players_snapshots(t, last)
     prior = scd_backfill(snaps, ["player_name"], "season", PLAYER_TRACKED, as_of=last - 1)
     current = snaps.where(F.col("season") == last).withColumnRenamed("season", "current_season")
     return _scd_out(scd_increment(prior, current, ["player_name"], PLAYER_TRACKED, as_of=last))
@@ -101,8 +105,9 @@ def q_scoring_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_season_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entity x every season from its first to the last (range join as explode(sequence))."""
-    ps = adapters.player_seasons(Tables(spark, sf_dir))
-    last = _max_season(ps)
+    t = Tables(spark, sf_dir)
+    ps = adapters.player_seasons(t)
+    last = last_season(t)
     first = ps.groupBy("player_name").agg(F.min("season").alias("first_season"))
     spine = first.select("player_name", F.explode(F.sequence("first_season", F.lit(last))).alias("season"))
     return spine.select("player_name", F.col("season").cast("int"))
@@ -110,14 +115,16 @@ def q_season_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_unnest_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    last_snap = players_snapshots(t).where(F.col("season") == _max_season(adapters.player_seasons(t)))
+    last = last_season(t)
+    last_snap = players_snapshots(t, last).where(F.col("season") == last)
     return history_rows(last_snap, ["player_name"]).select("player_name", F.col("season").cast("int"), *PLAYER_STATS)
 
 
 def q_scoring_improvement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest season's points over the first season's (a zero first value counts as 1)."""
     t = Tables(spark, sf_dir)
-    snap = players_snapshots(t).where(F.col("season") == _max_season(adapters.player_seasons(t)))
+    last = last_season(t)
+    snap = players_snapshots(t, last).where(F.col("season") == last)
     first_pts = arrays.first(F.col("history"))["pts"]
     last_pts = arrays.last(F.col("history"))["pts"]
     return snap.select(
@@ -147,6 +154,7 @@ def actor_years(t: Tables) -> DataFrame:
 
 
 def actors_snapshots(t: Tables, through: int | None = None) -> DataFrame:
+    through = last_season(t) if through is None else through
     snap = cumulative_backfill(
         actor_years(t), ["actorid"], "year", ("films", "n_films", "avg_rating"), ("actor",), through=through
     )
@@ -178,14 +186,16 @@ def _actor_scd_out(df: DataFrame) -> DataFrame:
 
 
 def q_actors_scd_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snaps = actors_snapshots(Tables(spark, sf_dir))
-    return _actor_scd_out(scd_backfill(snaps, ["actorid"], "year", ACTOR_TRACKED))
+    t = Tables(spark, sf_dir)
+    last = last_season(t)
+    snaps = actors_snapshots(t, last)
+    return _actor_scd_out(scd_backfill(snaps, ["actorid"], "year", ACTOR_TRACKED, as_of=last))
 
 
 def q_actors_scd_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    snaps = actors_snapshots(t)
-    last = snaps.agg(F.max("year")).first()[0]
+    last = last_season(t)
+    snaps = actors_snapshots(t, last)
     prior = scd_backfill(snaps, ["actorid"], "year", ACTOR_TRACKED, as_of=last - 1)
     current = snaps.where(F.col("year") == last).withColumnRenamed("year", "current_season")
     return _actor_scd_out(scd_increment(prior, current, ["actorid"], ACTOR_TRACKED, as_of=last))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,26 @@ from ..sources import adapters
 from ..sources.tables import Tables
 
 
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def _staged(spark: SparkSession, t: Tables, name: str, build) -> DataFrame:
+    """Bucketed staging tables are written once per application and source folder, then
+    reused by every query of the session (as a pipeline writes them once and joins many times)."""
+    key = (spark.sparkContext.applicationId, t.sf_dir, name)
+    table = _STAGED.get(key)
+    if table and spark.catalog.tableExists(table):
+        return spark.table(table)
+    table = f"tidemark_{name}_{uuid.uuid4().hex[:10]}"
+    df = write_bucketed(spark, build(t), name, table=table)
+    _STAGED[key] = table
+    return df
+
+
 def bucketed_sources(spark: SparkSession, t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    m = write_bucketed(spark, adapters.matches(t), "matches")
-    md = write_bucketed(spark, adapters.match_details(t), "match_details")
-    mmp = write_bucketed(spark, adapters.medals_matches_players(t), "medals_matches_players")
+    m = _staged(spark, t, "matches", adapters.matches)
+    md = _staged(spark, t, "match_details", adapters.match_details)
+    mmp = _staged(spark, t, "medals_matches_players", adapters.medals_matches_players)
     return m, md, mmp
 
 

@@ -67,12 +67,13 @@ def actor_films(t: Tables) -> DataFrame:
     )
 
 
-def game_details(t: Tables) -> DataFrame:
-    """Box-score rows: game = order, player = supplier, team = supplier's nation, pts = quantity.
+def box_scores(t: Tables) -> DataFrame:
+    """Box-score rows without names: game = order, player = supplier, pts = quantity.
 
-    (player, game) repeats, so keyed dedupe is real. Tie-break columns are kept.
+    (player, game) repeats, so keyed dedupe is real; de-duplicate on this narrow projection
+    and attach names afterwards (``with_player_team``).
     """
-    li = t.lineitem.select(
+    return t.lineitem.select(
         F.col("l_orderkey").alias("game_id"),
         F.col("l_suppkey").alias("player_id"),
         "l_linenumber",
@@ -81,11 +82,20 @@ def game_details(t: Tables) -> DataFrame:
         F.col("l_linestatus").alias("start_position"),
         "l_shipdate",
     )
+
+
+def with_player_team(t: Tables, rows: DataFrame) -> DataFrame:
+    """Attach player name and team (the supplier's nation) to box-score rows."""
     sup = t.supplier.select(
         F.col("s_suppkey").alias("player_id"), F.col("s_name").alias("player_name"), F.col("s_nationkey").alias("team_id")
     )
     nat = t.nation.select(F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("team_abbreviation"))
-    return li.join(sup, "player_id").join(fixed_broadcast(nat), "team_id")  # nation: 25 rows
+    return rows.join(sup, "player_id").join(fixed_broadcast(nat), "team_id")  # nation: 25 rows
+
+
+def game_details(t: Tables) -> DataFrame:
+    """Box-score rows with player and team names (duplicates kept)."""
+    return with_player_team(t, box_scores(t))
 
 
 def game_dates(t: Tables) -> DataFrame:

@@ -56,3 +56,25 @@ def jdbc_writer(url: str, table: str, properties: dict[str, str]) -> Callable[[D
         batch.withColumn("batch_id", F.lit(batch_id)).write.jdbc(url, table, mode="append", properties=properties)
 
     return write
+
+
+def fan_out(queries: dict[str, tuple[DataFrame, str, str]], processing_time: str = DEFAULT_TRIGGER) -> list[StreamingQuery]:
+    """One source, several sinks: an independent query (own checkpoint) per sink, as
+    ``{name: (aggregated_stream, sink_path, checkpoint_path)}``. Each query keeps its own
+    offsets and state, so one sink failing or lagging does not block the others."""
+    return [
+        start_parquet_sink(df, sink, ckpt, processing_time=processing_time, name=name)
+        for name, (df, sink, ckpt) in queries.items()
+    ]
+
+
+def start_kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str,
+                     options: dict[str, str] | None = None) -> StreamingQuery:
+    """Kafka sink for a frame with a ``value`` column (see ``sources.encode_json``)."""
+    w = (
+        df.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+    )
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    return w.start()
