@@ -37,18 +37,33 @@ def rolling_counts(
 
 
 def best_stretch(rows: DataFrame, group: Sequence[str], order: Sequence[str], flag: Column, n: int) -> DataFrame:
-    """Most flagged rows in any ``n`` consecutive rows per group (``rowsBetween(-(n-1), 0)``)."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    hits = rows.select(*group, F.sum(flag.cast("long")).over(w.rowsBetween(-(n - 1), 0)).alias("_in_window"))
-    return hits.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"), F.max("_in_window").alias(f"best_{n}"))
+    """Most flagged rows in any ``n`` consecutive rows per group.
+
+    With C = running count of flags by position, the count in rows (i-n, i] is C[i] - C[i-n];
+    C[i-n] comes from an equi-join on (group, position). Positions and running counts are
+    computed without putting a group in one task (``sequence.running_totals``).
+    """
+    from .sequence import running_totals
+
+    base = rows.select(*group, *order, flag.cast("long").alias("_flag"))
+    c = running_totals(base, group, order, "_flag")
+    back = c.select(*group, (F.col("position") + n).alias("position"), F.col("running").alias("_back"))
+    win = c.join(back, [*group, "position"], "left").select(
+        *group, (F.col("running") - F.coalesce(F.col("_back"), F.lit(0))).alias("_in_window")
+    )
+    return win.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"), F.max("_in_window").alias(f"best_{n}"))
 
 
 def longest_streak(rows: DataFrame, group: Sequence[str], order: Sequence[str], cond: Column) -> DataFrame:
-    """Longest run of consecutive rows meeting ``cond`` per group (gaps and islands:
-    a running count of misses is constant within a run)."""
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = rows.select(*group, cond.alias("_hit"), F.sum(F.when(cond, 0).otherwise(1)).over(w).alias("_island"))
-    runs = marked.where("_hit").groupBy(*group, "_island").agg(F.count(F.lit(1)).alias("_len"))
+    """Longest run of consecutive rows meeting ``cond`` per group (gaps and islands: the running
+    count of misses is constant within a run, so runs are groups of (group, misses so far)).
+    The running count is distributed (``sequence.running_totals``); the run lengths are a
+    plain aggregation that combines map-side."""
+    from .sequence import running_totals
+
+    base = rows.select(*group, *order, F.when(cond, 0).otherwise(1).cast("long").alias("_miss"))
+    marked = running_totals(base, group, order, "_miss")
+    runs = marked.where(F.col("_miss") == 0).groupBy(*group, "running").agg(F.count(F.lit(1)).alias("_len"))
     games = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"))
     best = runs.groupBy(*group).agg(F.max("_len").alias("longest_streak"))
     return games.join(best, list(group), "left").select(
