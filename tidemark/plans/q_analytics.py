@@ -37,15 +37,16 @@ def events_devices(t: Tables, how: str = "inner") -> DataFrame:
 # --- A3 device dashboard ---
 
 def q_device_hits_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events_devices(Tables(spark, sf_dir)).select(
-        *[F.coalesce(F.col(c), F.lit("unknown")).alias(c) for c in ("os_type", "device_type", "browser_type")]
-    )
+    dims = ("os_type", "device_type", "browser_type")
+    ev = events_devices(Tables(spark, sf_dir)).select(*[F.coalesce(F.col(c), F.lit("unknown")).alias(c) for c in dims])
+    # Pre-aggregate to the finest set, so the Expand multiplies one row per combination.
+    finest = ev.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"))
     return cubes.grouping_sets_report(
-        ev,
-        dims=["os_type", "device_type", "browser_type"],
+        finest,
+        dims=list(dims),
         sets=[("os_type", "device_type", "browser_type"), ("browser_type",), ("os_type",), ("device_type",)],
         labels=["os_type__device_type__browser", "browser_type", "os_type", "device_type"],
-        measures=[F.count(F.lit(1)).alias("number_of_hits")],
+        measures=[F.sum("n").cast("long").alias("number_of_hits")],
         fill="(overall)",
     )
 
@@ -107,15 +108,20 @@ def q_game_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     tg = team_games(facts).select("game_id", "team_id", "won", "rep_player")
     credit = F.when(F.col("won") & (F.col("player_id") == F.col("rep_player")), 1).otherwise(0)
     f = facts.join(tg, ["game_id", "team_id"]).withColumn("win_credit", credit)
+    dims = ["player_name", "team_abbreviation", "season"]
+    # Pre-aggregate to the finest grain of all sets (player, team, season) before the Expand.
+    finest = f.groupBy(*dims).agg(
+        F.sum("pts").alias("pts"), F.count(F.lit(1)).alias("n"), F.sum("win_credit").alias("credit")
+    )
     return cubes.grouping_sets_report(
-        f,
-        dims=["player_name", "team_abbreviation", "season"],
+        finest,
+        dims=dims,
         sets=[("player_name", "team_abbreviation"), ("player_name", "season"), ("team_abbreviation",)],
         labels=["player_team", "player_season", "team"],
         measures=[
             F.sum("pts").alias("total_points"),
-            F.count(F.lit(1)).alias("games"),
-            F.sum("win_credit").cast("long").alias("team_wins"),
+            F.sum("n").cast("long").alias("games"),
+            F.sum("credit").cast("long").alias("team_wins"),
         ],
     )
 
