@@ -36,6 +36,11 @@ def write_layouts(
     (e.g. by year of a date).
     """
     reports = []
+    # Materialise the input once in the shared staging folder (cuts its lineage), so each
+    # candidate layout re-reads a table instead of recomputing the upstream plan.
+    staged = staging_path(spark, "layout-input")
+    df.write.mode("overwrite").parquet(staged)
+    df = spark.read.parquet(staged)
     base = df.repartition(partitions, *distribute_by) if distribute_by else df.repartition(partitions)
     for name, order in sort_orders.items():
         path = staging_path(spark, f"layout-{name}")
