@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpoint_dir
+
 
 def running_totals(
     df: DataFrame,
@@ -29,7 +31,12 @@ def running_totals(
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = group + order + [value]
-    ranged = df.select(*cols).repartitionByRange(n, *group, *order).sortWithinPartitions(*group, *order)
+    # Range partitioning samples its input in a separate job and the scan below is read twice
+    # (totals and rows), so the narrow input is materialised once with a reliable checkpoint
+    # (shared spark.checkpoint.dir) instead of re-running the upstream plan three times.
+    checkpoint_dir(spark)
+    narrow = df.select(*cols).checkpoint(eager=True)
+    ranged = narrow.repartitionByRange(n, *group, *order).sortWithinPartitions(*group, *order)
     schema = T.StructType(
         [f for f in ranged.schema.fields]
         + [T.StructField("_pid", T.IntegerType()), T.StructField("_lpos", T.LongType()),
