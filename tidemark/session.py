@@ -44,7 +44,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # not set anywhere
             conf_dir = None
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder (HDFS/S3/...): checkpoints, staging "
+                "tables and stream state must survive the loss of any one machine"
+            )
+        conf_dir = tempfile.mkdtemp(prefix="tidemark-ckpt-")  # local mode only (tests)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
