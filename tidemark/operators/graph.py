@@ -46,18 +46,39 @@ def player_game_edges(details: DataFrame) -> DataFrame:
     )
 
 
-def player_player_edges(details: DataFrame) -> DataFrame:
+def player_player_edges(details: DataFrame, hot_roster: int = 10_000, salt_buckets: int = 16) -> DataFrame:
     """``shares_team`` / ``plays_against`` edges between players of the same game.
 
-    Self equi-join on the game with ``left.player_id > right.player_id`` over a 4-column
-    projection. The join emits the pairs of each game, so its size is the sum of squared
-    roster sizes; rosters are bounded by the game (at most 7 lines per order in the data).
-    A pair can get two rows, one per edge type, when a player changes team.
+    The edges are pairs by definition, so the join emits, per game, the pairs of its roster
+    (sum of squared roster sizes — at most 7 lines per order in the stand-in data), and the
+    output itself grows the same way for a game with a huge roster; nothing is capped. What is
+    avoided is putting such a game in one task: games with more than ``hot_roster`` players
+    are salted — the left side's players spread over ``salt_buckets`` salts, the right side
+    replicated per salt — so their pairs are produced by many tasks. Pairs are then summed
+    per (player, player, edge type) with map-side combining. A pair can get two rows, one per
+    edge type, when a player changes team.
     """
     side = details.select("game_id", "player_id", "team_abbreviation", "pts")
-    a = side.alias("a")
-    b = side.alias("b")
-    pairs = a.join(b, (F.col("a.game_id") == F.col("b.game_id")) & (F.col("a.player_id") > F.col("b.player_id")))
+    rosters = side.groupBy("game_id").agg(F.count(F.lit(1)).alias("_roster"))
+    hot = rosters.where(F.col("_roster") > hot_roster).select("game_id", F.lit(True).alias("_hot"))
+    # hot games number at most rows / hot_roster; checked before broadcasting
+    from ..plans.joins import bounded_broadcast
+
+    marked = side.join(bounded_broadcast(hot, 100_000), "game_id", "left")
+    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    a = marked.select(
+        "game_id", "player_id", "team_abbreviation", "pts",
+        F.when(is_hot, F.abs(F.xxhash64("player_id")) % salt_buckets).otherwise(0).alias("_salt"),
+    ).alias("a")
+    b = marked.select(
+        "game_id", "player_id", "team_abbreviation", "pts",
+        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))).alias("_salt"),
+    ).alias("b")
+    pairs = a.join(
+        b,
+        (F.col("a.game_id") == F.col("b.game_id")) & (F.col("a._salt") == F.col("b._salt"))
+        & (F.col("a.player_id") > F.col("b.player_id")),
+    )
     edge_type = F.when(F.col("a.team_abbreviation") == F.col("b.team_abbreviation"), "shares_team").otherwise(
         "plays_against"
     )
