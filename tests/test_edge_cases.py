@@ -137,3 +137,17 @@ def test_player_pairs_salted_hot_games_equal_plain(spark):
     assertDataFrameEqual(salted, plain)
     # rosters 0..1, 0..4, 0..7 are nested, so the distinct pairs are those of the largest game
     assert plain.groupBy("subject_identifier", "object_identifier").count().count() == 8 * 7 // 2
+
+
+def test_rollups_share_one_persisted_aggregate(spark, tables):
+    from tidemark.operators.rollups import Rollups
+    from tidemark.sources import adapters
+
+    with Rollups(adapters.web_events(tables), adapters.devices(tables)) as r:
+        users = r.users().agg(F.sum("total_hits")).first()[0]
+        devices = r.devices_().agg(F.sum("total_hits")).first()[0]
+        assert r.agg.is_cached
+    assert not r.agg.is_cached
+    n_events = adapters.web_events(tables).count()
+    assert users == n_events
+    assert devices <= n_events  # events of devices outside the dimension have no device row
