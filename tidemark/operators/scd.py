@@ -38,8 +38,9 @@ def scd_backfill(
     streaks = flagged.withColumn(
         "_streak", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    out = streaks.groupBy(*keys, "_streak").agg(
-        *[F.max(c).alias(c) for c in tracked],  # constant (null-safe) within a streak
+    # Tracked values are constant (null-safe) within a streak, so they join the grouping key:
+    # the aggregate is then min/max of the period only (hash aggregation, no extra sort).
+    out = streaks.groupBy(*keys, "_streak", *tracked).agg(
         F.min(time_col).alias(start_col),
         F.max(time_col).alias(end_col),
     )
