@@ -151,3 +151,16 @@ def test_rollups_share_one_persisted_aggregate(spark, tables):
     n_events = adapters.web_events(tables).count()
     assert users == n_events
     assert devices <= n_events  # events of devices outside the dimension have no device row
+
+
+def test_all_string_csv_with_day_column(spark):
+    import tempfile
+
+    from tidemark.sources.files import read_csv_text, write_csv
+
+    path = tempfile.mkdtemp(prefix="tidemark-csv-") + "/events"
+    src = spark.createDataFrame([("1", "2024-01-02 10:00:00"), ("2", "not a time")], "id string, event_time string")
+    write_csv(src, path)
+    out = read_csv_text(spark, path, "event_time").orderBy("id").collect()
+    assert [r["event_date"] for r in out] == [dt.date(2024, 1, 2), None]
+    assert dict(read_csv_text(spark, path, "event_time").dtypes)["id"] == "string"

@@ -18,7 +18,7 @@ def standardise_columns(df: DataFrame) -> DataFrame:
     new = [standard_name(c) for c in df.columns]
     if len(set(new)) != len(new):
         raise ValueError(f"column names collide after standardisation: {new}")
-    return df.toDF(*new)
+    return df.withColumnsRenamed({old: n for old, n in zip(df.columns, new) if old != n})
 
 
 def parse_dates(df: DataFrame, cols: Sequence[str], fmt: str | None = None) -> DataFrame:

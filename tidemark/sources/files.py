@@ -16,6 +16,15 @@ def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = False) -
     return reader.option("inferSchema", infer).csv(path)
 
 
+def read_csv_text(spark: SparkSession, path: str, ts_col: str, day_col: str = "event_date") -> DataFrame:
+    """All-string CSV (no inference) plus a day column derived from a timestamp text column;
+    unparsable text gives NULL rather than failing the job."""
+    from pyspark.sql import functions as F
+
+    df = spark.read.option("header", True).csv(path)
+    return df.withColumn(day_col, F.to_date(F.try_to_timestamp(F.col(ts_col))))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
