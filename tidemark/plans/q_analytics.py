@@ -62,9 +62,13 @@ def q_rolling_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = channel_events(Tables(spark, sf_dir))
     daily = ev.groupBy("referrer", "url", "event_date").agg(F.count(F.lit(1)).alias("num_hits"))
     out = trends.rolling_counts(daily, ["referrer", "url"], "event_date", "num_hits", TREND_MIN_TOTAL)
+    # previous_week_count is NULL for the first week (no rows in the frame): carried as a
+    # double so missing values stay NULL/NaN rather than turning a count column into floats
+    # on some rows only.
     return out.where(F.col("referrer").isNotNull()).select(
         "referrer", "url", _s("event_date"), "num_hits", "month_total", "running_total", "total",
-        "weekly_rolling_count", "previous_week_count", "pct_of_month", "pct_of_total",
+        "weekly_rolling_count", F.col("previous_week_count").cast("double").alias("previous_week_count"),
+        "pct_of_month", "pct_of_total",
     )
 
 
@@ -110,6 +114,8 @@ def q_game_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = facts.join(tg, ["game_id", "team_id"]).withColumn("win_credit", credit)
     dims = ["player_name", "team_abbreviation", "season"]
     # Pre-aggregate to the finest grain of all sets (player, team, season) before the Expand.
+    # Dimensions are labels: season as text, rolled-up dimensions shown as '(overall)'.
+    f = f.withColumn("season", F.col("season").cast("string"))
     finest = f.groupBy(*dims).agg(
         F.sum("pts").alias("pts"), F.count(F.lit(1)).alias("n"), F.sum("win_credit").alias("credit")
     )
@@ -123,6 +129,7 @@ def q_game_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("n").cast("long").alias("games"),
             F.sum("credit").cast("long").alias("team_wins"),
         ],
+        fill="(overall)",
     )
 
 
@@ -380,7 +387,7 @@ win AS (
 SELECT referrer, url, CAST(event_date AS VARCHAR) AS event_date, num_hits, CAST(month_total AS BIGINT) AS month_total,
        CAST(running_total AS BIGINT) AS running_total, CAST(total AS BIGINT) AS total,
        CAST(weekly_rolling_count AS BIGINT) AS weekly_rolling_count,
-       CAST(previous_week_count AS BIGINT) AS previous_week_count,
+       CAST(previous_week_count AS DOUBLE) AS previous_week_count,
        CAST(num_hits AS DOUBLE) / CAST(month_total AS DOUBLE) AS pct_of_month,
        CAST(num_hits AS DOUBLE) / CAST(total AS DOUBLE) AS pct_of_total
 FROM win WHERE total > 30 AND referrer IS NOT NULL""",
@@ -405,8 +412,10 @@ gf AS (SELECT f.*, CASE WHEN t.won AND f.player_id = t.rep THEN 1 ELSE 0 END AS
 SELECT CASE WHEN GROUPING(player_name) = 0 AND GROUPING(team_abbreviation) = 0 THEN 'player_team'
             WHEN GROUPING(player_name) = 0 AND GROUPING(season) = 0 THEN 'player_season'
             ELSE 'team' END AS aggregation_level,
-       player_name, team_abbreviation, season, SUM(pts) AS total_points, COUNT(*) AS games,
-       CAST(SUM(win_credit) AS BIGINT) AS team_wins
+       COALESCE(player_name, '(overall)') AS player_name,
+       COALESCE(team_abbreviation, '(overall)') AS team_abbreviation,
+       COALESCE(CAST(season AS VARCHAR), '(overall)') AS season,
+       SUM(pts) AS total_points, COUNT(*) AS games, CAST(SUM(win_credit) AS BIGINT) AS team_wins
 FROM gf GROUP BY GROUPING SETS ((player_name, team_abbreviation), (player_name, season), (team_abbreviation))""",
     "best_90_game_stretch": f"""WITH {GAMES}
 SELECT team_abbreviation, COUNT(*) AS games, CAST(MAX(w) AS BIGINT) AS best_90_game_wins FROM (
