@@ -164,3 +164,18 @@ def test_all_string_csv_with_day_column(spark):
     out = read_csv_text(spark, path, "event_time").orderBy("id").collect()
     assert [r["event_date"] for r in out] == [dt.date(2024, 1, 2), None]
     assert dict(read_csv_text(spark, path, "event_time").dtypes)["id"] == "string"
+
+
+def test_cumulative_keep_last_caps_history_only(spark):
+    from tidemark.operators.cumulative import cumulative_backfill, cumulative_step
+
+    facts = spark.createDataFrame([("a", s, float(s)) for s in (1, 2, 3, 5)], "k string, season int, pts double")
+    full = cumulative_backfill(facts, ["k"], "season", ["pts"], through=5)
+    short = cumulative_backfill(facts, ["k"], "season", ["pts"], through=5, keep_last=2)
+    row = short.where("season = 5").first()
+    assert [h["season"] for h in row["history"]] == [3, 5]
+    assert [h["season"] for h in short.where("season = 1").first()["history"]] == [1]  # shorter than N
+    assert row["is_active"] and row["last_active"] == 5
+    assert short.count() == full.count()
+    step = cumulative_step(short.where("season = 4"), facts, ["k"], "season", ["pts"], [], as_of=5, keep_last=2)
+    assert [h["season"] for h in step.first()["history"]] == [3, 5]

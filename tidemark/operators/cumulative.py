@@ -28,6 +28,7 @@ def cumulative_backfill(
     static_cols: Sequence[str] = (),
     through: int | None = None,
     history: str = "history",
+    keep_last: int | None = None,
 ) -> DataFrame:
     """All snapshots at once: one row per (keys, period) from the entity's first period to ``through``.
 
@@ -35,6 +36,8 @@ def cumulative_backfill(
     One shuffle (group by entity); the per-entity array is bounded by the number of periods.
     Output: keys, statics, ``time_col``, ``history`` (array of structs, oldest first),
     ``last_active``, ``is_active``, ``periods_since_last_active``.
+    Every row carries its history, so storage is quadratic in periods per entity; ``keep_last``
+    keeps only the latest N entries per row (default: the whole history).
     """
     if through is None:
         through = facts.agg(F.max(time_col)).first()[0]  # one scalar to the driver
@@ -49,11 +52,19 @@ def cumulative_backfill(
         *keys,
         *static_cols,
         F.col(time_col).cast("int").alias(time_col),
-        F.filter("_all", lambda r: r[time_col] <= F.col(time_col)).alias(history),
+        _keep(F.filter("_all", lambda r: r[time_col] <= F.col(time_col)), keep_last).alias(history),
     )
     return _with_activity(out, time_col, history)
 
 
+def _keep(hist: Column, keep_last: int | None) -> Column:
+    """Last ``keep_last`` entries (a negative ``slice`` start past the front gives [], so the
+    start is computed from the size)."""
+    if keep_last is None:
+        return hist
+    return F.slice(hist, F.greatest(F.size(hist) - keep_last + 1, F.lit(1)), F.lit(keep_last))
+
+
 def _with_activity(df: DataFrame, time_col: str, history: str) -> DataFrame:
     last_active = arrays.last(F.col(history))[time_col]
     return (
@@ -72,6 +83,7 @@ def cumulative_step(
     static_cols: Sequence[str],
     as_of: int,
     history: str = "history",
+    keep_last: int | None = None,
 ) -> DataFrame:
     """Merge period ``as_of`` (rows of ``today`` with ``time_col == as_of``) into ``previous``.
 
@@ -95,7 +107,7 @@ def cumulative_step(
         *keys,
         *[F.coalesce(f"_p_{c}", f"_t_{c}").alias(c) for c in static_cols],
         F.lit(as_of).cast("int").alias(time_col),
-        arrays.append_if(F.col("_p_hist"), present, rec, hist_type).alias(history),
+        _keep(arrays.append_if(F.col("_p_hist"), present, rec, hist_type), keep_last).alias(history),
     )
     return _with_activity(out, time_col, history)
 
