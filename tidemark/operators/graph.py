@@ -46,26 +46,30 @@ def player_game_edges(details: DataFrame) -> DataFrame:
     )
 
 
-def player_player_edges(details: DataFrame, hot_roster: int = 10_000, salt_buckets: int = 16) -> DataFrame:
+def player_player_edges(details: DataFrame, hot_roster: int | None = None, salt_buckets: int = 16) -> DataFrame:
     """``shares_team`` / ``plays_against`` edges between players of the same game.
 
     The edges are pairs by definition, so the join emits, per game, the pairs of its roster
     (sum of squared roster sizes — at most 7 lines per order in the stand-in data), and the
     output itself grows the same way for a game with a huge roster; nothing is capped. What is
-    avoided is putting such a game in one task: games with more than ``hot_roster`` players
-    are salted — the left side's players spread over ``salt_buckets`` salts, the right side
-    replicated per salt — so their pairs are produced by many tasks. Pairs are then summed
-    per (player, player, edge type) with map-side combining. A pair can get two rows, one per
-    edge type, when a player changes team.
+    avoided is putting such a game in one task. By default AQE's skew join does it: a join
+    partition far above the median is split on both sides and the pieces are joined by
+    separate tasks. With ``hot_roster`` set, games with more players than that are salted
+    explicitly — the left side's players spread over ``salt_buckets`` salts, the right side
+    replicated per salt — at the cost of one more aggregation pass (roster sizes). Pairs are
+    then summed per (player, player, edge type) with map-side combining. A pair can get two
+    rows, one per edge type, when a player changes team.
     """
     side = details.select("game_id", "player_id", "team_abbreviation", "pts")
-    rosters = side.groupBy("game_id").agg(F.count(F.lit(1)).alias("_roster"))
-    hot = rosters.where(F.col("_roster") > hot_roster).select("game_id", F.lit(True).alias("_hot"))
-    # hot games number at most rows / hot_roster; checked before broadcasting
-    from ..plans.joins import bounded_broadcast
-
-    marked = side.join(bounded_broadcast(hot, 100_000), "game_id", "left")
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    if hot_roster is None:
+        marked, is_hot = side, F.lit(False)
+    else:
+        rosters = side.groupBy("game_id").agg(F.count(F.lit(1)).alias("_roster"))
+        hot = rosters.where(F.col("_roster") > hot_roster).select("game_id", F.lit(True).alias("_hot"))
+        # The hot list is the output of an aggregate: AQE sees its real size at runtime and
+        # broadcasts it only when it is small.
+        marked = side.join(hot, "game_id", "left")
+        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     a = marked.select(
         "game_id", "player_id", "team_abbreviation", "pts",
         F.when(is_hot, F.abs(F.xxhash64("player_id")) % salt_buckets).otherwise(0).alias("_salt"),
