@@ -64,3 +64,28 @@ def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:
     """(sink path, checkpoint location) for one streaming query run."""
     root = staging_path(spark, f"stream-{name}")
     return os.path.join(root, "sink"), os.path.join(root, "checkpoint")
+
+
+def cluster_conf(input_tb: float = 100.0, partition_mb: int = 256) -> dict[str, str]:
+    """Suggested session settings for a large cluster (pass to ``SparkSession.builder.config``).
+
+    Shuffle partitions are sized so a partition of the largest shuffle is about
+    ``partition_mb`` before AQE coalesces small ones; skew join and coalescing stay on;
+    broadcasts are limited to small sides; large streaming state goes to RocksDB.
+    ``spark.checkpoint.dir`` must name a shared folder and is left to the cluster.
+    """
+    shuffle_partitions = max(200, int(input_tb * 1024 * 1024 / partition_mb))
+    size = f"{partition_mb}m"
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.sources.bucketing.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
