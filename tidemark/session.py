@@ -66,15 +66,19 @@ def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:
     return os.path.join(root, "sink"), os.path.join(root, "checkpoint")
 
 
-def cluster_conf(input_tb: float = 100.0, partition_mb: int = 256) -> dict[str, str]:
+def cluster_conf(
+    input_tb: float = 100.0, partition_mb: int = 256, shuffle_fraction: float = 0.2, max_partitions: int = 100_000
+) -> dict[str, str]:
     """Suggested session settings for a large cluster (pass to ``SparkSession.builder.config``).
 
-    Shuffle partitions are sized so a partition of the largest shuffle is about
-    ``partition_mb`` before AQE coalesces small ones; skew join and coalescing stay on;
-    broadcasts are limited to small sides; large streaming state goes to RocksDB.
-    ``spark.checkpoint.dir`` must name a shared folder and is left to the cluster.
+    Shuffle partitions are sized so a partition of the largest shuffle (``shuffle_fraction``
+    of the input after pruning and map-side combining) is about ``partition_mb`` before AQE
+    coalesces small ones, capped to keep map-status bookkeeping on the driver reasonable; skew
+    join and coalescing stay on; broadcasts are limited to small sides; large streaming state
+    goes to RocksDB. ``spark.checkpoint.dir`` must name a shared folder and is left to the cluster.
     """
-    shuffle_partitions = max(200, int(input_tb * 1024 * 1024 / partition_mb))
+    wanted = int(input_tb * shuffle_fraction * 1024 * 1024 / partition_mb)
+    shuffle_partitions = min(max(200, wanted), max_partitions)
     size = f"{partition_mb}m"
     return {
         "spark.sql.adaptive.enabled": "true",
