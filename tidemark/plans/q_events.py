@@ -139,7 +139,8 @@ def array_metrics_state(t: Tables, d: dt.date) -> DataFrame:
     if y.month == d.month:
         prev = am.monthly_array_backfill(daily, ["user_id"], "event_date", ["num_hits"], y, fill=0)
     else:
-        prev = am.monthly_array_backfill(daily.limit(0), ["user_id"], "event_date", ["num_hits"], y, fill=0)
+        # first day of a month: yesterday's state holds no rows of this month
+        prev = am.monthly_array_backfill(daily.where(F.lit(False)), ["user_id"], "event_date", ["num_hits"], y, fill=0)
     today = daily.where(F.col("event_date") == F.lit(d))
     step = am.monthly_array_step(prev, today, ["user_id"], "num_hits", d, fill=0)
     return am.upsert(_metric_rows(prev), _metric_rows(step), ["user_id", "month_start", "metric_name"])
