@@ -96,3 +96,29 @@ def test_session_windows_merge_within_gap(spark):
     )
     counts = sorted(r["n_events"] for r in out.collect())
     assert counts == [1, 3]  # the session starting at 40 is still open (not emitted)
+
+
+def test_fan_out_two_sinks_from_one_source(spark):
+    root = tempfile.mkdtemp(prefix="tidemark-stream-")
+    src = os.path.join(root, "src")
+    os.makedirs(src)
+    _write(src, "f1.parquet", [0, 1, 6, 12, 30])
+    stream = (
+        spark.readStream.schema("ts timestamp_ntz, host string").parquet(src)
+        .withColumn("event_time", F.col("ts").cast("timestamp"))
+    )
+    per_host = windows.tumbling_counts(stream, "event_time", ["host"], "host")
+    sessions = windows.session_counts(stream, "event_time", ["host"])
+    qs = runner.fan_out({
+        "fan_hosts": (per_host, os.path.join(root, "s1"), os.path.join(root, "c1")),
+        "fan_sessions": (sessions, os.path.join(root, "s2"), os.path.join(root, "c2")),
+    }, processing_time="1 second")
+    try:
+        for q in qs:
+            q.processAllAvailable()
+        read = [sum(p["numInputRows"] for p in q.recentProgress) for q in qs]
+    finally:
+        for q in qs:
+            q.stop()
+    assert read == [5, 5]  # each query read the whole source once, with its own offsets
+    assert os.path.isdir(os.path.join(root, "c1", "offsets")) and os.path.isdir(os.path.join(root, "c2", "offsets"))
