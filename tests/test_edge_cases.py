@@ -179,3 +179,16 @@ def test_cumulative_keep_last_caps_history_only(spark):
     assert short.count() == full.count()
     step = cumulative_step(short.where("season = 4"), facts, ["k"], "season", ["pts"], [], as_of=5, keep_last=2)
     assert [h["season"] for h in step.first()["history"]] == [3, 5]
+
+
+def test_insert_into_matches_columns_by_name(spark):
+    import tempfile
+    import uuid
+
+    from tidemark.sources.files import insert_into
+
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame([(1, "a")], "id long, label string").write.option(
+        "path", tempfile.mkdtemp(prefix="tidemark-tbl-") + "/t").saveAsTable(name)
+    insert_into(spark.createDataFrame([("b", 2)], "label string, id long"), name, overwrite=True)
+    assert [tuple(r) for r in spark.table(name).collect()] == [(2, "b")]
