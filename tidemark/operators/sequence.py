@@ -18,24 +18,54 @@ from pyspark.sql import types as T
 from ..session import checkpoint_dir
 
 
+# Groups up to this many rows are sorted in one task (window form); larger ones are spread.
+MAX_WINDOW_ROWS = 2_000_000
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (cuts the lineage, so the
+    size check and the scans below do not re-run the upstream plan)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Row count of the largest group (an aggregate that combines map-side; one scalar back)."""
+    return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+
+
 def running_totals(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[str],
     value: str,
     partitions: int | None = None,
+    max_window_rows: int = MAX_WINDOW_ROWS,
+    materialized: bool = False,
 ) -> DataFrame:
     """Add ``position`` (1-based within the group) and ``running`` (sum of ``value`` up to and
-    including the row). ``order`` must be a total order within the group; ``value`` integral."""
+    including the row). ``order`` must be a total order within the group; ``value`` integral.
+
+    The input is materialised once; when its largest group has at most ``max_window_rows``
+    rows the plain window form is used (one sort per group), otherwise the distributed form.
+    """
     group, order = list(group), list(order)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = group + order + [value]
-    # Range partitioning samples its input in a separate job and the scan below is read twice
-    # (totals and rows), so the narrow input is materialised once with a reliable checkpoint
-    # (shared spark.checkpoint.dir) instead of re-running the upstream plan three times.
-    checkpoint_dir(spark)
-    narrow = df.select(*cols).checkpoint(eager=True)
+    narrow = df.select(*cols) if materialized else materialize(df.select(*cols))
+    if max_window_rows >= 0 and largest_group(narrow, group) <= max_window_rows:
+        w = Window.partitionBy(*group).orderBy(*order)
+        return narrow.select(
+            *cols,
+            F.row_number().over(w).cast("long").alias("position"),
+            F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long").alias("running"),
+        )
+    return _distributed_running_totals(narrow, group, order, value, n)
+
+
+def _distributed_running_totals(narrow: DataFrame, group: list[str], order: list[str], value: str, n: int) -> DataFrame:
+    """Range partition on (group, order), scan each partition once in order, add offsets."""
     ranged = narrow.repartitionByRange(n, *group, *order).sortWithinPartitions(*group, *order)
     schema = T.StructType(
         [f for f in ranged.schema.fields]
