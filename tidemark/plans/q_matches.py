@@ -18,7 +18,8 @@ _STAGED: dict[tuple[str, str, str], str] = {}
 
 def _staged(spark: SparkSession, t: Tables, name: str, build) -> DataFrame:
     """Bucketed staging tables are written once per application and source folder, then
-    reused by every query of the session (as a pipeline writes them once and joins many times)."""
+    reused by every query of the session (as a pipeline writes them once and joins many times).
+    Source folders are treated as immutable snapshots: new data comes in a new folder."""
     key = (spark.sparkContext.applicationId, t.sf_dir, name)
     table = _STAGED.get(key)
     if table and spark.catalog.tableExists(table):
