@@ -135,7 +135,10 @@ def q_scoring_improvement(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- actors (C7-C9): films array, quality class from the latest year's average rating ---
+# --- actors (C7-C9): yearly film summary, quality class from the latest year's average rating ---
+# The reference keeps every film in an array on the actor row. One actor-year can hold a large
+# share of all films, so the history keeps a bounded summary per year (count, average rating,
+# top-rated film); the film rows themselves stay in actor_films, keyed by (actorid, filmid).
 
 ACTOR_TRACKED = ("quality_class", "is_active")
 
@@ -144,11 +147,11 @@ def actor_years(t: Tables) -> DataFrame:
     films = adapters.actor_films(t)
     rating_milli = F.round(F.col("rating") * 1000).cast("long")
     return films.groupBy("actorid", "actor", "year").agg(
-        F.array_sort(F.collect_list(F.struct("filmid", "film", "votes", "rating"))).alias("films"),
+        F.max_by("filmid", F.struct(rating_milli, F.col("filmid").cast("long"))).alias("top_film"),
         F.count(F.lit(1)).alias("n_films"),
         F.sum(rating_milli).alias("_rating_sum"),
     ).select(
-        "actorid", "actor", "year", "films", "n_films",
+        "actorid", "actor", "year", "top_film", "n_films",
         (idiv(F.col("_rating_sum"), F.col("n_films")).cast("double") / 1000).alias("avg_rating"),
     )
 
@@ -156,7 +159,7 @@ def actor_years(t: Tables) -> DataFrame:
 def actors_snapshots(t: Tables, through: int | None = None) -> DataFrame:
     through = last_season(t) if through is None else through
     snap = cumulative_backfill(
-        actor_years(t), ["actorid"], "year", ("films", "n_films", "avg_rating"), ("actor",), through=through
+        actor_years(t), ["actorid"], "year", ("top_film", "n_films", "avg_rating"), ("actor",), through=through
     )
     last = arrays.last(F.col("history"))
     return snap.withColumn("quality_class", threshold_class(last["avg_rating"], ACTOR_THRESHOLDS))
@@ -170,7 +173,7 @@ def q_actors_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
         "actor",
         F.col("year").cast("int"),
         F.aggregate("history", F.lit(0).cast("long"), lambda acc, h: acc + h["n_films"]).alias("n_films"),
-        arrays.join_values(F.transform(last["films"], lambda f: f["filmid"])).alias("last_year_films"),
+        last["top_film"].alias("last_year_top_film"),
         last["avg_rating"].alias("last_avg_rating"),
         "quality_class",
         "is_active",
@@ -284,11 +287,16 @@ af AS (
          CAST(round(o.o_totalprice * 100) AS BIGINT) // 5000 AS rating_milli
   FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
 ),
+top AS (
+  SELECT actorid, year, filmid AS top_film FROM (
+    SELECT actorid, year, filmid,
+           ROW_NUMBER() OVER (PARTITION BY actorid, year ORDER BY rating_milli DESC, CAST(filmid AS BIGINT) DESC) AS rn
+    FROM af) WHERE rn = 1
+),
 ay AS (
-  SELECT actorid, actor, year, COUNT(*) AS n_films,
-         CAST(SUM(rating_milli) // COUNT(*) AS DOUBLE) / 1000 AS avg_rating,
-         string_agg(filmid, ',' ORDER BY filmid) AS films
-  FROM af GROUP BY 1, 2, 3
+  SELECT a.actorid, a.actor, a.year, COUNT(*) AS n_films,
+         CAST(SUM(a.rating_milli) // COUNT(*) AS DOUBLE) / 1000 AS avg_rating, t.top_film
+  FROM af a JOIN top t ON t.actorid = a.actorid AND t.year = a.year GROUP BY a.actorid, a.actor, a.year, t.top_film
 ),
 last_year AS (SELECT MAX(year) AS y FROM ay),
 aspine AS (
@@ -301,7 +309,7 @@ aplayed AS (
   FROM aspine s JOIN ay a ON a.actorid = s.actorid AND a.year <= s.year GROUP BY 1, 2
 ),
 asnap AS (
-  SELECT p.actorid, l.actor, p.year, CAST(p.n_films AS BIGINT) AS n_films, l.films AS last_year_films,
+  SELECT p.actorid, l.actor, p.year, CAST(p.n_films AS BIGINT) AS n_films, l.top_film AS last_year_top_film,
          l.avg_rating AS last_avg_rating,
          CASE WHEN l.avg_rating > 8 THEN 'star' WHEN l.avg_rating > 7 THEN 'good'
               WHEN l.avg_rating > 6 THEN 'average' ELSE 'bad' END AS quality_class,
@@ -344,7 +352,7 @@ SELECT player_name, first_pts, last_pts,
        last_pts / CASE WHEN first_pts = 0 THEN 1.0 ELSE first_pts END AS improvement
 FROM snap WHERE season = (SELECT s FROM last_season)""",
     "actors_cumulative": f"""WITH {ACTOR_YEARS_CTE}
-SELECT actorid, actor, year, n_films, last_year_films, last_avg_rating, quality_class, is_active FROM asnap""",
+SELECT actorid, actor, year, n_films, last_year_top_film, last_avg_rating, quality_class, is_active FROM asnap""",
     "actors_scd_backfill": SCD_ACTORS,
     "actors_scd_incremental": SCD_ACTORS,
 }
