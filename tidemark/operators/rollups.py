@@ -15,12 +15,14 @@ def events_aggregated(events: DataFrame) -> DataFrame:
 
 
 def user_device_rollup(agg: DataFrame) -> DataFrame:
-    """Per user: devices used and hit totals, from the aggregate only (D14)."""
+    """Per user: device count and hit totals, from the aggregate only (D14). No device list:
+    a user's devices are not bounded (one client can rotate through any number of ids); the
+    (user, device) rows of ``events_aggregated`` are the list."""
     return agg.groupBy("user_id").agg(
         F.sum("event_counts").alias("total_hits"),
         F.max("event_counts").alias("max_device_hits"),
         F.count(F.lit(1)).alias("n_devices"),
-        F.sort_array(F.collect_list("device_id")).alias("devices"),
+        F.min("device_id").alias("first_device_id"),
     )
 
 

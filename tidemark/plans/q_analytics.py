@@ -266,7 +266,7 @@ def q_events_aggregated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_user_device_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = rollups.events_aggregated(adapters.web_events(Tables(spark, sf_dir)))
     r = rollups.user_device_rollup(agg)
-    return r.select("user_id", "total_hits", "max_device_hits", "n_devices", arrays.join_values(F.col("devices")).alias("devices"))
+    return r.select("user_id", "total_hits", "max_device_hits", "n_devices", "first_device_id")
 
 
 def q_device_user_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -480,7 +480,7 @@ ORDER BY pc.revenue_e4 DESC, pc.o_custkey LIMIT 10""",
     "events_aggregated": f"WITH {WEB}, {AGG} SELECT * FROM agg",
     "user_device_rollup": f"""WITH {WEB}, {AGG}
 SELECT user_id, CAST(SUM(event_counts) AS BIGINT) AS total_hits, MAX(event_counts) AS max_device_hits,
-       COUNT(*) AS n_devices, string_agg(CAST(device_id AS VARCHAR), ',' ORDER BY device_id) AS devices
+       COUNT(*) AS n_devices, MIN(device_id) AS first_device_id
 FROM agg GROUP BY 1""",
     "device_user_rollup": f"""WITH {WEB}, {AGG}
 SELECT a.device_id, d.device_type, COUNT(*) AS n_users, CAST(SUM(a.event_counts) AS BIGINT) AS total_hits
