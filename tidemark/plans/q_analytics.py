@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import arrays
 from ..functions.classify import STANDIN_REFERRER_RULES, pattern_class
 from ..functions.numeric import cents
 from ..operators import cubes, graph, rollups, trends
