@@ -192,3 +192,16 @@ def test_insert_into_matches_columns_by_name(spark):
         "path", tempfile.mkdtemp(prefix="tidemark-tbl-") + "/t").saveAsTable(name)
     insert_into(spark.createDataFrame([("b", 2)], "label string, id long"), name, overwrite=True)
     assert [tuple(r) for r in spark.table(name).collect()] == [(2, "b")]
+
+
+def test_keep_first_methods_agree(spark, tables):
+    from tidemark.plans.q_analytics import DETAILS_ORDER
+    from tidemark.sources import adapters
+
+    bs = adapters.box_scores(tables)
+    a = keep_first(bs, ["player_id", "game_id"], list(DETAILS_ORDER))
+    w = keep_first(bs, ["player_id", "game_id"], list(DETAILS_ORDER), method="window")
+    assertDataFrameEqual(a, w)
+    d1 = keep_first(bs, ["player_id", "game_id"], list(DETAILS_ORDER), descending=True)
+    d2 = keep_first(bs, ["player_id", "game_id"], list(DETAILS_ORDER), descending=True, method="window")
+    assertDataFrameEqual(d1, d2)
