@@ -63,3 +63,11 @@ def test_bounded_broadcast_respects_bound(spark):
     with broadcast_threshold(spark, "-1"):
         assert "BroadcastHashJoin" in plan(joined_small)
         assert "BroadcastHashJoin" not in plan(spark.range(1000).join(bounded_broadcast(big, 50), "id"))
+
+
+def test_predicate_in_join_condition_reaches_the_scan(spark, tables):
+    orders = tables.orders.select("o_orderkey", "o_orderdate")
+    items = tables.lineitem.select("l_orderkey", "l_quantity")
+    cond = (items.l_orderkey == orders.o_orderkey) & (orders.o_orderdate >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    p = plan(items.join(orders, cond))
+    assert "GreaterThanOrEqual(o_orderdate" in p  # pushed into the orders scan (J11)
