@@ -40,3 +40,12 @@ def test_assignment_is_stable_and_balanced(spark):
     other = ex.assign(units, "user_id", "exp_b")
     agree = a1.join(other, "user_id").where(a1.variant == other.variant).count() / 20000
     assert 0.45 < agree < 0.55  # independent salts per experiment
+
+
+def test_readout_degenerate_cells_give_null_not_error(spark):
+    cells = spark.createDataFrame(
+        [("control", 10, 0, 0.0, 0.0, 0.0), ("treatment", 10, 0, 0.0, 0.0, 0.0)],
+        "variant string, n_units long, n_converted long, conversion_rate double, mean_value double, var_value double",
+    )
+    rows = {r["metric"]: r for r in ex.readout(cells).collect()}
+    assert rows["signup_rate"]["statistic"] is None or rows["signup_rate"]["statistic"] != rows["signup_rate"]["statistic"]

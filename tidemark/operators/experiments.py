@@ -102,9 +102,11 @@ def readout(cells: DataFrame) -> DataFrame:
     nc, nt = F.col("c_n_units").cast("double"), F.col("t_n_units").cast("double")
     pc, pt = F.col("c_conversion_rate"), F.col("t_conversion_rate")
     pooled = (F.col("c_n_converted") + F.col("t_n_converted")).cast("double") / (nc + nt)
-    z_conv = (pt - pc) / F.sqrt(pooled * (1 - pooled) * (1 / nc + 1 / nt))
-    t_val = (F.col("t_mean_value") - F.col("c_mean_value")) / F.sqrt(
-        F.col("c_var_value") / nc + F.col("t_var_value") / nt
+    # try_divide: a degenerate cell (no conversions, zero variance) gives a NULL statistic
+    # instead of failing the job under ANSI division rules
+    z_conv = F.try_divide(pt - pc, F.sqrt(pooled * (1 - pooled) * (1 / nc + 1 / nt)))
+    t_val = F.try_divide(
+        F.col("t_mean_value") - F.col("c_mean_value"), F.sqrt(F.col("c_var_value") / nc + F.col("t_var_value") / nt)
     )
     expected = (nc + nt) / 2
     chi2 = (nc - expected) * (nc - expected) / expected + (nt - expected) * (nt - expected) / expected
