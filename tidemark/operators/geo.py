@@ -16,10 +16,11 @@ BASE_IP = (10 << 24)  # 10.0.0.0: stand-in address space of the driver's events
 
 
 def ip_to_long(ip: Column) -> Column:
+    """Dotted IPv4 text -> number; malformed text gives NULL (no geo match), not a failure."""
     o = F.split(ip, r"\.")
     return (
-        F.get(o, 0).cast("long") * 16777216 + F.get(o, 1).cast("long") * 65536
-        + F.get(o, 2).cast("long") * 256 + F.get(o, 3).cast("long")
+        F.get(o, 0).try_cast("long") * 16777216 + F.get(o, 1).try_cast("long") * 65536
+        + F.get(o, 2).try_cast("long") * 256 + F.get(o, 3).try_cast("long")
     )
 
 

@@ -86,7 +86,7 @@ def q_clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    ev = t.events.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("device_id"))
+    ev = t.events.select("event_id", F.get_json_object("props", "$.k").try_cast("long").alias("device_id"))
     num = t.part.where(F.col("p_partkey") < 90).select(F.col("p_partkey").alias("device_id"), "p_size", "p_retailprice")
     joined = ev.join(F.broadcast(num), "device_id", "left")  # <= 90 rows by the key filter
     return cleaning.impute_median(joined, ["p_size", "p_retailprice"])

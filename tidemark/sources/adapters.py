@@ -127,7 +127,7 @@ def teams(t: Tables) -> DataFrame:
 
 def web_events(t: Tables) -> DataFrame:
     """Web events: url = event_type, device_id = props.k, host/referrer/ip derived from keys."""
-    key = F.get_json_object("props", "$.k").cast("long")
+    key = F.get_json_object("props", "$.k").try_cast("long")
     ev = t.events.select(
         "event_id",
         "user_id",

@@ -33,7 +33,7 @@ def web_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web events as a stream: the batch adapter's derivation on the streaming events, with
     the (<= 50 row) page dimension broadcast in a stream-static join."""
     ev = events_file_stream(spark, sf_dir)
-    key = F.get_json_object("props", "$.k").cast("long")
+    key = F.get_json_object("props", "$.k").try_cast("long")
     ev = ev.select(
         "event_id", "user_id", F.col("ts").alias("event_ts"), F.col("event_type").alias("url"),
         key.alias("device_id"),
