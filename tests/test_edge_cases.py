@@ -205,3 +205,17 @@ def test_keep_first_methods_agree(spark, tables):
     d1 = keep_first(bs, ["player_id", "game_id"], list(DETAILS_ORDER), descending=True)
     d2 = keep_first(bs, ["player_id", "game_id"], list(DETAILS_ORDER), descending=True, method="window")
     assertDataFrameEqual(d1, d2)
+
+
+def test_storage_size_matches_files_on_disk(spark):
+    import os
+    import tempfile
+
+    from tidemark.operators.layout import storage_size
+
+    path = tempfile.mkdtemp(prefix="tidemark-layout-") + "/t"
+    spark.range(0, 5000).selectExpr("id", "id % 7 AS k").repartition(3).write.parquet(path)
+    files = [os.path.join(path, f) for f in os.listdir(path) if f.endswith(".parquet")]
+    row = storage_size(spark, path, "x").first()
+    assert row["n_files"] == len(files)
+    assert row["total_bytes"] == sum(os.path.getsize(f) for f in files)
