@@ -219,3 +219,40 @@ def test_storage_size_matches_files_on_disk(spark):
     row = storage_size(spark, path, "x").first()
     assert row["n_files"] == len(files)
     assert row["total_bytes"] == sum(os.path.getsize(f) for f in files)
+
+
+def test_funnel_with_hot_user_equals_brute_force(spark):
+    import random
+
+    from tidemark.operators.funnel import funnel
+
+    rnd = random.Random(7)
+    steps = ["view", "click", "signup", "purchase"]
+    rows = []
+    for u, n in [(1, 400), (2, 15), (3, 9), (4, 5)]:  # user 1 is hot
+        for _ in range(n):
+            rows.append((u, dt.datetime(2024, 1, 1 + rnd.randrange(2), rnd.randrange(24), rnd.randrange(60),
+                                        rnd.randrange(60)), rnd.choice(steps)))
+    ev = spark.createDataFrame(rows, "user_id long, event_time timestamp_ntz, url string")
+    keys = ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+            "spark.sql.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[0], "1k")
+        spark.conf.set(keys[1], "1")
+        spark.conf.set(keys[2], "-1")  # force the shuffle join, so AQE may split the hot partition
+        got = {r["url"]: (r["n_events"], r["conversion_rate"]) for r in funnel(ev, "user_id", "event_time", "url", "signup", 0).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    distinct = sorted(set(rows))
+    stats = {}
+    for u, t, url in distinct:
+        later = [url2 for (user2, t2, url2) in distinct if user2 == u and t2.date() == t.date() and t2 > t]
+        if not later:
+            continue
+        conv = "signup" in later
+        n, c = stats.get(url, (0, 0))
+        stats[url] = (n + 1, c + int(conv))
+    expected = {k: (n, c / n) for k, (n, c) in stats.items() if c > 0}
+    assert got == expected
