@@ -44,7 +44,8 @@ def running_totals(
     materialized: bool = False,
 ) -> DataFrame:
     """Add ``position`` (1-based within the group) and ``running`` (sum of ``value`` up to and
-    including the row). ``order`` must be a total order within the group; ``value`` integral.
+    including the row). ``order`` must be a total order within the group; ``value`` is an
+    integral column (NULL counts as 0).
 
     The input is materialised once; when its largest group has at most ``max_window_rows``
     rows the plain window form is used (one sort per group), otherwise the distributed form.
@@ -53,7 +54,8 @@ def running_totals(
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = group + order + [value]
-    narrow = df.select(*cols) if materialized else materialize(df.select(*cols))
+    projected = df.select(*group, *order, F.coalesce(F.col(value), F.lit(0)).cast("long").alias(value))
+    narrow = projected if materialized else materialize(projected)
     if max_window_rows >= 0 and largest_group(narrow, group) <= max_window_rows:
         w = Window.partitionBy(*group).orderBy(*order)
         return narrow.select(
