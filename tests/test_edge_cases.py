@@ -256,3 +256,10 @@ def test_funnel_with_hot_user_equals_brute_force(spark):
         stats[url] = (n + 1, c + int(conv))
     expected = {k: (n, c / n) for k, (n, c) in stats.items() if c > 0}
     assert got == expected
+
+
+def test_bucket_count_scales_with_table_size():
+    from tidemark.operators.matches import buckets_for
+
+    assert buckets_for(10 << 20) == 16
+    assert buckets_for(100 << 40) == 131072  # 100 TB at ~1 GB per bucket (power of two)
