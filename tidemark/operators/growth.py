@@ -38,12 +38,16 @@ def _weekly_state(is_new: Column, active: Column, y_last: Column, last: Column,
     )
 
 
-def growth_accounting_backfill(activity: DataFrame, key: str, date_col: str, as_of: dt.date) -> DataFrame:
+def growth_accounting_backfill(
+    activity: DataFrame, key: str, date_col: str, as_of: dt.date, with_dates: bool = True
+) -> DataFrame:
     """Every (user, day) from the user's first active day to ``as_of`` in one pass.
 
     One shuffle: the distinct active dates per user are gathered (bounded by days of history,
     combined map-side), then each active date d_i expands to the days until the next active
     date, with d_{i-1} as "yesterday's last active". No per-day join, no window.
+    ``dates_active`` on every row makes the output quadratic in days per user (the reference's
+    table model); ``with_dates=False`` leaves it out when only the states are needed.
     """
     per_user = activity.where(F.col(date_col) <= _d(as_of)).groupBy(key).agg(
         F.array_sort(F.collect_set(F.col(date_col).cast("date"))).alias("_d")
@@ -61,7 +65,7 @@ def growth_accounting_backfill(activity: DataFrame, key: str, date_col: str, as_
     active = F.col("date") == F.col("_active")
     y_last = F.when(active, F.col("_prev")).otherwise(F.col("_active"))
     is_new = F.col("date") == F.col("first_active_date")
-    return days.select(
+    out = days.select(
         key,
         "first_active_date",
         F.col("_active").alias("last_active_date"),
@@ -70,6 +74,7 @@ def growth_accounting_backfill(activity: DataFrame, key: str, date_col: str, as_
         "dates_active",
         "date",
     )
+    return out if with_dates else out.drop("dates_active")
 
 
 def growth_accounting_step(previous: DataFrame, activity: DataFrame, key: str, date_col: str, as_of: dt.date) -> DataFrame:

@@ -214,9 +214,9 @@ def q_host_activity_reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- growth accounting on purchases ---
 
 
-def growth_rows(t: Tables, d: dt.date | None = None) -> DataFrame:
+def growth_rows(t: Tables, d: dt.date | None = None, with_dates: bool = True) -> DataFrame:
     d = d or last_day(t)
-    return gr.growth_accounting_backfill(adapters.purchase_activity(t), "user_id", "event_date", d)
+    return gr.growth_accounting_backfill(adapters.purchase_activity(t), "user_id", "event_date", d, with_dates)
 
 
 def _flat_growth(df: DataFrame) -> DataFrame:
@@ -246,11 +246,11 @@ def q_growth_accounting_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_retention_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gr.retention_curve(growth_rows(Tables(spark, sf_dir)))
+    return gr.retention_curve(growth_rows(Tables(spark, sf_dir), with_dates=False))
 
 
 def q_growth_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = growth_rows(Tables(spark, sf_dir))
+    g = growth_rows(Tables(spark, sf_dir), with_dates=False)
     state = F.col("daily_active_state")
     return g.groupBy(_s("date").alias("date")).agg(
         *[F.count_if(state == s).alias(f"n_{s.lower()}") for s in (gr.NEW, gr.RETAINED, gr.RESURRECTED, gr.CHURNED, gr.STALE)],
@@ -259,7 +259,7 @@ def q_growth_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_growth_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = growth_rows(Tables(spark, sf_dir))
+    g = growth_rows(Tables(spark, sf_dir), with_dates=False)
     return g.groupBy("daily_active_state").agg(
         F.count(F.lit(1)).alias("user_days"), F.countDistinct("user_id").alias("users")
     )
