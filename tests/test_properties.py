@@ -28,3 +28,29 @@ def test_scd_fold_equals_backfill(spark, entities):
         state = scd_increment(state, cur, ["name"], tracked, as_of=s)
     expected = scd_backfill(snaps, ["name"], "season", tracked, as_of=hi)
     assertDataFrameEqual(state, expected.select(state.columns))
+
+
+DAYS = st.lists(st.integers(min_value=0, max_value=14), min_size=1, max_size=8, unique=True)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(DAYS, min_size=1, max_size=4))
+def test_growth_step_fold_equals_backfill(spark, users):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import growth as gr
+
+    d0 = dt.date(2024, 1, 1)
+    rows = [(u, d0 + dt.timedelta(days=k)) for u, days in enumerate(users) for k in days]
+    activity = spark.createDataFrame(rows, "user_id long, event_date date")
+    last = d0 + dt.timedelta(days=14)
+    rows_all = gr.growth_accounting_backfill(activity, "user_id", "event_date", last)
+    state = rows_all.where(F.col("date") == F.lit(d0))
+    for i in range(1, 15):
+        d = d0 + dt.timedelta(days=i)
+        state = gr.growth_accounting_step(state, activity, "user_id", "event_date", d)
+        if i % 5 == 0:
+            state = state.checkpoint(eager=True)
+    assertDataFrameEqual(state, rows_all.where(F.col("date") == F.lit(last)).select(state.columns))
