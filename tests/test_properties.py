@@ -54,3 +54,29 @@ def test_growth_step_fold_equals_backfill(spark, users):
         if i % 5 == 0:
             state = state.checkpoint(eager=True)
     assertDataFrameEqual(state, rows_all.where(F.col("date") == F.lit(last)).select(state.columns))
+
+
+HITS = st.dictionaries(st.integers(min_value=0, max_value=9), st.integers(min_value=1, max_value=5), min_size=1, max_size=6)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(HITS, min_size=1, max_size=4))
+def test_monthly_array_step_fold_equals_backfill(spark, users):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import array_metrics as am
+
+    d0 = dt.date(2024, 3, 1)
+    rows = [(u, d0 + dt.timedelta(days=k), n) for u, hits in enumerate(users) for k, n in hits.items()]
+    daily = spark.createDataFrame(rows, "user_id long, event_date date, num_hits long")
+    last = d0 + dt.timedelta(days=9)
+    for fill in (None, 0):
+        state = am.monthly_array_backfill(daily, ["user_id"], "event_date", ["num_hits"], d0, fill=fill)
+        for i in range(1, 10):
+            d = d0 + dt.timedelta(days=i)
+            today = daily.where(F.col("event_date") == F.lit(d))
+            state = am.monthly_array_step(state, today, ["user_id"], "num_hits", d, fill=fill)
+        expected = am.monthly_array_backfill(daily, ["user_id"], "event_date", ["num_hits"], last, fill=fill)
+        assertDataFrameEqual(state, expected.select(state.columns))
