@@ -122,3 +122,36 @@ def test_fan_out_two_sinks_from_one_source(spark):
             q.stop()
     assert read == [5, 5]  # each query read the whole source once, with its own offsets
     assert os.path.isdir(os.path.join(root, "c1", "offsets")) and os.path.isdir(os.path.join(root, "c2", "offsets"))
+
+
+def test_foreach_batch_sink_is_idempotent_per_batch(spark):
+    root = tempfile.mkdtemp(prefix="tidemark-stream-")
+    src, out, ckpt = (os.path.join(root, x) for x in ("src", "out", "ckpt"))
+    os.makedirs(src)
+    _write(src, "f1.parquet", [0, 1, 2])
+    _write(src, "f2.parquet", [3, 4])
+
+    def write_batch(batch, batch_id):
+        # one folder per batch id, overwritten: a replayed batch replaces its own output
+        batch.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+
+    stream = spark.readStream.schema("ts timestamp_ntz, host string").option("maxFilesPerTrigger", 1).parquet(src)
+    q = runner.start_batch_sink(stream, write_batch, ckpt, available_now=True)
+    q.awaitTermination()
+    write_batch(spark.read.parquet(os.path.join(src, "f1.parquet")), 0)  # a replay of batch 0 (file f1)
+    result = spark.read.parquet(out)
+    assert result.count() == 5
+    assert {r["batch_id"] for r in result.select("batch_id").distinct().collect()} == {0, 1}
+
+
+def test_datelist_map_per_browser(spark):
+    import datetime as dt
+
+    from tidemark.operators.activity import datelist_map
+
+    rows = spark.createDataFrame(
+        [(1, "chrome", [dt.date(2024, 1, 1)]), (1, "safari", [dt.date(2024, 1, 2), dt.date(2024, 1, 3)])],
+        "user_id long, browser_type string, dates_active array<date>",
+    )
+    m = datelist_map(rows, "user_id", "browser_type").first()["browser_type_dates_active"]
+    assert m == {"chrome": [dt.date(2024, 1, 1)], "safari": [dt.date(2024, 1, 2), dt.date(2024, 1, 3)]}
