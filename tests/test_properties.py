@@ -80,3 +80,29 @@ def test_monthly_array_step_fold_equals_backfill(spark, users):
             state = am.monthly_array_step(state, today, ["user_id"], "num_hits", d, fill=fill)
         expected = am.monthly_array_backfill(daily, ["user_id"], "event_date", ["num_hits"], last, fill=fill)
         assertDataFrameEqual(state, expected.select(state.columns))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(DAYS, min_size=1, max_size=4))
+def test_datelist_fold_and_mask_equal_backfill(spark, users):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import activity as act
+
+    d0 = dt.date(2024, 1, 1)
+    rows = [(u, d0 + dt.timedelta(days=k)) for u, days in enumerate(users) for k in days]
+    activity = spark.createDataFrame(rows, "user_id long, event_date date")
+    last = d0 + dt.timedelta(days=14)
+    state = act.datelist_backfill(activity, ["user_id"], "event_date", d0)
+    for i in range(1, 15):
+        state = act.datelist_step(state, activity, ["user_id"], "event_date", d0 + dt.timedelta(days=i))
+    expected = act.datelist_backfill(activity, ["user_id"], "event_date", last)
+    assertDataFrameEqual(state, expected)
+    # bit k of the mask (from the top) is set exactly when the user was active k days before
+    packed = {r["user_id"]: r["datelist_int"] for r in act.datelist_int(expected).collect()}
+    for u, days in enumerate(users):
+        want = sum(1 << (31 - (14 - k)) for k in days)
+        assert packed[u] == want
+    assert act.datelist_int(expected).where(F.col("datelist_int") < 0).count() == 0
