@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ FAN = 8
 LOW = (1 << FAN) - 1
 BITS = [1 << i for i in range(1 << FAN)]
 
-#: Pre-tokens in a worker's cache before those that the next batch lacks go; characters merged at once.
-CACHE_SIZE, STEP_BYTES = 1 << 20, 1 << 22
+#: Pre-tokens that a worker keeps from one batch to the next; characters merged at once.
+CACHE_SIZE, STEP_BYTES = 1 << 19, 1 << 21
 
 
 class RankQueue:
@@ -86,7 +87,7 @@ class Codec:
             self.table[rank] = token
         if any(bytes([x]) not in ranks for x in range(256)):
             raise ValueError("a byte-level vocabulary has all 256 single bytes")
-        self.bytes = np.array([ranks[bytes([x])] for x in range(256)], dtype="int64")
+        self.bytes = np.array([ranks[bytes([x])] for x in range(256)], dtype="int32")
         pairs = sorted(
             (ranks[token[:k]] * self.size + ranks[token[k:]], rank)
             for token, rank in ranks.items()
@@ -95,11 +96,11 @@ class Codec:
         )
         self.pairs = np.array([key for key, _ in pairs] + [2**62], dtype="int64")
         self.merged = np.array([rank for _, rank in pairs] + [-1], dtype="int64")
-        self.cache: dict[str, bytes] = {}
+        self.index, self.packed = _Index(), []
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that two neighbours make; -1: none, as for a neighbour -1."""
-        keys = left * self.size + right
+        keys = left.astype("int64") * self.size + right
         at = np.searchsorted(self.pairs, keys)
         return np.where((self.pairs[at] == keys) & (left >= 0) & (right >= 0), self.merged[at], -1)
 
@@ -110,13 +111,13 @@ class Codec:
         sizes = np.array([len(x) for x in pieces])
         start = np.concatenate([[0], np.cumsum(sizes + 1)])  # a wall behind each pre-token
         total = int(start[-1])
-        token = np.full(total + 1, -1, dtype="int64")
+        token = np.full(total + 1, -1, dtype="int32")
         text = np.frombuffer(b"\0".join(pieces) + b"\0", dtype="uint8")
         token[:total] = self.bytes[text]
         token[start[1:] - 1] = -1
-        after = np.arange(1, total + 2)
-        before = np.arange(-1, total)
-        pair = np.full(total + 1, -1, dtype="int64")
+        after = np.arange(1, total + 2, dtype="int32")
+        before = np.arange(-1, total, dtype="int32")
+        pair = np.full(total + 1, -1, dtype="int32")
         pair[:total] = self.rank_of(token[:-1], token[1:])
         for at, piece in enumerate(pieces):  # a pre-token that is a token is no work
             if piece in self.ranks:
@@ -182,24 +183,35 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        split = [self.split(x) for x in texts]
-        new = list(set().union(*split).difference(self.cache))
-        if len(self.cache) + len(new) > CACHE_SIZE:
-            here = set().union(*split)
-            self.cache = {k: v for k, v in self.cache.items() if k in here}
-        found = self.cache
+        if len(self.packed) > CACHE_SIZE:
+            self.index, self.packed = _Index(), []
+        index, packed = self.index, self.packed
+        known = len(packed)
+        coded = []  # of each text's pre-tokens the numbers: the strings themselves would fill the memory
+        for text in texts:
+            pieces = self.split(text)
+            coded.append(np.fromiter(map(index.__getitem__, pieces), dtype="int32", count=len(pieces)))
+        new = list(islice(index, known, None))
         done = 0
         while done < len(new):
             size, a = 0, done
             while done < len(new) and (size < STEP_BYTES or done == a):
                 size, done = size + len(new[done]), done + 1
-            found.update(zip(new[a:done], self.merge([x.encode() for x in new[a:done]])))
-        return [b"".join(map(found.__getitem__, words)) for words in split]
+            packed += self.merge([x.encode() for x in new[a:done]])
+        return [b"".join(map(packed.__getitem__, x.tolist())) for x in coded]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
 
 
+class _Index(dict):
+    """Pre-tokens numbered in the order in which they come."""
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        return number
+
+
 _codecs: dict[tuple[bytes, str], Codec] = {}
 
 
@@ -239,7 +251,9 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", decoded:
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         codec = codec_of(lines.value, pattern)
-        lists = batch.column(batch.schema.get_field_index(ids)).to_pylist()
-        return [pa.array([codec.decode(x or []) for x in lists], pa.binary())]
+        lists = batch.column(batch.schema.get_field_index(ids))
+        lists = lists.fill_null(pa.scalar([], lists.type)) if lists.null_count else lists
+        values, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_pylist()
+        return [pa.array([codec.decode(values[a:b].tolist()) for a, b in zip(at, at[1:])], pa.binary())]
 
     return add_columns(docs, [T.StructField(decoded, T.BinaryType())], run)

@@ -55,3 +55,15 @@ def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
 def strings(batch: pa.RecordBatch, column: str) -> list[str]:
     """A string column; NULL is empty."""
     return [x or "" for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
+
+
+def chunks(texts: list, limit: int = 1 << 23) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of about ``limit`` bytes each; a longer text is alone."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        if i > start and size + len(text) > limit:
+            yield start, i
+            start, size = i, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, len(texts)
