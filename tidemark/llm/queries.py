@@ -6,13 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, simhash, substring_dedup
+from . import byte_bpe, simhash, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        (toxicity.fold() == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,6 +49,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_simhash": op9_simhash,
