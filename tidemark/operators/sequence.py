@@ -1,112 +1,62 @@
 """Positions and running sums within ordered groups of any size.
 
-A ``row_number``/running-sum window puts each group in one task. Here the rows are range
-partitioned on (group, order), so a group holding a large share of the rows is spread over
-many partitions; each partition is scanned once in order (Arrow batches), and per-partition
-totals — one row per (partition, group) — give each partition's offset. The result is exact.
+A running-sum window over a group puts the group in one task. Here the rows are range partitioned
+on (group, order) and written once, each with the number of its partition, so that a group holding
+a large share of the rows is spread over many. Windows then run within (partition, group), and one
+row of totals per (partition, group) gives each partition's offset. The result is exact, and the
+same plan serves every size; a NULL group is a group like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import staging_path
 
 
-# Groups up to this many rows are sorted in one task (window form); larger ones are spread.
-MAX_WINDOW_ROWS = 2_000_000
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; the result has the left frame's keys once."""
+    named = right.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return left.join(named, same, how).drop(*[f"_of_{k}" for k in keys])
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (cuts the lineage, so the
-    size check and the scans below do not re-run the upstream plan)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Row count of the largest group (an aggregate that combines map-side; one scalar back)."""
-    return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+def ranged(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """``df`` range partitioned on ``keys``, with its partition's number ``_pid``, written to the
+    shared staging folder and read back, so that the numbers stay as they are."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = staging_path(spark, "ranged")
+    df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def running_totals(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    partitions: int | None = None,
-    max_window_rows: int = MAX_WINDOW_ROWS,
-    materialized: bool = False,
+    df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, partitions: int | None = None
 ) -> DataFrame:
-    """Add ``position`` (1-based within the group) and ``running`` (sum of ``value`` up to and
-    including the row). ``order`` must be a total order within the group; ``value`` is an
-    integral column (NULL counts as 0).
-
-    The input is materialised once; when its largest group has at most ``max_window_rows``
-    rows the plain window form is used (one sort per group), otherwise the distributed form.
-    """
+    """``df`` with ``position`` (1-based within the group) and ``running`` (sum of ``value`` up to and
+    including the row). ``order`` must be a total order within the group; ``value`` is an integral
+    column (NULL counts as 0)."""
     group, order = list(group), list(order)
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = group + order + [value]
-    projected = df.select(*group, *order, F.coalesce(F.col(value), F.lit(0)).cast("long").alias(value))
-    narrow = projected if materialized else materialize(projected)
-    if max_window_rows >= 0 and largest_group(narrow, group) <= max_window_rows:
-        w = Window.partitionBy(*group).orderBy(*order)
-        return narrow.select(
-            *cols,
-            F.row_number().over(w).cast("long").alias("position"),
-            F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long").alias("running"),
-        )
-    return _distributed_running_totals(narrow, group, order, value, n)
-
-
-def _distributed_running_totals(narrow: DataFrame, group: list[str], order: list[str], value: str, n: int) -> DataFrame:
-    """Range partition on (group, order), scan each partition once in order, add offsets."""
-    ranged = narrow.repartitionByRange(n, *group, *order).sortWithinPartitions(*group, *order)
-    schema = T.StructType(
-        [f for f in ranged.schema.fields]
-        + [T.StructField("_pid", T.IntegerType()), T.StructField("_lpos", T.LongType()),
-           T.StructField("_lrun", T.LongType())]
-    )
-
-    def scan(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        carry_key, carry_pos, carry_run = None, 0, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            key = pd.MultiIndex.from_frame(pdf[group]) if len(group) > 1 else pd.Index(pdf[group[0]])
-            first_key = key[0]
-            grp = pdf.groupby(group, sort=False, dropna=False)
-            lpos = grp.cumcount().astype("int64") + 1
-            lrun = grp[value].cumsum().astype("int64")
-            if carry_key is not None and first_key == carry_key:  # group continues from last batch
-                same = key == carry_key
-                lpos = lpos.where(~same, lpos + carry_pos)
-                lrun = lrun.where(~same, lrun + carry_run)
-            last_key = key[-1]
-            carry_key, carry_pos, carry_run = last_key, int(lpos.iloc[-1]), int(lrun.iloc[-1])
-            yield pdf.assign(_pid=pid, _lpos=lpos.values, _lrun=lrun.values)
-
-    local = ranged.mapInPandas(scan, schema)
-    # One row per (partition, group); offsets = totals of the earlier partitions of the group.
-    totals = local.groupBy("_pid", *group).agg(F.max("_lpos").alias("_n"), F.max_by("_lrun", "_lpos").alias("_s"))
-    w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    amount = F.coalesce(F.col(value), F.lit(0)).cast("long")
+    rows = ranged(df.withColumn(value, amount), [*group, *order], partitions)
+    own = ["_pid", *group]
+    within = Window.partitionBy(*own).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.select("*", F.count(F.lit(1)).over(within).alias("_position"), F.sum(value).over(within).alias("_running"))
+    totals = rows.groupBy(*own).agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
+    earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        "_pid", *group,
-        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off_pos"),
-        F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_off_run"),
+        *own,
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_rows_before"),
+        F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_sum_before"),
     )
-    return local.join(offsets, ["_pid", *group]).select(
-        *group, *order, value,
-        (F.col("_off_pos") + F.col("_lpos")).alias("position"),
-        (F.col("_off_run") + F.col("_lrun")).alias("running"),
+    return null_safe_join(local, offsets, own).select(
+        *df.columns,
+        (F.col("_rows_before") + F.col("_position")).alias("position"),
+        (F.col("_sum_before") + F.col("_running")).alias("running"),
     )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sequence import null_safe_join, running_totals
+
 
 def rolling_counts(
     daily: DataFrame, group: Sequence[str], date_col: str, count_col: str, min_total: int | None = None
@@ -36,48 +38,27 @@ def rolling_counts(
     return out if min_total is None else out.where(F.col("total") > min_total)
 
 
-def best_stretch(
-    rows: DataFrame, group: Sequence[str], order: Sequence[str], flag: Column, n: int,
-    max_window_rows: int | None = None,
-) -> DataFrame:
-    """Most flagged rows in any ``n`` consecutive rows per group.
+def best_stretch(rows: DataFrame, group: Sequence[str], order: Sequence[str], flag: Column, n: int) -> DataFrame:
+    """Most flagged rows in any ``n`` consecutive rows per group (fewer at a group's start).
 
-    Small groups (the largest at most ``max_window_rows`` rows): ``rowsBetween(-(n-1), 0)``.
-    Larger ones: with C = running count of flags by position, the count in rows (i-n, i] is
-    C[i] - C[i-n]; C[i-n] comes from an equi-join on (group, position), and positions and
-    running counts are computed without putting a group in one task (``sequence``).
+    With C the running count of flags by position, rows (i-n, i] hold C[i] - C[i-n]; C[i-n] comes
+    from a null-safe equi-join on (group, position), so a group of any size is spread over tasks.
     """
-    from . import sequence as sq
-
-    limit = sq.MAX_WINDOW_ROWS if max_window_rows is None else max_window_rows
-    base = sq.materialize(rows.select(*group, *order, flag.cast("long").alias("_flag")))
-    if sq.largest_group(base, group) <= limit:
-        w = Window.partitionBy(*group).orderBy(*order)
-        hits = base.select(*group, F.sum("_flag").over(w.rowsBetween(-(n - 1), 0)).alias("_in_window"))
-    else:
-        c = sq.running_totals(base, group, order, "_flag", max_window_rows=-1, materialized=True)
-        back = c.select(*group, (F.col("position") + n).alias("position"), F.col("running").alias("_back"))
-        hits = c.join(back, [*group, "position"], "left").select(
-            *group, (F.col("running") - F.coalesce(F.col("_back"), F.lit(0))).alias("_in_window")
-        )
+    base = rows.select(*group, *order, flag.cast("long").alias("_flag"))
+    c = running_totals(base, group, order, "_flag").select(*group, "position", "running")
+    back = c.select(*group, (F.col("position") + n).alias("position"), F.col("running").alias("_back"))
+    hits = null_safe_join(c, back, [*group, "position"], "left").select(
+        *group, (F.col("running") - F.coalesce(F.col("_back"), F.lit(0))).alias("_in_window")
+    )
     return hits.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"), F.max("_in_window").alias(f"best_{n}"))
 
 
-def longest_streak(
-    rows: DataFrame, group: Sequence[str], order: Sequence[str], cond: Column, max_window_rows: int | None = None,
-) -> DataFrame:
+def longest_streak(rows: DataFrame, group: Sequence[str], order: Sequence[str], cond: Column) -> DataFrame:
     """Longest run of consecutive rows meeting ``cond`` per group (gaps and islands: the running
-    count of misses is constant within a run, so runs are groups of (group, misses so far)).
-    The running count comes from ``sequence.running_totals`` (window form for bounded groups,
-    distributed beyond); the run lengths are a plain aggregation that combines map-side."""
-    from .sequence import MAX_WINDOW_ROWS, running_totals
-
-    limit = MAX_WINDOW_ROWS if max_window_rows is None else max_window_rows
+    count of misses is constant within a run, so runs are groups of (group, misses so far))."""
     base = rows.select(*group, *order, F.when(cond, 0).otherwise(1).cast("long").alias("_miss"))
-    marked = running_totals(base, group, order, "_miss", max_window_rows=limit)
-    runs = marked.where(F.col("_miss") == 0).groupBy(*group, "running").agg(F.count(F.lit(1)).alias("_len"))
-    games = marked.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"))
-    best = runs.groupBy(*group).agg(F.max("_len").alias("longest_streak"))
-    return games.join(best, list(group), "left").select(
-        *group, "rows", F.coalesce(F.col("longest_streak"), F.lit(0)).cast("long").alias("longest_streak")
-    )
+    marked = running_totals(base, group, order, "_miss")
+    hit = F.col("_miss") == 0
+    runs = marked.groupBy(*group, "running").agg(F.count(F.lit(1)).alias("_rows"), F.count_if(hit).alias("_len"))
+    return runs.groupBy(*group).agg(
+        F.sum("_rows").cast("long").alias("rows"), F.max("_len").cast("long").alias("longest_streak"))

@@ -55,9 +55,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location for a staging table under the shared checkpoint folder."""
+    """A fresh, unique location for a staging table under the shared checkpoint folder.
+
+    It is deleted when the application ends: results may read it until then."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tidemark-staging/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/tidemark-staging/{name}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:
