@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, byte_bpe, chat, simhash, substring_dedup, toxicity
+from . import ann, byte_bpe, chat, line_dedup, mixing, quality_rules, secret_scan, simhash, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,21 @@ def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.with_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", number("assign").alias("n_assign"), number("access").alias("n_access"), number("hex").alias("n_hex"),
+        F.sha2(secret_scan.listed("base"), 256).alias("base_sha256"), secret_scan.listed("spans").alias("spans"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_boilerplate(_table(spark, sf_dir, "documents"), chars="n_chars")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -53,18 +68,80 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(_table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_toxicity": op2_toxicity,
     "op3_ann": op3_ann,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_line_dedup": op5_line_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
+    "op10_mixing": op10_mixing,
 }
-ORACLES: dict[str, str] = {}
+# Each occurrence of a line of three words or more, the lines on at least 8 sources, and of those all
+# occurrences but the first; texts are put together again from the other lines.
+OP5_SQL = r"""
+WITH split AS (
+  SELECT doc_id, source, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL
+), raw AS (
+  SELECT doc_id, source, unnest(parts) AS raw, generate_subscripts(parts, 1) AS place FROM split
+), lines AS (
+  SELECT *, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line FROM raw
+), spread AS (
+  SELECT line FROM lines
+  WHERE len(regexp_split_to_array(line, '[ \t-\r]+')) >= 3
+  GROUP BY line HAVING count(DISTINCT source) >= 8
+), ranked AS (
+  SELECT doc_id, place, row_number() OVER (PARTITION BY line ORDER BY doc_id, place) AS nth
+  FROM lines JOIN spread USING (line)
+), rebuilt AS (
+  SELECT doc_id, string_agg(raw, chr(10) ORDER BY place) AS text
+  FROM lines ANTI JOIN (SELECT doc_id, place FROM ranked WHERE nth > 1) USING (doc_id, place)
+  GROUP BY doc_id
+)
+SELECT d.doc_id,
+       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(r.text, '') END AS text,
+       d.lang, d.source,
+       length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(r.text, '') END) AS n_chars
+FROM documents d LEFT JOIN rebuilt r USING (doc_id)
+"""
+
+# The same hash-seeded numbers against each source's Poisson distribution, summed up term by term.
+OP10_SQL = """
+WITH sizes AS (
+  SELECT source, sum(length(coalesce(text, '')))::DOUBLE AS size FROM documents GROUP BY source
+), rates AS (
+  SELECT source, (SELECT sum(size) FROM sizes) / (SELECT count(*) FROM sizes) / size AS rate FROM sizes
+), series AS (
+  SELECT source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cumulative
+  FROM rates, range(0, 400) AS r(k)
+), drawn AS (
+  SELECT doc_id, source,
+         ('0x' || substr(md5('7|' || coalesce(doc_id::VARCHAR, '') || '|1'), 1, 13))::BIGINT / 4503599627370496.0 AS u
+  FROM documents
+), times AS (
+  SELECT doc_id, count(*) AS n FROM drawn JOIN series USING (source) WHERE cumulative <= u GROUP BY doc_id
+)
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c.copy
+FROM documents d JOIN times t USING (doc_id), LATERAL (SELECT unnest(range(t.n))::INTEGER AS copy) c
+"""
+
+ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op10_mixing": OP10_SQL}

@@ -119,5 +119,5 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingl
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     chosen = found.groupBy("root").agg(F.min(order).alias("m")).select(
         key_of("m.doc_id").alias("_id"), F.col("m.text_hash").alias("_hash")).distinct()
-    keyed = docs.withColumn("_id", key_of(doc_id)).withColumn("_hash", F.xxhash64(F.col(text).cast("string")))
-    return keyed.join(chosen, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key_of(doc_id).alias("_id"), F.xxhash64(F.col(text).cast("string")).alias("_hash"))
+    return rows.join(chosen, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]).select("row.*")

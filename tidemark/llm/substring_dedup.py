@@ -33,6 +33,9 @@ from .common import chunks, key_of, utf8
 #: Bytes of text to a bucket of hashes.
 BUCKET_BYTES = 1 << 24
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Columns that the operator adds on the way, named so that they meet no column of the input.
+KEYS, STARTS, TEXT = ["__doc_key", "__text_hash"], "__repeat_starts", "__whole_text"
+DOCUMENT = f"{KEYS[0]} long, {KEYS[1]} long, {STARTS} binary"
 PACKED = "key int, docs binary, counts binary, starts binary, hashes binary"
 
 
@@ -120,7 +123,7 @@ def _sizes(runs: np.ndarray) -> np.ndarray:
 
 
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return np.stack([batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("_id", "_hash")], axis=1)
+    return np.stack([batch.column(batch.schema.get_field_index(n)).to_numpy() for n in KEYS], axis=1)
 
 
 def _anchors(n_buckets: int, window: int, period: int):
@@ -131,7 +134,7 @@ def _anchors(n_buckets: int, window: int, period: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = utf8(batch, "_text"), _ids(batch)
+            texts, ids = utf8(batch, TEXT), _ids(batch)
             for a, b in chunks(texts):
                 words, counts = _word_hashes(texts[a:b])
                 doc = np.repeat(np.arange(a, b), counts)
@@ -171,8 +174,8 @@ def _windows(n_buckets: int, window: int, period: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = utf8(batch, "_text"), _ids(batch)
-            marks = utf8(batch, "starts")
+            texts, ids = utf8(batch, TEXT), _ids(batch)
+            marks = utf8(batch, STARTS)
             for a, b in chunks(texts):
                 words, counts = _word_hashes(texts[a:b])
                 total = len(words)
@@ -222,12 +225,12 @@ def _by_document(table: pa.Table) -> pa.Table:
     order = np.lexsort((found.start, found.ids[found.doc, 1], found.ids[found.doc, 0]))
     ids, start = found.ids[found.doc[order]], found.start[order]
     if not len(order):
-        return pa.table({"_id": pa.array([], pa.int64()), "_hash": pa.array([], pa.int64()), "starts": pa.array([], pa.binary())})
+        return pa.table({**{n: pa.array([], pa.int64()) for n in KEYS}, STARTS: pa.array([], pa.binary())})
     other = np.concatenate([[True], (ids[1:] != ids[:-1]).any(axis=1)])
     fresh = other | np.concatenate([[True], start[1:] != start[:-1]])
     ids, start, first = ids[fresh], start[fresh].astype("uint32"), np.flatnonzero(other[fresh])
     starts = [x.tobytes() for x in np.split(start, first[1:])]
-    return pa.table({"_id": ids[first, 0], "_hash": ids[first, 1], "starts": pa.array(starts, pa.binary())})
+    return pa.table({KEYS[0]: ids[first, 0], KEYS[1]: ids[first, 1], STARTS: pa.array(starts, pa.binary())})
 
 
 def _removed(window: int, text: str, names: list[str]):
@@ -235,7 +238,7 @@ def _removed(window: int, text: str, names: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, marks = utf8(batch, text), utf8(batch, "starts")
+            texts, marks = utf8(batch, text), utf8(batch, STARTS)
             out, n_words, n_removed = [], [], []
             for raw, mark in zip(texts, marks):
                 words = raw.split()
@@ -254,21 +257,22 @@ def _removed(window: int, text: str, names: list[str]):
 
 
 def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    return docs.withColumn("_id", key_of(doc_id)).withColumn("_hash", F.xxhash64(F.col(text).cast("string")))
+    return docs.withColumn(KEYS[0], key_of(doc_id)).withColumn(KEYS[1], F.xxhash64(F.col(text).cast("string")))
 
 
 def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = 20, period: int = 13) -> DataFrame:
-    """(_id, _hash, starts): for each document with repeated windows their first words' positions
-    (packed 32-bit integers); ``_id`` is the doc_id (NULL: the smallest long), ``_hash`` the text's."""
+    """One row for each document with repeated windows: its key (the doc_id, NULL as the smallest
+    long), its text's hash, and the repeated windows' first positions (packed 32-bit integers)."""
     size = docs.agg(F.sum(F.length(text).cast("double"))).first()[0] or 0
     n = max(1, -int(-size // BUCKET_BYTES))
     keyed = _keyed(docs, text, doc_id)
-    narrow = keyed.select("_id", "_hash", F.col(text).cast("string").alias("_text"))
-    found = narrow.mapInArrow(_anchors(n, window, period), PACKED).groupBy("key").applyInArrow(_repeated_anchors(n), PACKED)
-    marked = found.groupBy("key").applyInArrow(_by_document, "_id long, _hash long, starts binary")
-    near = keyed.join(marked, ["_id", "_hash"]).select("_id", "_hash", F.col(text).cast("string").alias("_text"), "starts")
+    whole = F.col(text).cast("string").alias(TEXT)
+    found = keyed.select(*KEYS, whole).mapInArrow(_anchors(n, window, period), PACKED)
+    found = found.groupBy("key").applyInArrow(_repeated_anchors(n), PACKED)
+    marked = found.groupBy("key").applyInArrow(_by_document, DOCUMENT)
+    near = keyed.join(marked, KEYS).select(*KEYS, whole, STARTS)
     sent = near.mapInArrow(_windows(n, window, period), PACKED).groupBy("key").applyInArrow(_repeated_windows(n), PACKED)
-    return sent.groupBy("key").applyInArrow(_by_document, "_id long, _hash long, starts binary")
+    return sent.groupBy("key").applyInArrow(_by_document, DOCUMENT)
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = 20, period: int = 13) -> DataFrame:
@@ -277,7 +281,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     starts = repeated_windows(docs, text, doc_id, window, period)
     kept = [c for c in docs.columns if c not in (text, "n_words", "n_removed")]
     names = [*kept, text, "n_words", "n_removed"]
-    joined = _keyed(docs, text, doc_id).join(starts, ["_id", "_hash"], "left").select(*kept, F.col(text).cast("string"), "starts")
+    joined = _keyed(docs, text, doc_id).join(starts, KEYS, "left").select(*kept, F.col(text).cast("string"), STARTS)
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.select(*kept).dtypes)
     schema = ", ".join(x for x in (schema, f"`{text}` string", "n_words long", "n_removed long") if x)
     return joined.mapInArrow(_removed(window, text, names), schema)

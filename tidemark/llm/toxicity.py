@@ -245,4 +245,5 @@ def without_toxic(
     score to join and stay."""
     scored = score(docs, labels, text, doc_id, label)
     bad = scored.where((F.col("score") >= limit) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_of"))
-    return docs.join(bad.distinct(), F.col(doc_id) == F.col("_of"), "left_anti")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    return rows.join(bad.distinct(), F.col(f"row.{doc_id}") == F.col("_of"), "left_anti").select("row.*")
