@@ -226,7 +226,9 @@ def score(
     fold 2 is held out from both."""
     known = labels.select(F.col(doc_id).alias("_of"), F.col(label).cast("int").alias("_label")).where("_label IN (0, 1)")
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    train = texts.where(fold("doc_id").isin(0, 1)).join(known.where(fold("_of").isin(0, 1)), F.col("doc_id") == F.col("_of"))
+    # labels grow with the corpus, so they are never sent to every task: one plan for every size
+    learnt = known.where(fold("_of").isin(0, 1)).hint("merge")
+    train = texts.where(fold("doc_id").isin(0, 1)).join(learnt, F.col("doc_id") == F.col("_of"))
     grams = staged(count_grams(train, "text", "_label"), "toxicity-grams")
     seen, unseen = log_ratios(grams)
     model = _table(seen, "gram", np.nan), _table(unseen, "context", 0.0)
