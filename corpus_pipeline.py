@@ -4,25 +4,48 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, simhash
+from tidemark.llm import byte_bpe, line_dedup, mixing, simhash, toxicity
 from tidemark.llm.common import staged
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.3 or more go; the models learn from ``labels`` outside fold 2."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), limit=0.3)
+
+
+def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines on 8 sources or more stay in the first document only; every document stays."""
+    return line_dedup.remove_boilerplate(docs, min_sites=8, chars="n_chars")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class stays: the one with the smallest doc_id."""
-    return simhash.keep_one(docs)
+    return simhash.keep_one(docs, shingle=3, radius=2)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every source gets an equal share of the characters; copies of a document are equal rows."""
+    return mixing.mix(docs).select(*docs.columns)
 
 
-def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each whole text, without the text."""
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of each whole text, in place of the text."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    return byte_bpe.encode(docs, path, pattern).drop("text")
+    encoded = byte_bpe.encode(docs, path, pattern)
+    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
-STAGES = [("near_duplicates", near_duplicates), ("tokens", tokens)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_boilerplate),
+    ("near_duplicates", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("byte_bpe", encode),
+]
 
-#: Models, sketches and byte-pair merges have no SQL form; the tests hold run() against brute force.
+#: Models, fingerprints and byte-pair merges have no SQL form; tests hold the stages to brute force.
 ORACLE_SQL: str | None = None
 
 
