@@ -6,8 +6,9 @@ were its true share of good documents rejected as high as the risk allowed, so f
 good ones would be seen with a probability of at most ``confidence / tests`` (an exact binomial
 tail; Bonferroni's correction over all strata, rules and cutoffs that are tested). The allowed risk
 is split over the rules, so that with the chosen probability no stratum loses more than ``risk``
-of its good documents to all rules together. Per stratum and rule the strictest certified cutoff
-that rejects no larger a share of good than of bad documents holds; a rule without one holds nothing.
+of its good documents to all rules together. A cutoff must also be shown, by the same exact test, to
+reject bad documents more often than the risk allows for good ones. Per stratum and rule the strictest
+cutoff that passes both holds; a rule without one rejects nothing.
 
 The labelled holdout is aggregated by (stratum, rule, cutoff) before anything is decided. Defined
 cases: NULL and wordless texts have 0 words and fail the base rule; a NULL stratum is a stratum like
@@ -99,6 +100,17 @@ def tail(rejected: int, good: int, risk: float) -> float:
     return min(total, 1.0)
 
 
+def upper_tail(rejected: int, bad: int, risk: float) -> float:
+    """P(X >= rejected) of a binomial with ``bad`` trials of probability ``risk``, exactly summed."""
+    total, log_p, log_q = 0.0, math.log(risk), math.log1p(-risk)
+    for i in range(rejected, bad + 1):
+        term = math.exp(math.lgamma(bad + 1) - math.lgamma(i + 1) - math.lgamma(bad - i + 1) + i * log_p + (bad - i) * log_q)
+        total += term
+        if i > bad * risk and term < 1e-18 * max(total, 1e-300):
+            break  # the terms fall from here on
+    return min(total, 1.0)
+
+
 def thresholds(measured: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str = "doc_id", label: str = "quality",
                risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
     """(stratum, rule, cutoff, good, good_rejected, bad, bad_rejected) of each certified rule."""
@@ -121,7 +133,7 @@ def thresholds(measured: DataFrame, labels: DataFrame, stratum: str = "lang", do
         out = []
         for i in reversed(range(n)):  # the strictest first: a document above GRID[i] fails n - i or more
             lost, caught = int(good[n - i:].sum()), int(bad[n - i:].sum())
-            if not caught or caught * good.sum() < lost * bad.sum():
+            if not caught or upper_tail(caught, int(bad.sum()), allowed) > level:
                 continue
             if tail(lost, int(good.sum()), allowed) <= level:
                 out = [(rows["stratum"].iloc[0], rows["rule"].iloc[0], GRID[i], int(good.sum()), lost, int(bad.sum()), caught)]
