@@ -25,15 +25,16 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .common import add_columns, strings
+from .common import add_columns, chunks, strings
 
 #: Bits in a word of the lower bitmap, as a shift; the upper bitmap has a bit for each such word.
 FAN = 8
 LOW = (1 << FAN) - 1
 BITS = [1 << i for i in range(1 << FAN)]
 
-#: Pre-tokens that a worker keeps from one batch to the next; characters merged at once.
-CACHE_SIZE, STEP_BYTES = 1 << 19, 1 << 21
+#: Pre-tokens above which a worker starts anew; characters whose new pre-tokens are taken together;
+#: characters of pre-tokens merged at once. They bound a worker's memory.
+CACHE_SIZE, BATCH_CHARS, STEP_BYTES = 1 << 18, 12 << 20, 1 << 21
 
 
 class RankQueue:
@@ -236,7 +237,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         codec = codec_of(lines.value, pattern)
-        packed = codec.encode(strings(batch, text))
+        texts = strings(batch, text)
+        packed = [x for a, b in chunks(texts, BATCH_CHARS) for x in codec.encode(texts[a:b])]
         offsets = np.zeros(len(packed) + 1, dtype="int64")
         np.cumsum([len(x) // 4 for x in packed], out=offsets[1:])
         values = pa.array(np.frombuffer(b"".join(packed), dtype="<i4"), type=pa.int32())
