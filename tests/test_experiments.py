@@ -49,3 +49,15 @@ def test_readout_degenerate_cells_give_null_not_error(spark):
     )
     rows = {r["metric"]: r for r in ex.readout(cells).collect()}
     assert rows["signup_rate"]["statistic"] is None or rows["signup_rate"]["statistic"] != rows["signup_rate"]["statistic"]
+
+
+def test_sums_pass_the_range_of_a_long(spark):
+    from tidemark.operators import kpi
+
+    rows = [("control", 1, 6_000_000_000), ("control", 0, 6_000_000_000), ("treatment", 0, 1), ("treatment", 1, 3)]
+    cells = ex.cell_metrics(spark.createDataFrame(rows, "variant string, converted long, value_cents long"))
+    got = {r["variant"]: (r["mean_value"], r["var_value"]) for r in cells.collect()}
+    assert got == {"control": (6e9, 0.0), "treatment": (2.0, 2.0)}
+    big = spark.createDataFrame([("t", "b", 1, 2**62, 0, 2**62)] * 3, "p_type string, p_brand string, units long, "
+                                "revenue_e4 long, cost_e4 long, profit_e4 long")
+    assert {int(r["revenue_e4"]) for r in kpi.total_profit(big).collect()} == {3 * 2**62}

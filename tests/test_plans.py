@@ -59,10 +59,10 @@ def test_projection_and_filter_reach_the_scan(spark, tables):
 def test_bounded_broadcast_respects_bound(spark):
     small = spark.range(10)
     big = spark.range(100)
-    joined_small = spark.range(1000).join(bounded_broadcast(small, 50), "id")
+    joined_small = spark.range(1000).join(bounded_broadcast(small, 400), "id")
     with broadcast_threshold(spark, "-1"):
         assert "BroadcastHashJoin" in plan(joined_small)
-        assert "BroadcastHashJoin" not in plan(spark.range(1000).join(bounded_broadcast(big, 50), "id"))
+        assert "BroadcastHashJoin" not in plan(spark.range(1000).join(bounded_broadcast(big, 400), "id"))
 
 
 def test_predicate_in_join_condition_reaches_the_scan(spark, tables):

@@ -155,3 +155,17 @@ def test_datelist_map_per_browser(spark):
     )
     m = datelist_map(rows, "user_id", "browser_type").first()["browser_type_dates_active"]
     assert m == {"chrome": [dt.date(2024, 1, 1)], "safari": [dt.date(2024, 1, 2), dt.date(2024, 1, 3)]}
+
+
+def test_event_stream_reads_a_file_and_a_folder(spark):
+    """A table that is one file and the same rows as a folder of part files give the same stream."""
+    from tidemark.streaming.sources import events_file_stream
+
+    rows = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    single = tempfile.mkdtemp(prefix="tidemark-one-")
+    pq.write_table(pq.read_table("/root/testdata/sf0.001/events.parquet"), f"{single}/events.parquet")
+    folder = tempfile.mkdtemp(prefix="tidemark-many-")
+    rows.repartition(5).write.parquet(f"{folder}/events.parquet")
+    for sf_dir in (single, folder):
+        out = runner.run_to_completion(spark, events_file_stream(spark, sf_dir), "events")
+        assert out.count() == rows.count() == 1000

@@ -62,8 +62,10 @@ def cell_metrics(per_unit: DataFrame) -> DataFrame:
     agg = per_unit.groupBy("variant").agg(
         F.count(F.lit(1)).alias("n_units"),
         F.sum("converted").alias("n_converted"),
-        F.sum("value_cents").alias("sum_value"),
-        F.sum(F.col("value_cents") * F.col("value_cents")).alias("sum_value_sq"),
+        # decimals: a sum of squared cents passes a long's range on a large table
+        F.sum(F.col("value_cents").cast("decimal(19,0)")).alias("sum_value"),
+        F.sum((F.col("value_cents").cast("decimal(19,0)") * F.col("value_cents").cast("decimal(19,0)")).cast("decimal(38,0)"))
+        .alias("sum_value_sq"),
     )
     n = F.col("n_units").cast("double")
     s = F.col("sum_value").cast("double")
@@ -90,7 +92,7 @@ def two_sided_p(z: Column) -> Column:
     return erfc(F.abs(z) / math.sqrt(2.0))
 
 
-def readout(cells: DataFrame) -> DataFrame:
+def readout(cells: DataFrame, p_digits: int = 6) -> DataFrame:
     """Control vs treatment: two-proportion z test (conversion), Welch statistic with a normal
     p-value (value), chi-square allocation check against 50/50. Input is one row per cell."""
     # Pivot the two cell rows into one row with a conditional aggregate (no join).
@@ -115,12 +117,10 @@ def readout(cells: DataFrame) -> DataFrame:
         ("purchase_value", F.col("c_mean_value"), F.col("t_mean_value"), t_val, two_sided_p(t_val)),
         ("allocation", nc, nt, chi2, erfc(F.sqrt(chi2 / 2))),
     ]
-    out = None
-    for name, a, b, stat, p in rows:
-        r = both.select(
+    lines = F.array(*[
+        F.struct(
             F.lit(name).alias("metric"), F.col("c_n_units").alias("control_n"), F.col("t_n_units").alias("treatment_n"),
             a.cast("double").alias("control_value"), b.cast("double").alias("treatment_value"),
-            F.round(stat, 6).alias("statistic"), F.round(p, 6).alias("p_value"),
-        )
-        out = r if out is None else out.unionByName(r)
-    return out
+            F.round(stat, 6).alias("statistic"), F.round(p, p_digits).alias("p_value"))
+        for name, a, b, stat, p in rows])
+    return both.select(F.inline(lines))  # one row of both cells gives the three lines

@@ -35,14 +35,14 @@ def nation_ranges(nation: DataFrame, region: DataFrame, width: int = 2) -> DataF
     )
 
 
-def enrich(df: DataFrame, ip_col: str, ranges: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def enrich(df: DataFrame, ip_col: str, ranges: DataFrame, max_broadcast_bytes: int = 32 << 20) -> DataFrame:
     """Left range join of ``df`` (batch or stream) to ``ranges``; unmatched ips get NULLs
     (the reference's UDF returned '{}' on failure)."""
     r = ranges.select(
         "*", F.explode(F.sequence(F.shiftright("ip_start", BLOCK_BITS), F.shiftright("ip_end", BLOCK_BITS))).alias("_blk")
     )
     d = df.withColumn("_ipn", ip_to_long(F.col(ip_col))).withColumn("_blk", F.shiftright("_ipn", BLOCK_BITS))
-    r = bounded_broadcast(r, max_broadcast_rows)
+    r = bounded_broadcast(r, max_broadcast_bytes)
     cond = (d["_blk"] == r["_blk"]) & d["_ipn"].between(r["ip_start"], r["ip_end"])
     geo_cols = [c for c in ranges.columns if c not in ("ip_start", "ip_end")]
     return d.join(r, cond, "left").select(*[d[c] for c in df.columns], *[r[c] for c in geo_cols])

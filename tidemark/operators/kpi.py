@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cents
-from ..plans.joins import fixed_broadcast
+from ..plans.joins import bounded_broadcast
 from .cubes import cube_report
 
 COST_RATE_PCT = 60  # stand-in unit cost: 60 % of the part's retail price
@@ -34,8 +34,11 @@ def unit_profit(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 def total_profit(unit: DataFrame) -> DataFrame:
     """Reporting totals: ``ROLLUP(p_type, p_brand)`` over the unit-level rows."""
     return unit.rollup("p_type", "p_brand").agg(
-        F.sum("units").alias("units"), F.sum("revenue_e4").alias("revenue_e4"), F.sum("cost_e4").alias("cost_e4"),
-        F.sum("profit_e4").alias("profit_e4"), F.grouping_id("p_type", "p_brand").cast("int").alias("grouping_level"),
+        F.sum("units").alias("units"),
+        # decimals: the grand total in 1e-4 units passes a long's range on a large table
+        *[F.sum(F.col(c).cast("decimal(19,0)")).cast("decimal(38,0)").alias(c)
+          for c in ("revenue_e4", "cost_e4", "profit_e4")],
+        F.grouping_id("p_type", "p_brand").cast("int").alias("grouping_level"),
     )
 
 
@@ -52,7 +55,7 @@ def dashboard_cube(orders: DataFrame, customer: DataFrame, nation: DataFrame, re
     finest = per_cust.join(c, "c_custkey").groupBy("c_nationkey", "c_mktsegment").agg(
         F.sum("revenue_cents").alias("revenue_cents"), F.sum("n_orders").alias("n_orders")
     )
-    geo = fixed_broadcast(  # 25 nations x 5 regions
+    geo = bounded_broadcast(  # 25 nations x 5 regions
         nation.join(region, nation.n_regionkey == region.r_regionkey).select(
             F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"), F.col("r_name").alias("region")
         )

@@ -3,54 +3,65 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staging_path
 
 
+#: Bytes that a task writes to one file.
+FILE_BYTES = 256 << 20
+
+
 def storage_size(spark: SparkSession, path: str, layout: str) -> DataFrame:
-    """Bytes and file count of a written table, from the ``_metadata`` file columns."""
-    files = spark.read.parquet(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
-    ).distinct()
-    return files.agg(F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("total_bytes")).select(
-        F.lit(layout).alias("layout"), "n_files", "total_bytes"
-    )
+    """Bytes and file count of a written table, from a listing of its files (their rows are not read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", "length").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("total_bytes")
+    ).select(F.lit(layout).alias("layout"), "n_files", "total_bytes")
 
 
 def write_layouts(
     spark: SparkSession,
     df: DataFrame,
     sort_orders: Mapping[str, Sequence[str]],
-    partitions: int,
-    distribute_by: Sequence[str] = (),
-    partition_by: Mapping[str, F.Column] | None = None,
+    partition_by: Mapping[str, Column] | None = None,
+    checksum: Column | None = None,
+    file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
     """Write ``df`` once per candidate layout and report their sizes (smallest first wins).
 
-    Each candidate is ``repartition(n, *distribute_by).sortWithinPartitions(*order)`` — a local
-    sort, no range shuffle; putting low-cardinality columns first gives parquet long runs for
-    dictionary/RLE encoding. ``partition_by`` adds directory-partitioned candidates
-    (e.g. by year of a date).
+    Each candidate is ``repartition(n).sortWithinPartitions(*order)``: a local sort, no range
+    shuffle; low-cardinality columns first give Parquet long runs for dictionary and run-length
+    encoding. ``n`` follows from the bytes of the input. ``partition_by`` adds candidates
+    partitioned by a folder per value (e.g. the year of a date); the rows of one value are dealt
+    over ``n`` salts, so that a large year is written by many tasks. ``n_rows`` and ``checksum`` are
+    read back from what was written.
     """
-    reports = []
-    # Materialise the input once in the shared staging folder (cuts its lineage), so each
-    # candidate layout re-reads a table instead of recomputing the upstream plan.
-    staged = staging_path(spark, "layout-input")
-    df.write.mode("overwrite").parquet(staged)
-    df = spark.read.parquet(staged)
-    base = df.repartition(partitions, *distribute_by) if distribute_by else df.repartition(partitions)
+    # The input is written once in the shared staging folder (which cuts its lineage), so each
+    # candidate reads a table instead of recomputing the plan before it.
+    path = staging_path(spark, "layout-input")
+    df.write.parquet(path)
+    df = spark.read.parquet(path)
+    size = storage_size(spark, path, "input").first()["total_bytes"] or 0
+    n = max(1, -(-size // file_bytes))
+    base = df.repartition(n)
+    written: dict[str, str] = {}
     for name, order in sort_orders.items():
-        path = staging_path(spark, f"layout-{name}")
-        (base.sortWithinPartitions(*order) if order else base).write.mode("overwrite").parquet(path)
-        reports.append(storage_size(spark, path, name))
+        written[name] = staging_path(spark, f"layout-{name}")
+        (base.sortWithinPartitions(*order) if order else base).write.parquet(written[name])
     for name, col in (partition_by or {}).items():
-        path = staging_path(spark, f"layout-{name}")
-        df.withColumn("_part", col).repartition("_part").write.mode("overwrite").partitionBy("_part").parquet(path)
-        reports.append(storage_size(spark, path, name))
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+        written[name] = staging_path(spark, f"layout-{name}")
+        salted = df.withColumn("_part", col).withColumn("_salt", F.floor(F.rand(11) * n))
+        salted.repartition("_part", "_salt").drop("_salt").write.partitionBy("_part").parquet(written[name])
+    total = F.lit(None).cast("long") if checksum is None else checksum
+    reports = []
+    for name, path in written.items():
+        held = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), total.alias("checksum"))
+        size = storage_size(spark, path, name).first()  # two scalars of a listing
+        reports.append(held.select(
+            F.lit(name).alias("layout"), F.lit(size["n_files"]).alias("n_files"),
+            F.lit(size["total_bytes"]).alias("total_bytes"), "n_rows", "checksum"))
+    return reduce(DataFrame.unionByName, reports)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_broadcast, fixed_broadcast
+from ..plans.joins import bounded_broadcast
 from ..session import staging_path
 
 BUCKETS = 16  # fixed value: bucket count of the reference's bucketed match tables
@@ -65,7 +65,7 @@ def match_facts(
         F.sum(F.when(F.col("medal_name") == KILLING_SPREE, F.col("count")).otherwise(0)).alias("killing_sprees"),
     )
     facts = details.join(matches, "match_id").join(per_player, ["match_id", "player_gamertag"], "left")
-    maps_b = fixed_broadcast(maps.select("mapid", F.col("name").alias("map_name")))
+    maps_b = bounded_broadcast(maps.select("mapid", F.col("name").alias("map_name")))
     return facts.join(maps_b, "mapid", "left").select(
         "match_id",
         "player_gamertag",

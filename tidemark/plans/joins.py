@@ -8,33 +8,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
+    """Broadcast ``df`` only if the optimizer bounds its size by ``max_bytes``.
 
-    The check is a bounded count (``limit(max_rows + 1).count()``), so it stops early on a
-    large side; beyond the bound the plain DataFrame is returned and the planner (with AQE)
-    picks a shuffle join.
+    The estimate comes from the statistics of the plan (file sizes of the scans, which joins and
+    aggregates do not raise without bound), so no job runs for it. Beyond the bound the plain
+    DataFrame is returned, and the planner and AQE pick a join by the sizes they see.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def fixed_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a side whose size is bounded by construction (e.g. the 25-row nation table,
-    or a side filtered to at most N distinct keys and deduplicated on that key)."""
-    return F.broadcast(df)
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 @contextlib.contextmanager
-def broadcast_threshold(spark: SparkSession, value: str):
-    """Scope ``spark.sql.autoBroadcastJoinThreshold`` (e.g. "-1" to show sort-merge plans).
-
-    The setting is read when a plan is executed, so run the action inside the block.
-    """
-    key = "spark.sql.autoBroadcastJoinThreshold"
+def scoped_setting(spark: SparkSession, key: str, value: str):
+    """One session setting for a block; it is read when a plan is executed, so run the action inside."""
     old = spark.conf.get(key)
     spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, old)
+
+
+def broadcast_threshold(spark: SparkSession, value: str):
+    """Scope ``spark.sql.autoBroadcastJoinThreshold`` (e.g. "-1" to show sort-merge plans)."""
+    return scoped_setting(spark, "spark.sql.autoBroadcastJoinThreshold", value)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's size, from its plan's statistics (no job runs)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import geo
+from ..plans.joins import scoped_setting
 from ..sources import adapters
 from ..sources.tables import Tables
 from ..streaming import runner, sources, windows
@@ -31,7 +32,9 @@ def q_stream_host_referrer_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sources.with_event_time(sources.web_event_stream(spark, sf_dir))
-    out = runner.run_to_completion(spark, windows.session_counts(s, "event_time", ["ip", "host"]), "sessions")
+    # sessions of a key merge in each task before the shuffle: a hot key sends few rows
+    with scoped_setting(spark, "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"):
+        out = runner.run_to_completion(spark, windows.session_counts(s, "event_time", ["ip", "host"]), "sessions")
     return out.select(_ntz("session_start"), _ntz("session_end"), "ip", "host", "n_events")
 
 
@@ -83,11 +86,11 @@ QUERIES = {
 }
 
 WEBS = """
-pg AS (SELECT page_id, MIN(url) AS referrer FROM pages WHERE page_id BETWEEN 0 AND 49 GROUP BY 1),
+pg AS (SELECT page_id, MIN(url) AS referrer FROM pages GROUP BY 1),
 we AS (
   SELECT e.event_id, e.ts, e.event_type AS url, '10.0.0.' || CAST(e.user_id % 5 AS VARCHAR) AS ip,
          'host_' || CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 3 AS VARCHAR) AS host, pg.referrer
-  FROM events e LEFT JOIN pg ON pg.page_id = CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 50
+  FROM events e LEFT JOIN pg ON pg.page_id = e.user_id + CAST(json_extract_string(e.props, '$.k') AS BIGINT)
 ),
 wm AS (SELECT MAX(ts) - INTERVAL 15 SECOND AS w FROM events)"""
 

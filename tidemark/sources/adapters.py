@@ -1,7 +1,7 @@
 """Map the driver's star-schema tables onto the shapes the operators consume.
 
 Each stand-in is derived from the given tables with DataFrame operations only, so its
-size grows with the data. Broadcasts here are only for sides bounded by construction.
+size grows with the data. Sides are broadcast only behind a check of their size.
 """
 
 from __future__ import annotations
@@ -10,14 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cents, milli
-from ..plans.joins import fixed_broadcast
+from ..plans.joins import bounded_broadcast
 from .tables import Tables
 
 # Fixed values of the stand-in mapping.
-PAGE_KEYS = 50  # referrer = url of page (device_key % 50)
-HOSTS = 3  # host = 'host_' || device_key % 3
+HOSTS = 3  # host = 'host_' || k % 3, where k is the key in the event's props
 IPS = 5  # ip = '10.0.0.' || user_id % 5
-DEVICE_KEYS = 90  # devices = parts with p_partkey < 90
+DEVICES_PER_USER = 14  # device = part user_id * 14 + k: all parts, and some ids beyond the last part
 ASSIST_PRIORITIES = ("1-URGENT", "2-HIGH")
 
 
@@ -90,7 +89,7 @@ def with_player_team(t: Tables, rows: DataFrame) -> DataFrame:
         F.col("s_suppkey").alias("player_id"), F.col("s_name").alias("player_name"), F.col("s_nationkey").alias("team_id")
     )
     nat = t.nation.select(F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("team_abbreviation"))
-    return rows.join(sup, "player_id").join(fixed_broadcast(nat), "team_id")  # nation: 25 rows
+    return rows.join(sup, "player_id").join(bounded_broadcast(nat), "team_id")  # nation: 25 rows
 
 
 def game_details(t: Tables) -> DataFrame:
@@ -112,8 +111,8 @@ def teams(t: Tables) -> DataFrame:
     s = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     r = t.region.select("r_regionkey", "r_name")
-    rows = s.join(fixed_broadcast(n), s.s_nationkey == n.n_nationkey).join(
-        fixed_broadcast(r), n.n_regionkey == r.r_regionkey
+    rows = s.join(bounded_broadcast(n), s.s_nationkey == n.n_nationkey).join(
+        bounded_broadcast(r), n.n_regionkey == r.r_regionkey
     )
     return rows.select(
         F.col("n_nationkey").cast("long").alias("team_id"),
@@ -127,35 +126,32 @@ def teams(t: Tables) -> DataFrame:
 
 def web_events(t: Tables) -> DataFrame:
     """Web events: url = event_type, device_id = props.k, host/referrer/ip derived from keys."""
-    key = F.get_json_object("props", "$.k").try_cast("long")
-    ev = t.events.select(
-        "event_id",
-        "user_id",
-        F.col("ts").alias("event_time"),
-        F.col("event_type").alias("url"),
-        "value",
-        key.alias("device_id"),
-    )
-    ev = ev.select(
-        "*",
-        F.concat(F.lit("host_"), (F.col("device_id") % HOSTS).cast("string")).alias("host"),
+    ev = with_web_keys(t.events.select(
+        "event_id", "user_id", F.col("ts").alias("event_time"), F.col("event_type").alias("url"), "value", "props",
+    )).withColumn("event_date", F.to_date("event_time"))
+    return ev.join(page_urls(t), "page_id", "left").drop("page_id")
+
+
+def with_web_keys(events: DataFrame) -> DataFrame:
+    """Device, host, ip and page of a batch or stream of events, from ``user_id`` and ``props``."""
+    k = F.get_json_object("props", "$.k").try_cast("long")
+    return events.select(
+        *[c for c in events.columns if c != "props"],
+        (F.col("user_id") * DEVICES_PER_USER + k).alias("device_id"),
+        F.concat(F.lit("host_"), (k % HOSTS).cast("string")).alias("host"),
         F.concat(F.lit("10.0.0."), (F.col("user_id") % IPS).cast("string")).alias("ip"),
-        F.to_date("event_time").alias("event_date"),
-        (F.col("device_id") % PAGE_KEYS).alias("page_id"),
+        (F.col("user_id") + k).alias("page_id"),
     )
-    # At most PAGE_KEYS rows after the key filter and the per-key dedupe: a proven bound.
-    pages = (
-        t.pages.select("page_id", "url")
-        .where(F.col("page_id").between(0, PAGE_KEYS - 1))
-        .groupBy("page_id")
-        .agg(F.min("url").alias("referrer"))
-    )
-    return ev.join(fixed_broadcast(pages), "page_id", "left").drop("page_id")
+
+
+def page_urls(t: Tables) -> DataFrame:
+    """(page_id, referrer) of every page; the planner picks the join by its size."""
+    return t.pages.groupBy("page_id").agg(F.min("url").alias("referrer"))
 
 
 def devices(t: Tables) -> DataFrame:
-    """Device dimension from parts with p_partkey < 90 (<= 90 rows after the per-key dedupe)."""
-    p = t.part.select("p_partkey", "p_name", "p_brand", "p_type").where(F.col("p_partkey") < DEVICE_KEYS)
+    """Device dimension: every part, one row a key; the planner picks the join by its size."""
+    p = t.part.select("p_partkey", "p_name", "p_brand", "p_type")
     return p.groupBy(F.col("p_partkey").alias("device_id")).agg(
         F.min("p_brand").alias("browser_type"),
         F.min("p_type").alias("os_type"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import stream_paths
@@ -47,13 +48,24 @@ def run_to_completion(spark: SparkSession, df: DataFrame, name: str, mode: str =
 
 
 def jdbc_writer(url: str, table: str, properties: dict[str, str]) -> Callable[[DataFrame, int], None]:
-    """Batch writer for a JDBC table; credentials come from the caller. Rows carry the batch
-    id, so a batch replayed after a failure is recognisable by (batch_id, key) downstream."""
+    """Batch writer for a JDBC table; credentials come from the caller. Rows carry the batch id,
+    and a batch first deletes the rows of its own id, so that one replayed after a failure is
+    stored once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        from pyspark.sql import functions as F
-
-        batch.withColumn("batch_id", F.lit(batch_id)).write.jdbc(url, table, mode="append", properties=properties)
+        jvm = batch.sparkSession._jvm
+        settings = jvm.java.util.Properties()
+        for key, value in properties.items():
+            settings.setProperty(key, value)
+        connection = jvm.java.sql.DriverManager.getConnection(url, settings)
+        try:
+            if connection.getMetaData().getTables(None, None, table, None).next():  # else this is the first batch
+                statement = connection.prepareStatement(f"DELETE FROM {table} WHERE batch_id = ?")
+                statement.setLong(1, batch_id)
+                statement.executeUpdate()
+        finally:
+            connection.close()
+        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.jdbc(url, table, mode="append", properties=properties)
 
     return write
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.joins import fixed_broadcast
 from ..sources import adapters
 from ..sources.tables import Tables
 
@@ -18,37 +17,27 @@ RAW_EVENT_SCHEMA = T.StructType(
 )
 
 
-def events_file_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Streaming read of ``events.parquet`` (new files in the folder arrive as new batches)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(sf_dir)
-    )
+def events_file_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming read of the ``events.parquet`` table; new files in its folder arrive as new batches.
+
+    A table of several files is a folder, and is read as one. A table that is a single file is read
+    by its folder and name, as the file source takes folders only."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    is_folder = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory()
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path) if is_folder else reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def web_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web events as a stream: the batch adapter's derivation on the streaming events, with
-    the (<= 50 row) page dimension broadcast in a stream-static join."""
-    ev = events_file_stream(spark, sf_dir)
-    key = F.get_json_object("props", "$.k").try_cast("long")
-    ev = ev.select(
-        "event_id", "user_id", F.col("ts").alias("event_ts"), F.col("event_type").alias("url"),
-        key.alias("device_id"),
-    ).select(
-        "*",
-        F.concat(F.lit("host_"), (F.col("device_id") % adapters.HOSTS).cast("string")).alias("host"),
-        F.concat(F.lit("10.0.0."), (F.col("user_id") % adapters.IPS).cast("string")).alias("ip"),
-        (F.col("device_id") % adapters.PAGE_KEYS).alias("page_id"),
-    )
-    pages = (
-        Tables(spark, sf_dir).pages.select("page_id", "url")
-        .where(F.col("page_id").between(0, adapters.PAGE_KEYS - 1))
-        .groupBy("page_id").agg(F.min("url").alias("referrer"))
-    )
-    return ev.join(fixed_broadcast(pages), "page_id", "left").drop("page_id")
+    """Web events as a stream: the batch adapter's derivation on the streaming events, and a
+    stream-static join with the whole page dimension."""
+    ev = events_file_stream(spark, sf_dir).select(
+        "event_id", "user_id", F.col("ts").alias("event_ts"), F.col("event_type").alias("url"), "props")
+    ev = adapters.with_web_keys(ev)
+    return ev.join(adapters.page_urls(Tables(spark, sf_dir)), "page_id", "left").drop("page_id")
 
 
 def with_event_time(df: DataFrame, ts_col: str = "event_ts", out: str = "event_time") -> DataFrame:
