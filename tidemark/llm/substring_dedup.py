@@ -34,7 +34,7 @@ from .common import chunks, key_of, utf8
 BUCKET_BYTES = 1 << 24
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: Columns that the operator adds on the way, named so that they meet no column of the input.
-KEYS, STARTS, TEXT = ["__doc_key", "__text_hash"], "__repeat_starts", "__whole_text"
+KEYS, STARTS = ["__doc_key", "__text_hash"], "__repeat_starts"
 DOCUMENT = f"{KEYS[0]} long, {KEYS[1]} long, {STARTS} binary"
 PACKED = "key int, docs binary, counts binary, starts binary, hashes binary"
 
@@ -126,7 +126,7 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return np.stack([batch.column(batch.schema.get_field_index(n)).to_numpy() for n in KEYS], axis=1)
 
 
-def _anchors(n_buckets: int, window: int, period: int):
+def _anchors(n_buckets: int, text: str, window: int, period: int):
     """Documents to packed anchors; repeated ones of a batch go to their documents' groups."""
     length = window - period + 1
     in_cover = np.zeros(period, dtype=bool)
@@ -134,7 +134,7 @@ def _anchors(n_buckets: int, window: int, period: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = utf8(batch, TEXT), _ids(batch)
+            texts, ids = utf8(batch, text), _ids(batch)
             for a, b in chunks(texts):
                 words, counts = _word_hashes(texts[a:b])
                 doc = np.repeat(np.arange(a, b), counts)
@@ -169,12 +169,12 @@ def _repeated_anchors(n_buckets: int):
     return run
 
 
-def _windows(n_buckets: int, window: int, period: int):
+def _windows(n_buckets: int, text: str, window: int, period: int):
     """Documents with repeated anchors to the packed windows around these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = utf8(batch, TEXT), _ids(batch)
+            texts, ids = utf8(batch, text), _ids(batch)
             marks = utf8(batch, STARTS)
             for a, b in chunks(texts):
                 words, counts = _word_hashes(texts[a:b])
@@ -257,7 +257,8 @@ def _removed(window: int, text: str, names: list[str]):
 
 
 def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    return docs.withColumn(KEYS[0], key_of(doc_id)).withColumn(KEYS[1], F.xxhash64(F.col(text).cast("string")))
+    texts = docs.withColumn(text, F.col(text).cast("string"))
+    return texts.withColumn(KEYS[0], key_of(doc_id)).withColumn(KEYS[1], F.xxhash64(text))
 
 
 def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = 20, period: int = 13) -> DataFrame:
@@ -266,12 +267,12 @@ def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     size = docs.agg(F.sum(F.length(text).cast("double"))).first()[0] or 0
     n = max(1, -int(-size // BUCKET_BYTES))
     keyed = _keyed(docs, text, doc_id)
-    whole = F.col(text).cast("string").alias(TEXT)
-    found = keyed.select(*KEYS, whole).mapInArrow(_anchors(n, window, period), PACKED)
+    found = keyed.select(*KEYS, text).mapInArrow(_anchors(n, text, window, period), PACKED)
     found = found.groupBy("key").applyInArrow(_repeated_anchors(n), PACKED)
     marked = found.groupBy("key").applyInArrow(_by_document, DOCUMENT)
-    near = keyed.join(marked, KEYS).select(*KEYS, whole, STARTS)
-    sent = near.mapInArrow(_windows(n, window, period), PACKED).groupBy("key").applyInArrow(_repeated_windows(n), PACKED)
+    # all columns stay in, so that a caller who joins the documents again reads this shuffle again
+    near = keyed.join(marked, KEYS)
+    sent = near.mapInArrow(_windows(n, text, window, period), PACKED).groupBy("key").applyInArrow(_repeated_windows(n), PACKED)
     return sent.groupBy("key").applyInArrow(_by_document, DOCUMENT)
 
 
@@ -281,7 +282,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     starts = repeated_windows(docs, text, doc_id, window, period)
     kept = [c for c in docs.columns if c not in (text, "n_words", "n_removed")]
     names = [*kept, text, "n_words", "n_removed"]
-    joined = _keyed(docs, text, doc_id).join(starts, KEYS, "left").select(*kept, F.col(text).cast("string"), STARTS)
+    joined = _keyed(docs, text, doc_id).join(starts, KEYS, "left")
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.select(*kept).dtypes)
     schema = ", ".join(x for x in (schema, f"`{text}` string", "n_words long", "n_removed long") if x)
     return joined.mapInArrow(_removed(window, text, names), schema)
