@@ -41,12 +41,15 @@ SENSITIVE = {
 PLACEHOLDERS = {"changeme", "example", "placeholder", "none", "null", "true", "false", "undefined", "todo", "xxx"}
 THRESHOLD = 0.45
 
-_NAME = r"[A-Za-z_$][\w$]*(?:(?:\.|->|::|-)[A-Za-z_$][\w$]*)*"
-_LITERAL = r'"(?:[^"\\\n]|\\.)*"' + r"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"
+# Possessive quantifiers, and names that begin where no word character stands before, keep the
+# lexer linear on words and lines of any length.
+_NAME = r"(?<![\w$])[A-Za-z_$][\w$]*+(?:(?:\.|->|::|-)[A-Za-z_$][\w$]*+)*+"
+_LITERAL = r'"(?:[^"\\\n]|\\.)*+"' + r"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`"
+_BARE = r"""[^\s"'`,;]++"""
 _PAIR = re.compile(
-    rf"""(?P<quote>["']?)(?P<name>{_NAME})(?P=quote)(?:\[\s*(?P<index>"[^"\n]*"|'[^'\n]*'|\w+)\s*\])?"""
-    rf"""[ \t]*(?::=|=>|=(?!=)|:(?!:))[ \t]*(?P<value>(?:{_LITERAL}|[^\s"'`,;]+)(?:[ \t]*\+[ \t]*(?:{_LITERAL}|[^\s"'`,;]+))*)""")
-_PART = re.compile(rf"(?P<literal>{_LITERAL})|(?P<ref>\$\{{\w+\}}|\$\w+)|(?P<bare>[^\s\"'`,;+]+)")
+    rf"""(?P<quote>["']?)(?P<name>{_NAME})(?P=quote)(?:\[[ \t]*+(?P<index>"[^"\n]*+"|'[^'\n]*+'|\w++)[ \t]*+\])?"""
+    rf"""[ \t]*+(?::=|=>|=(?!=)|:(?!:))[ \t]*+(?P<value>(?:{_LITERAL}|{_BARE})(?:[ \t]*+\+[ \t]*+(?:{_LITERAL}|{_BARE}))*+)""")
+_PART = re.compile(rf"(?P<literal>{_LITERAL})|(?P<ref>\$\{{\w+\}}|\$\w+)|(?P<bare>[^\s\"'`,;+]++)")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
