@@ -71,5 +71,6 @@ def remove_boilerplate(
     new = {text: after}
     if chars:
         new[chars] = F.length(after).cast(dict(docs.dtypes)[chars])
-    return rows.join(gone, ["id", "hash"], "left").select(
+    # the documents with removed lines grow with the corpus: one plan for every size
+    return rows.join(gone.hint("merge"), ["id", "hash"], "left").select(
         *[new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns])

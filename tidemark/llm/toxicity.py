@@ -248,4 +248,4 @@ def without_toxic(
     scored = score(docs, labels, text, doc_id, label)
     bad = scored.where((F.col("score") >= limit) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_of"))
     rows = docs.select(F.struct(*docs.columns).alias("row"))
-    return rows.join(bad.distinct(), F.col(f"row.{doc_id}") == F.col("_of"), "left_anti").select("row.*")
+    return rows.join(bad.distinct().hint("merge"), F.col(f"row.{doc_id}") == F.col("_of"), "left_anti").select("row.*")
