@@ -53,45 +53,62 @@ def monthly_array_backfill(
     )
 
 
-def monthly_array_step(
+def monthly_arrays_step(
     previous: DataFrame,
     today: DataFrame,
     keys: Sequence[str],
-    value_col: str,
+    value_cols: Sequence[str],
     as_of: dt.date,
     fill=None,
     value_type: str = "long",
-    out: str | None = None,
 ) -> DataFrame:
-    """Previous partition + today's value -> partition ``as_of`` (day by day).
+    """Previous partition + today's values -> partition ``as_of`` (day by day), one array per value.
 
     Values are placed by day index: a previous array shorter than the day index (a missed
     day) is padded with ``fill`` first, so a skipped run never shifts later days. Rows of
     another month in ``previous`` are ignored, so the 1st of a month starts fresh.
     """
-    out = out or value_col
     month_start = F.trunc(_d(as_of), "month")
     idx = F.datediff(_d(as_of), month_start)
     prev = previous.where(F.col("month_start") == month_start).select(
-        *keys, F.col(out).alias("_prev"), F.col("first_found_date").alias("_first")
+        *keys, *[F.col(c).alias(f"_prev_{c}") for c in value_cols], F.col("first_found_date").alias("_first")
     )
-    cur = today.select(*keys, F.col(value_col).cast(value_type).alias("_today"), F.lit(True).alias("_here"))
+    cur = today.select(*keys, *[F.col(c).cast(value_type).alias(f"_today_{c}") for c in value_cols], F.lit(True).alias("_here"))
     j = prev.join(cur, list(keys), "full")
     filler = F.lit(fill).cast(value_type)
-    base = F.coalesce(F.col("_prev"), F.array().cast(f"array<{value_type}>"))
-    pad = F.array_repeat(filler, F.greatest(idx - F.size(base), F.lit(0)))
-    head = F.slice(F.concat(base, pad), 1, idx)  # a re-run of the same day replaces, not appends
-    value = F.when(F.col("_here").isNotNull(), F.coalesce(F.col("_today"), filler)).otherwise(filler)
-    first_found = F.least(F.col("_first"), F.when(F.col("_here").isNotNull(), _d(as_of)))
+    here = F.col("_here").isNotNull()
+
+    def extended(c: str) -> Column:
+        base = F.coalesce(F.col(f"_prev_{c}"), F.array().cast(f"array<{value_type}>"))
+        pad = F.array_repeat(filler, F.greatest(idx - F.size(base), F.lit(0)))
+        head = F.slice(F.concat(base, pad), 1, idx)  # a re-run of the same day replaces, not appends
+        value = F.when(here, F.coalesce(F.col(f"_today_{c}"), filler)).otherwise(filler)
+        return F.concat(head, F.array(value)).alias(c)
+
     return j.select(
         *keys,
-        F.concat(head, F.array(value)).alias(out),
+        *[extended(c) for c in value_cols],
         month_start.alias("month_start"),
-        first_found.alias("first_found_date"),
+        F.least(F.col("_first"), F.when(here, _d(as_of))).alias("first_found_date"),
         _d(as_of).alias("date_partition"),
     )
 
 
+def monthly_array_step(
+    previous: DataFrame,
+    today: DataFrame,
+    keys: Sequence[str],
+    value_col: str,
+    as_of: dt.date,
+    fill=None,
+    value_type: str = "long",
+    out: str | None = None,
+) -> DataFrame:
+    """``monthly_arrays_step`` for one value, whose array is named ``out``."""
+    out = out or value_col
+    return monthly_arrays_step(previous, today.withColumnRenamed(value_col, out), keys, [out], as_of, fill, value_type)
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keyed upsert without a MERGE-capable format: target rows not in updates + updates.
 

@@ -46,8 +46,20 @@ def player_game_edges(details: DataFrame) -> DataFrame:
     )
 
 
+def plays_on_edges(details: DataFrame) -> DataFrame:
+    """``plays_on`` edges: a player and each team that the player has played for."""
+    per_team = details.groupBy("player_id", "team_id").agg(
+        F.sum("pts").alias("pts"), F.min("team_abbreviation").alias("team_abbreviation"), F.count(F.lit(1)).alias("num_games"))
+    return per_team.select(
+        F.col("player_id").cast("string").alias("subject_identifier"), F.lit("player").alias("subject_type"),
+        F.col("team_id").cast("string").alias("object_identifier"), F.lit("team").alias("object_type"),
+        F.lit("plays_on").alias("edge_type"),
+        properties(pts="pts", team_abbreviation="team_abbreviation", num_games="num_games").alias("properties"),
+    )
+
+
 def player_player_edges(details: DataFrame, hot_roster: int | None = None, salt_buckets: int = 16) -> DataFrame:
-    """``shares_team`` / ``plays_against`` edges between players of the same game.
+    """``shares_team`` / ``plays_against`` edges between players of the same game, of different names.
 
     The edges are pairs by definition, so the join emits, per game, the pairs of its roster
     (sum of squared roster sizes — at most 7 lines per order in the stand-in data), and the
@@ -60,7 +72,7 @@ def player_player_edges(details: DataFrame, hot_roster: int | None = None, salt_
     then summed per (player, player, edge type) with map-side combining. A pair can get two
     rows, one per edge type, when a player changes team.
     """
-    side = details.select("game_id", "player_id", "team_abbreviation", "pts")
+    side = details.select("game_id", "player_id", "player_name", "team_abbreviation", "pts")
     if hot_roster is None:
         marked, is_hot = side, F.lit(False)
     else:
@@ -71,17 +83,17 @@ def player_player_edges(details: DataFrame, hot_roster: int | None = None, salt_
         marked = side.join(hot, "game_id", "left")
         is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     a = marked.select(
-        "game_id", "player_id", "team_abbreviation", "pts",
+        "game_id", "player_id", "player_name", "team_abbreviation", "pts",
         F.when(is_hot, F.abs(F.xxhash64("player_id")) % salt_buckets).otherwise(0).alias("_salt"),
     ).alias("a")
     b = marked.select(
-        "game_id", "player_id", "team_abbreviation", "pts",
+        "game_id", "player_id", "player_name", "team_abbreviation", "pts",
         F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))).alias("_salt"),
     ).alias("b")
     pairs = a.join(
         b,
         (F.col("a.game_id") == F.col("b.game_id")) & (F.col("a._salt") == F.col("b._salt"))
-        & (F.col("a.player_id") > F.col("b.player_id")),
+        & (F.col("a.player_id") > F.col("b.player_id")) & (F.col("a.player_name") != F.col("b.player_name")),
     )
     edge_type = F.when(F.col("a.team_abbreviation") == F.col("b.team_abbreviation"), "shares_team").otherwise(
         "plays_against"

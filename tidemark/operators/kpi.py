@@ -65,3 +65,19 @@ def dashboard_cube(orders: DataFrame, customer: DataFrame, nation: DataFrame, re
         rows, ["region", "nation", "segment"],
         [F.sum("revenue_cents").alias("revenue_cents"), F.sum("n_orders").alias("n_orders")],
     )
+
+
+def daily_kpis(events: DataFrame) -> DataFrame:
+    """The fixed KPI table, a row per day: events, active users, sign-ups, purchases and revenue.
+
+    Users are folded to one row per (day, user) before the count, so that a busy user costs a row."""
+    kind = F.col("event_type")
+    per_user = events.groupBy(F.to_date("ts").alias("date"), "user_id").agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.count_if(kind == "signup").alias("signups"),
+        F.count_if(kind == "purchase").alias("purchases"),
+        F.sum(F.when(kind == "purchase", cents(F.col("value"))).otherwise(0)).alias("revenue_cents"),
+    )
+    return per_user.groupBy(F.col("date").cast("string").alias("date")).agg(
+        F.sum("n_events").alias("n_events"), F.count("user_id").alias("active_users"),
+        *[F.sum(c).alias(c) for c in ("signups", "purchases", "revenue_cents")])

@@ -11,26 +11,31 @@ from .sequence import null_safe_join, running_totals
 
 
 def rolling_counts(
-    daily: DataFrame, group: Sequence[str], date_col: str, count_col: str, min_total: int | None = None
+    daily: DataFrame, group: Sequence[str], date_col: str, count_col: str, min_total: int | None = None,
+    calendar: bool = False,
 ) -> DataFrame:
     """Trend smoothing on one row per (group, day).
 
     month_total (whole month), running_total (default RANGE frame), total (whole group),
     weekly_rolling_count (rows -6..0), previous_week_count (rows -13..-7: the reference's
-    -13..-6 overlapped the current week by one row), pct_of_month, pct_of_total.
+    -13..-6 overlapped the current week by one row), pct_of_month, pct_of_total. With ``calendar``
+    both weekly frames count days instead of rows, so that a missing day does not stretch a week.
     Each window partition is one group's days, bounded by the calendar, not by events.
     """
     c = F.col(count_col)
     base = Window.partitionBy(*group).orderBy(date_col)
     whole = Window.partitionBy(*group)
     month = Window.partitionBy(*group, F.trunc(F.col(date_col), "month"))
+    by_day = Window.partitionBy(*group).orderBy(F.unix_date(F.col(date_col)))
+    week = by_day.rangeBetween(-6, 0) if calendar else base.rowsBetween(-6, 0)
+    week_before = by_day.rangeBetween(-13, -7) if calendar else base.rowsBetween(-13, -7)
     out = daily.select(
         "*",
         F.sum(c).over(month).alias("month_total"),
         F.sum(c).over(base).alias("running_total"),
         F.sum(c).over(whole).alias("total"),
-        F.sum(c).over(base.rowsBetween(-6, 0)).alias("weekly_rolling_count"),
-        F.sum(c).over(base.rowsBetween(-13, -7)).alias("previous_week_count"),
+        F.sum(c).over(week).alias("weekly_rolling_count"),
+        F.sum(c).over(week_before).alias("previous_week_count"),
     )
     out = out.withColumn("pct_of_month", c.cast("double") / F.col("month_total")).withColumn(
         "pct_of_total", c.cast("double") / F.col("total")

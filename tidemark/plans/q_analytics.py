@@ -10,6 +10,7 @@ from ..functions.numeric import cents
 from ..operators import cubes, graph, rollups, trends
 from ..operators.dedupe import dedupe_rows, keep_first
 from ..operators.funnel import funnel
+from ..session import staging_path
 from ..sources import adapters
 from ..sources.tables import Tables
 
@@ -55,10 +56,10 @@ def channel_events(t: Tables, how: str = "inner") -> DataFrame:
     return ev.withColumn("referrer", pattern_class(F.col("referrer"), STANDIN_REFERRER_RULES))
 
 
-def q_rolling_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rolling_hits(spark: SparkSession, sf_dir: str, calendar: bool) -> DataFrame:
     ev = channel_events(Tables(spark, sf_dir))
     daily = ev.groupBy("referrer", "url", "event_date").agg(F.count(F.lit(1)).alias("num_hits"))
-    out = trends.rolling_counts(daily, ["referrer", "url"], "event_date", "num_hits", TREND_MIN_TOTAL)
+    out = trends.rolling_counts(daily, ["referrer", "url"], "event_date", "num_hits", TREND_MIN_TOTAL, calendar)
     # previous_week_count is NULL for the first week (no rows in the frame): carried as a
     # double so missing values stay NULL/NaN rather than turning a count column into floats
     # on some rows only.
@@ -69,6 +70,14 @@ def q_rolling_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_rolling_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling_hits(spark, sf_dir, calendar=False)
+
+
+def q_rolling_hits_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling_hits(spark, sf_dir, calendar=True)
+
+
 def q_referrer_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = adapters.web_events(Tables(spark, sf_dir))
     ch = ev.select("referrer", pattern_class(F.col("referrer"), STANDIN_REFERRER_RULES).alias("channel"))
@@ -185,7 +194,9 @@ def q_player_player_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def graph_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(vertices, edges) of the whole graph: player, game and team vertices; plays_in,
     shares_team and plays_against edges."""
-    details = deduped_details(t)
+    path = staging_path(t.spark, "game-details")
+    deduped_details(t).write.parquet(path)  # read by five parts of the graph, computed once
+    details = t.spark.read.parquet(path)
     facts = details.join(adapters.game_dates(t), "game_id")
     players = details.groupBy("player_id").agg(
         F.min("player_name").alias("player_name"), F.count(F.lit(1)).alias("games"), F.sum("pts").alias("pts")
@@ -200,10 +211,32 @@ def graph_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
         .withColumn("identifier", F.col("identifier").cast("string"))
     )
     cols = ["subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type", "properties"]
-    e = graph.player_game_edges(details).select(*cols).unionByName(graph.player_player_edges(details).select(*cols))
+    e = (
+        graph.player_game_edges(details).select(*cols)
+        .unionByName(graph.player_player_edges(details).select(*cols))
+        .unionByName(graph.plays_on_edges(details).select(*cols))
+    )
     return v, e
 
 
+def _props(df: DataFrame, *names: str) -> DataFrame:
+    """The map of properties as one text of ``name=value`` in the order of ``names``."""
+    parts = [F.concat(F.lit(f"{n}="), F.col("properties")[n]) for n in names]
+    return df.withColumn("properties", F.concat_ws(";", *parts))
+
+
+VERTEX_PROPERTIES = ("player_name", "games", "pts", "season", "players", "abbreviation", "nickname", "city", "arena", "year_founded")
+EDGE_PROPERTIES = ("start_position", "pts", "team_id", "team_abbreviation", "num_games", "subject_points", "object_points")
+
+
+def q_graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _props(graph_tables(Tables(spark, sf_dir))[0], *VERTEX_PROPERTIES)
+
+
+def q_graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _props(graph_tables(Tables(spark, sf_dir))[1], *EDGE_PROPERTIES)
+
+
 def q_graph_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row and key counts per vertex and edge type (the key uniqueness check of the DDL)."""
     v, e = graph_tables(Tables(spark, sf_dir))
@@ -279,6 +312,7 @@ def q_device_user_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "device_hits_grouping_sets": q_device_hits_grouping_sets,
     "rolling_hits": q_rolling_hits,
+    "rolling_hits_calendar": q_rolling_hits_calendar,
     "referrer_channel": q_referrer_channel,
     "funnel": q_funnel,
     "game_grouping_sets": q_game_grouping_sets,
@@ -290,6 +324,8 @@ QUERIES = {
     "player_game_edges": q_player_game_edges,
     "player_player_edges": q_player_player_edges,
     "graph_tables": q_graph_tables,
+    "graph_vertices": q_graph_vertices,
+    "graph_edges": q_graph_edges,
     "events_with_devices": q_events_with_devices,
     "left_join_devices": q_left_join_devices,
     "daily_hits": q_daily_hits,
@@ -350,7 +386,7 @@ pairs AS (
   SELECT a.player_id AS sid, b.player_id AS oid,
          CASE WHEN a.team_abbreviation = b.team_abbreviation THEN 'shares_team' ELSE 'plays_against' END AS edge_type,
          COUNT(*) AS num_games, SUM(a.pts) AS subject_points, SUM(b.pts) AS object_points
-  FROM facts a JOIN facts b ON a.game_id = b.game_id AND a.player_id > b.player_id
+  FROM facts a JOIN facts b ON a.game_id = b.game_id AND a.player_id > b.player_id AND a.player_name <> b.player_name
   GROUP BY 1, 2, 3
 )"""
 
@@ -384,6 +420,22 @@ SELECT x.channel AS referrer, x.page AS url, CAST(x.day AS VARCHAR) AS event_dat
          AS pct_of_month,
        x.n / CAST(SUM(o.n) AS DOUBLE) AS pct_of_total
 FROM placed x JOIN placed o ON o.channel = x.channel AND o.page = x.page
+GROUP BY x.channel, x.page, x.day, x.n, x.place HAVING SUM(o.n) > 30""",
+    # The same with days in place of rows.
+    "rolling_hits_calendar": f"""WITH {WEB},
+hits AS (SELECT {CHANNEL.format(c='we.referrer')} AS channel, we.url AS page, we.event_date AS day, COUNT(*) AS n
+         FROM we SEMI JOIN dev USING (device_id) WHERE we.referrer IS NOT NULL GROUP BY ALL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY channel, page ORDER BY day) AS place FROM hits)
+SELECT x.channel AS referrer, x.page AS url, CAST(x.day AS VARCHAR) AS event_date, x.n AS num_hits,
+       CAST(SUM(o.n) FILTER (WHERE year(o.day) = year(x.day) AND month(o.day) = month(x.day)) AS BIGINT) AS month_total,
+       CAST(SUM(o.n) FILTER (WHERE o.day <= x.day) AS BIGINT) AS running_total,
+       CAST(SUM(o.n) AS BIGINT) AS total,
+       CAST(SUM(o.n) FILTER (WHERE x.day - o.day BETWEEN 0 AND 6) AS BIGINT) AS weekly_rolling_count,
+       CAST(SUM(o.n) FILTER (WHERE x.day - o.day BETWEEN 7 AND 13) AS DOUBLE) AS previous_week_count,
+       x.n / CAST(SUM(o.n) FILTER (WHERE year(o.day) = year(x.day) AND month(o.day) = month(x.day)) AS DOUBLE)
+         AS pct_of_month,
+       x.n / CAST(SUM(o.n) AS DOUBLE) AS pct_of_total
+FROM placed x JOIN placed o ON o.channel = x.channel AND o.page = x.page
 GROUP BY x.channel, x.page, x.day, x.n, x.place HAVING SUM(o.n) > 30""",
     "referrer_channel": f"""WITH {WEB}
 SELECT {CHANNEL.format(c='referrer')} AS channel, COUNT(*) AS n_events, COUNT(DISTINCT referrer) AS n_referrers
@@ -450,7 +502,28 @@ FROM facts
 UNION ALL SELECT 'vertex', 'game', COUNT(DISTINCT game_id), COUNT(DISTINCT game_id) FROM facts
 UNION ALL SELECT 'vertex', 'team', COUNT(*), COUNT(*) FROM teams WHERE rn = 1
 UNION ALL SELECT 'edge', 'plays_in', COUNT(*), COUNT(*) FROM facts
+UNION ALL SELECT 'edge', 'plays_on', COUNT(*), COUNT(*) FROM (SELECT DISTINCT player_id, team_id FROM facts)
 UNION ALL SELECT 'edge', edge_type, COUNT(*), COUNT(*) FROM pairs GROUP BY edge_type""",
+    "graph_vertices": f"""WITH {GAMES}, {TEAMS}
+SELECT CAST(player_id AS VARCHAR) AS identifier, 'player' AS type,
+       'player_name=' || MIN(player_name) || ';games=' || COUNT(*) || ';pts=' || CAST(SUM(pts) AS VARCHAR) AS properties
+FROM facts GROUP BY player_id
+UNION ALL SELECT CAST(game_id AS VARCHAR), 'game',
+       'pts=' || CAST(SUM(pts) AS VARCHAR) || ';season=' || MIN(season) || ';players=' || COUNT(*) FROM facts GROUP BY game_id
+UNION ALL SELECT CAST(team_id AS VARCHAR), 'team', 'abbreviation=' || abbreviation || ';nickname=' || nickname || ';city=' || city
+       || ';arena=' || arena || ';year_founded=' || yearfounded FROM teams WHERE rn = 1""",
+    "graph_edges": f"""WITH {GAMES}, {PAIRS}
+SELECT CAST(player_id AS VARCHAR) AS subject_identifier, 'player' AS subject_type, CAST(game_id AS VARCHAR) AS object_identifier,
+       'game' AS object_type, 'plays_in' AS edge_type,
+       'start_position=' || start_position || ';pts=' || CAST(pts AS VARCHAR) || ';team_id=' || team_id
+         || ';team_abbreviation=' || team_abbreviation AS properties
+FROM facts
+UNION ALL SELECT CAST(sid AS VARCHAR), 'player', CAST(oid AS VARCHAR), 'player', edge_type,
+       'num_games=' || num_games || ';subject_points=' || CAST(subject_points AS VARCHAR) || ';object_points='
+         || CAST(object_points AS VARCHAR) FROM pairs
+UNION ALL SELECT CAST(player_id AS VARCHAR), 'player', CAST(team_id AS VARCHAR), 'team', 'plays_on',
+       'pts=' || CAST(SUM(pts) AS VARCHAR) || ';team_abbreviation=' || MIN(team_abbreviation) || ';num_games=' || COUNT(*)
+FROM facts GROUP BY player_id, team_id""",
     "events_with_devices": f"""WITH {WEB}
 SELECT we.event_id, we.user_id, we.device_id, upper(d.browser_type) AS browser, d.os_type, d.device_type,
        COALESCE(we.referrer, 'unknown') AS referrer, we.url

@@ -143,6 +143,14 @@ def q_scoring_improvement(spark: SparkSession, sf_dir: str) -> DataFrame:
 ACTOR_TRACKED = ("quality_class", "is_active")
 
 
+def q_actor_films_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The films of the actors' history as a child frame keyed by (actorid, year, filmid): every
+    film with its votes and rating, where the reference keeps an unbounded array per actor."""
+    films = adapters.actor_films(Tables(spark, sf_dir))
+    return films.groupBy("actorid", "year", "filmid").agg(
+        F.min("actor").alias("actor"), F.min("film").alias("film"), F.max("votes").alias("votes"), F.max("rating").alias("rating"))
+
+
 def actor_years(t: Tables) -> DataFrame:
     films = adapters.actor_films(t)
     rating_milli = F.round(F.col("rating") * 1000).cast("long")
@@ -215,6 +223,7 @@ QUERIES = {
     "unnest_seasons": q_unnest_seasons,
     "scoring_improvement": q_scoring_improvement,
     "actors_cumulative": q_actors_cumulative,
+    "actor_films_rows": q_actor_films_rows,
     "actors_scd_backfill": q_actors_scd_backfill,
     "actors_scd_incremental": q_actors_scd_incremental,
 }
@@ -324,6 +333,11 @@ SELECT actorid, quality_class, is_active, CAST(MIN(year) AS INTEGER) AS start_ye
 FROM islands GROUP BY actorid, quality_class, is_active, grp"""
 
 ORACLES = {
+    "actor_films_rows": """
+SELECT o.o_custkey AS actorid, CAST(year(o.o_orderdate) AS INTEGER) AS year, CAST(o.o_orderkey AS VARCHAR) AS filmid,
+       c.c_name AS actor, 'film_' || CAST(o.o_orderkey AS VARCHAR) AS film, o.o_orderkey % 1000 AS votes,
+       CAST(CAST(round(o.o_totalprice * 100) AS BIGINT) // 5000 AS DOUBLE) / 1000 AS rating
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""",
     "players_backfill": f"WITH {SNAP_CTE} SELECT {_SNAP_COLS} FROM snap",
     "players_step": f"WITH {SNAP_CTE} SELECT {_SNAP_COLS} FROM snap WHERE season = (SELECT s FROM last_season)",
     "scd_backfill": SCD_PLAYERS,

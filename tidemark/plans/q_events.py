@@ -123,7 +123,7 @@ def q_monthly_site_hits_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-METRIC = "site_hits"
+METRIC, OTHER_METRIC = "site_hits", "hosts_seen"
 
 
 def _metric_rows(df: DataFrame) -> DataFrame:
@@ -147,8 +147,26 @@ def array_metrics_state(t: Tables, d: dt.date) -> DataFrame:
 
 
 def q_upsert_array_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Today's hits upserted into a table that also holds the month before (which stays as it is)
+    and another metric (which stays too): only this month's hit arrays are replaced."""
     t = Tables(spark, sf_dir)
-    state = array_metrics_state(t, last_day(t))
+    d = last_day(t)
+    daily = daily_hits(t, "user_id")
+    y = d - dt.timedelta(days=1)
+    month_end = d.replace(day=1) - dt.timedelta(days=1)
+    before = _metric_rows(am.monthly_array_backfill(daily, ["user_id"], "event_date", ["num_hits"], month_end, fill=0))
+    hosts = user_activity(t).groupBy("user_id", "event_date").agg(F.countDistinct("host").alias("num_hits"))
+    other = _metric_rows(am.monthly_array_backfill(hosts, ["user_id"], "event_date", ["num_hits"], y, fill=0))
+    other = other.withColumn("metric_name", F.lit(OTHER_METRIC))
+    this = am.monthly_array_backfill(daily, ["user_id"], "event_date", ["num_hits"], y, fill=0)
+    target = before.unionByName(other)
+    if y.month == d.month:
+        target = target.unionByName(_metric_rows(this))
+    else:
+        this = this.where(F.lit(False))
+    today = daily.where(F.col("event_date") == F.lit(d).cast("date"))
+    step = am.monthly_array_step(this, today, ["user_id"], "num_hits", d, fill=0)
+    state = am.upsert(target, _metric_rows(step), ["user_id", "month_start", "metric_name"])
     return state.select(
         "user_id", _s("month_start").alias("month_start"), "metric_name",
         arrays.join_values(F.col("metric_array")).alias("metric_array"),
@@ -210,6 +228,19 @@ def q_host_activity_reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_host_activity_reduced_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reduced host fact loaded day by day: yesterday's partition and today's hits and visitors."""
+    t = Tables(spark, sf_dir)
+    d = last_day(t)
+    per_day = host_daily_visits(t)
+    values = ["hit_array", "unique_visitors"]
+    y = d - dt.timedelta(days=1)
+    prev = am.monthly_array_backfill(per_day, ["host"], "event_date", values, y, fill=0)
+    today = per_day.where(F.col("event_date") == F.lit(d).cast("date"))
+    step = am.monthly_arrays_step(prev, today, ["host"], values, d, fill=0)
+    return step.select(_s("month_start").alias("month_start"), "host", *[arrays.join_values(F.col(c)).alias(c) for c in values])
+
+
 # --- growth accounting on purchases ---
 
 
@@ -279,6 +310,7 @@ QUERIES = {
     "user_devices_datelist_int": q_user_devices_datelist_int,
     "hosts_cumulated": q_hosts_cumulated,
     "host_activity_reduced": q_host_activity_reduced,
+    "host_activity_reduced_step": q_host_activity_reduced_step,
     "growth_accounting": q_growth_accounting,
     "growth_accounting_step": q_growth_accounting_step,
     "retention_curve": q_retention_curve,
@@ -402,11 +434,28 @@ SELECT CAST(a.m AS VARCHAR) AS month_start,
        COUNT(*) FILTER (WHERE ev.d = a.m + 1) AS num_hits_second_day,
        COUNT(*) FILTER (WHERE ev.d = a.m + 2) AS num_hits_third_day
 FROM ev, cal a WHERE ev.d BETWEEN a.m AND a.d GROUP BY a.m""",
-    "upsert_array_metrics": f"""WITH {EV}, {MONTH_GRID}
-SELECT g.user_id, CAST((SELECT m FROM cal) AS VARCHAR) AS month_start, 'site_hits' AS metric_name,
-       string_agg(CAST(COALESCE(md.n, 0) AS VARCHAR), ',' ORDER BY g.d) AS metric_array,
-       COUNT(*) AS n_days
-FROM grid g LEFT JOIN mdaily md ON md.user_id = g.user_id AND md.d = g.d GROUP BY g.user_id""",
+    # Three parts of the table: this month's hits to the as-of day, the month before, and the hosts
+    # seen this month up to the day before (another metric, which the upsert must leave alone).
+    "upsert_array_metrics": f"""WITH {EV},
+spans AS (
+  SELECT 'site_hits' AS metric, m AS first, d AS last FROM cal
+  UNION ALL SELECT 'site_hits', CAST(m - INTERVAL 1 MONTH AS DATE), m - 1 FROM cal
+  UNION ALL SELECT 'hosts_seen', CAST(date_trunc('month', d - 1) AS DATE), d - 1 FROM cal
+),
+vals AS (
+  SELECT s.metric, s.first, ev.user_id, ev.d,
+         CASE WHEN s.metric = 'site_hits' THEN COUNT(*) ELSE COUNT(DISTINCT ev.host) END AS n
+  FROM spans s JOIN ev ON ev.d BETWEEN s.first AND s.last GROUP BY s.metric, s.first, ev.user_id, ev.d
+),
+days AS (SELECT s.metric, s.first, CAST(unnest(generate_series(s.first, s.last, INTERVAL 1 DAY)) AS DATE) AS d FROM spans s),
+cells AS (
+  SELECT u.metric, u.first, u.user_id, days.d, COALESCE(v.n, 0) AS n
+  FROM (SELECT DISTINCT metric, first, user_id FROM vals) u JOIN days ON days.metric = u.metric AND days.first = u.first
+  LEFT JOIN vals v ON v.metric = u.metric AND v.first = u.first AND v.user_id = u.user_id AND v.d = days.d
+)
+SELECT user_id, CAST(first AS VARCHAR) AS month_start, metric AS metric_name,
+       string_agg(CAST(n AS VARCHAR), ',' ORDER BY d) AS metric_array, COUNT(*) AS n_days
+FROM cells GROUP BY user_id, first, metric""",
     "array_metrics_by_day": f"""WITH {EV}
 SELECT 'site_hits' AS metric_name, CAST(CAST(g.d AS DATE) AS VARCHAR) AS date,
        CAST((SELECT COUNT(*) FROM ev WHERE ev.d = CAST(g.d AS DATE)) AS BIGINT) AS value
@@ -426,6 +475,15 @@ hgrid AS (SELECT h.host, CAST(g.d AS DATE) AS d FROM (SELECT DISTINCT host FROM
 SELECT CAST((SELECT m FROM cal) AS VARCHAR) AS month_start, g.host,
        string_agg(CAST(COALESCE(hd.hits, 0) AS VARCHAR), ',' ORDER BY g.d) AS hit_array,
        string_agg(CAST(COALESCE(hd.visitors, 0) AS VARCHAR), ',' ORDER BY g.d) AS unique_visitors
+FROM hgrid g LEFT JOIN hd ON hd.host = g.host AND hd.d = g.d GROUP BY g.host""",
+    "host_activity_reduced_step": f"""WITH {EV},
+hd AS (SELECT ev.host, ev.d, COUNT(*) AS hits, COUNT(DISTINCT ev.user_id) AS visitors FROM ev, cal
+       WHERE ev.d BETWEEN cal.m AND cal.d GROUP BY 1, 2),
+hgrid AS (SELECT h.host, CAST(g.d AS DATE) AS d FROM (SELECT DISTINCT host FROM hd) h, cal,
+          LATERAL (SELECT unnest(generate_series(cal.m, cal.d, INTERVAL 1 DAY)) AS d) g)
+SELECT CAST((SELECT m FROM cal) AS VARCHAR) AS month_start, g.host,
+       string_agg(CAST(COALESCE(hd.hits, 0) AS VARCHAR), ',' ORDER BY g.d) AS hit_array,
+       string_agg(CAST(COALESCE(hd.visitors, 0) AS VARCHAR), ',' ORDER BY g.d) AS unique_visitors
 FROM hgrid g LEFT JOIN hd ON hd.host = g.host AND hd.d = g.d GROUP BY g.host""",
     "growth_accounting": f"WITH {GROWTH} SELECT {_GROWTH_COLS} FROM growth",
     "growth_accounting_step": f"WITH {GROWTH} SELECT {_GROWTH_COLS} FROM growth WHERE d = (SELECT d FROM cal)",

@@ -10,6 +10,7 @@ from ..session import staging_path
 from ..sources import adapters, files
 from ..sources.contracts import EVENTS_CONTRACT, enforce_contract
 from ..sources.tables import Tables
+from .q_events import last_day
 
 EXPERIMENT = "exp_signup"
 
@@ -53,11 +54,17 @@ def q_dashboard_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.dashboard_cube(t.orders, t.customer, t.nation, t.region)
 
 
+def q_kpi_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi.daily_kpis(Tables(spark, sf_dir).events)
+
+
 def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     parts = [
         quality.table_checks(t.events, "events", "event_id", ("user_id", "ts")),
         quality.volume_checks(t.events, "ts", "events"),
+        quality.freshness_check(t.events, "ts", "events", last_day(t)),
+        quality.freshness_check(t.orders, "o_orderdate", "orders", last_day(t)),
         quality.table_checks(t.orders, "orders", "o_orderkey", ("o_custkey",)),
         quality.orphan_check(t.orders, t.customer, "o_custkey", "c_custkey", "orders"),
         quality.orphan_check(t.lineitem, t.orders, "l_orderkey", "o_orderkey", "lineitem"),
@@ -113,6 +120,7 @@ QUERIES = {
     "profit_unit": q_profit_unit,
     "profit_total": q_profit_total,
     "dashboard_cube": q_dashboard_cube,
+    "kpi_daily": q_kpi_daily,
     "quality_report": q_quality_report,
     "clean_table": q_clean_table,
     "impute_median": q_impute_median,
@@ -215,7 +223,19 @@ SELECT r.r_name AS region, n.n_name AS nation, c.c_mktsegment AS segment,
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey
 GROUP BY CUBE (r.r_name, n.n_name, c.c_mktsegment)""",
+    "kpi_daily": """
+WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)
+SELECT CAST(d AS VARCHAR) AS date,
+       (SELECT COUNT(*) FROM events e WHERE CAST(e.ts AS DATE) = d) AS n_events,
+       (SELECT COUNT(DISTINCT user_id) FROM events e WHERE CAST(e.ts AS DATE) = d) AS active_users,
+       (SELECT COUNT(*) FROM events e WHERE CAST(e.ts AS DATE) = d AND event_type = 'signup') AS signups,
+       (SELECT COUNT(*) FROM events e WHERE CAST(e.ts AS DATE) = d AND event_type = 'purchase') AS purchases,
+       (SELECT CAST(COALESCE(SUM(CAST(round(value * 100) AS BIGINT)), 0) AS BIGINT) FROM events e
+        WHERE CAST(e.ts AS DATE) = d AND event_type = 'purchase') AS revenue_cents
+FROM days""",
     "quality_report": """
+WITH per_day AS (SELECT CAST(ts AS DATE) AS d, COUNT(*) AS n, row_number() OVER (ORDER BY CAST(ts AS DATE)) AS i
+                 FROM events GROUP BY 1)
 SELECT 'events' AS table_name, 'rows' AS check_name, COUNT(*) AS value FROM events
 UNION ALL SELECT 'events', 'duplicate_event_id', COUNT(*) - COUNT(DISTINCT event_id) FROM events
 UNION ALL SELECT 'events', 'null_user_id', COUNT(*) FILTER (WHERE user_id IS NULL) FROM events
@@ -225,6 +245,16 @@ UNION ALL SELECT 'events', 'max_daily_rows', MAX(n) FROM (SELECT CAST(ts AS DATE
 UNION ALL SELECT 'events', 'days_present', COUNT(*) FROM (SELECT DISTINCT CAST(ts AS DATE) d FROM events)
 UNION ALL SELECT 'events', 'days_missing', CAST(MAX(d) - MIN(d) + 1 - COUNT(*) AS BIGINT)
   FROM (SELECT DISTINCT CAST(ts AS DATE) d FROM events)
+UNION ALL SELECT 'events', 'null_ppm_user_id', COUNT(*) FILTER (WHERE user_id IS NULL) * 1000000 // COUNT(*) FROM events
+UNION ALL SELECT 'events', 'null_ppm_ts', COUNT(*) FILTER (WHERE ts IS NULL) * 1000000 // COUNT(*) FROM events
+UNION ALL SELECT 'events', 'max_daily_shift', MAX(abs(b.n - a.n)) FROM per_day a JOIN per_day b ON b.i = a.i + 1
+UNION ALL SELECT 'events', 'max_daily_shift_ppm', CAST(MAX(floor(abs(b.n - a.n) * 1000000 / a.n)) AS BIGINT)
+  FROM per_day a JOIN per_day b ON b.i = a.i + 1
+UNION ALL SELECT 'events', 'days_stale', 0
+UNION ALL SELECT 'orders', 'days_stale', date_diff('day', (SELECT CAST(MAX(o_orderdate) AS DATE) FROM orders),
+                                                   (SELECT CAST(MAX(ts) AS DATE) FROM events))
+UNION ALL SELECT 'orders', 'null_ppm_o_custkey', COUNT(*) FILTER (WHERE o_custkey IS NULL) * 1000000 // COUNT(*) FROM orders
+UNION ALL SELECT 'customer', 'null_ppm_c_name', COUNT(*) FILTER (WHERE c_name IS NULL) * 1000000 // COUNT(*) FROM customer
 UNION ALL SELECT 'orders', 'rows', COUNT(*) FROM orders
 UNION ALL SELECT 'orders', 'duplicate_o_orderkey', COUNT(*) - COUNT(DISTINCT o_orderkey) FROM orders
 UNION ALL SELECT 'orders', 'null_o_custkey', COUNT(*) FILTER (WHERE o_custkey IS NULL) FROM orders
