@@ -263,3 +263,42 @@ def test_bucket_count_scales_with_table_size():
 
     assert buckets_for(10 << 20) == 16
     assert buckets_for(100 << 40) == 131072  # 100 TB at ~1 GB per bucket (power of two)
+
+
+def test_exact_median_over_partitions(spark):
+    from tidemark.operators.cleaning import exact_median
+
+    values = [None, float("nan"), 5.0, 1.0, 1.0, 9.0, 2.0, 1.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    assert exact_median(df, "v") == 1.5
+    assert exact_median(df.where("v > 1 AND NOT isnan(v)"), "v") == 5.0
+    assert exact_median(df.where("v IS NULL"), "v") is None
+
+
+def test_inferred_csv_and_array_membership(spark):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.files import read_csv, write_csv
+
+    path = tempfile.mkdtemp(prefix="tidemark-csv-") + "/t"
+    write_csv(spark.createDataFrame([(1, "x", 1.5), (2, "y", 2.5)], "id long, name string, v double"), path)
+    inferred = read_csv(spark, path, infer=True)
+    assert [t for _, t in inferred.dtypes] == ["int", "string", "double"]
+    days = spark.createDataFrame([(["2024-01-01", "2024-01-02"],), (["2024-01-03"],)], "dates array<string>")
+    assert [r[0] for r in days.select(F.array_contains("dates", "2024-01-02")).collect()] == [True, False]
+
+
+def test_predicate_in_join_prunes_partitions(spark):
+    """J11 on a partitioned table: the predicate in the join condition becomes a partition filter."""
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    path = tempfile.mkdtemp(prefix="tidemark-part-") + "/t"
+    spark.range(100).select("id", (F.col("id") % 10).alias("day")).write.partitionBy("day").parquet(path)
+    facts, keys = spark.read.parquet(path), spark.range(100).withColumnRenamed("id", "k")
+    joined = facts.join(keys, (facts["id"] == keys["k"]) & (facts["day"] == 3))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and joined.count() == 10

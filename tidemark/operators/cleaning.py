@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sequence import running_totals
+
 
 def standard_name(name: str) -> str:
     return re.sub(r"\s+", "_", name.strip().lower())
@@ -34,15 +36,31 @@ def parse_dates(df: DataFrame, cols: Sequence[str], fmt: str | None = None) -> D
     return df.withColumn("parse_failed", failed).withColumns(parsed_cols)
 
 
+def exact_median(df: DataFrame, col: str) -> float | None:
+    """Exact median of a numeric column (NULL and NaN do not count), without gathering its values.
+
+    Values are counted (which combines before the shuffle), the counts are range partitioned by
+    value and summed up in order; the two middle values are the first whose running count reaches
+    the middle positions. Only these come to the driver."""
+    values = df.select(F.col(col).cast("double").alias("value")).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = running_totals(values.groupBy("value").agg(F.count(F.lit(1)).alias("n")), [], ["value"], "n")
+    total = counts.agg(F.sum("n")).first()[0]
+    if not total:
+        return None
+    at_least = [F.min(F.when(F.col("running") >= position, F.col("value"))) for position in ((total + 1) // 2, total // 2 + 1)]
+    low, high = counts.agg(*at_least).first()
+    return (low + high) / 2
+
+
 def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """Fill nulls of numeric columns with their median (one aggregate pass for all columns).
+    """Fill nulls of numeric columns with their median.
 
-    The exact median keeps a count per distinct value and merges them in one task: right for
-    low-cardinality columns. For high-cardinality columns pass ``approx=True`` (a bounded
-    quantile sketch per task; note it returns an observed value, e.g. 2 where the exact median
-    of 1, 2, 4, 9 is 3.0).
+    ``approx=True`` takes one pass over all columns with a bounded quantile sketch per task (it
+    returns an observed value, e.g. 2 where the exact median of 1, 2, 4, 9 is 3.0).
     """
     casted = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
-    med = (lambda c: F.percentile_approx(c, 0.5, accuracy)) if approx else F.median
-    row = casted.agg(*[med(c).alias(c) for c in cols]).first()  # one row of scalars
-    return casted.fillna({c: row[c] for c in cols if row[c] is not None})
+    if approx:
+        medians = casted.agg(*[F.percentile_approx(c, 0.5, accuracy).alias(c) for c in cols]).first().asDict()
+    else:
+        medians = {c: exact_median(casted, c) for c in cols}
+    return casted.fillna({c: m for c, m in medians.items() if m is not None})
