@@ -57,12 +57,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location for a staging table under the shared checkpoint folder.
 
-    It is deleted when the application ends: results may read it until then."""
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tidemark-staging/{name}-{uuid.uuid4().hex[:12]}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
+    The application's staging folder is deleted when it ends: results may read it until then."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-staging"  # the context's own checkpoint folder
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop)
+    files.deleteOnExit(hadoop)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:
