@@ -9,16 +9,17 @@ from tidemark.llm import toxicity
 def test_held_out_accuracy(spark):
     from tidemark.llm.queries import op2_toxicity
 
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"  # a hundredth has 14 toxic documents held out
     got = op2_toxicity(spark, sf).persist()
-    assert got.count() == 1000
+    assert got.count() == 10_000
     assert got.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
     rows = got.where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
     toxic = [r["score"] for r in rows if r["toxic"] == 1]
     clean = [r["score"] for r in rows if r["toxic"] == 0]
-    auc = np.mean([[a > b for b in clean] for a in toxic])
-    assert auc > 0.95
+    auc = np.mean(np.array(toxic)[:, None] > np.array(clean)[None, :])
+    assert auc > 0.93
     assert np.mean([s >= 0.3 for s in clean]) < 0.05
+    assert np.mean([s >= 0.3 for s in toxic]) > 0.65
 
 
 def test_probabilities_after_a_context_sum_to_one(spark):
@@ -27,7 +28,7 @@ def test_probabilities_after_a_context_sum_to_one(spark):
     rows = [(t, i % 2) for i, t in enumerate(texts)]
     labelled = spark.createDataFrame(rows, "text string, toxic int")
     grams = toxicity.count_grams(labelled).persist()
-    total = sum(len(t) for t in texts)
+    total = sum(len(t) + 3 * t.count(" ") for t in texts)  # each space is a margin
     assert grams.agg(F.sum(F.col("toxic") + F.col("ordinary"))).first()[0] == total
     shared = {r["gram"]: r["p"] for r in toxicity._shared(grams).collect()}
     by_context = {}
@@ -69,12 +70,20 @@ def test_stretch_features_equal_brute_force():
     grams, contexts = rng.normal(size=toxicity.SLOTS).astype("float32"), np.zeros(toxicity.SLOTS, "float32")
     texts = [toxicity.PAD + t for t in (b"short", b"", b"y" * 31, b"some longer text " * 9)]
     ends = np.cumsum([len(t) for t in texts])
-    mean, high = toxicity._features(b"".join(texts), grams, contexts, ends)
-    for t, m, h in zip(texts, mean, high):
+    mean, high, evidence = toxicity._features(b"".join(texts), grams, contexts, ends)
+    for t, m, h, e in zip(texts, mean, high, evidence):
         r = grams[toxicity._slot(toxicity._grams(t))].astype("float64")
         if not len(r):
-            assert (m, h) == (0, 0)
+            assert (m, h, e) == (0, 0, 0)
             continue
+        sums, at = [], 0
+        for word in t[len(toxicity.PAD):].split(b" "):
+            size = min(len(word) + 1, len(r) - at)
+            if size:
+                sums.append(min(r[at:at + size].sum(), 30))
+            at += size
+        want = sum(np.log1p(toxicity.MIXED * np.expm1(x)) for x in sums) / np.sqrt(len(sums) + 5)
+        assert np.isclose(e, want)
         w = min(toxicity.STRETCH, len(r))
         assert np.isclose(m, r.mean())
         assert np.isclose(h, max(r[i:i + w].mean() for i in range(len(r) - w + 1)))

@@ -4,12 +4,14 @@ Of all labelled training documents the n-grams of each class are counted (``ORDE
 lower-cased text; every n-gram counts). At the top order each class has its own discounted counts;
 below, both back off to one interpolated Kneser-Ney model of shared continuation counts, so that an
 expression which neither class has seen often is judged by what both have in common. A document's
-log-likelihoods under the two models are compared per byte, over the whole text and in its most
-toxic stretch; a logistic curve fitted on a further fold of labelled documents makes the score.
+log-likelihoods under the two models are compared per byte over the whole text, in its most toxic
+stretch, and word by word as evidence for a mixture (ordinary text with a share ``MIXED`` of toxic
+words), divided by the root of the number of words. A logistic curve of the three, fitted on a
+further fold of labelled documents, makes the score.
 
 The counts are rows that Spark aggregates, and grow with the corpus. What every worker holds is
 bounded: a table of ``SLOTS`` log-ratios for n-grams and one for their contexts, where n-grams
-that share a slot share their mean by count (fixed size: 4 bytes a slot). Only the two weights and
+that share a slot share their mean by count (fixed size: 4 bytes a slot). Only the three weights and
 the bias of the curve come from a sample: the ``CURVE_ROWS`` labelled rows with the smallest hash.
 
 Defined cases: NULL and empty texts have log-ratios 0 and get the curve's value there; without
@@ -33,8 +35,9 @@ from .common import add_columns, chunks, staged
 
 ORDER, DISCOUNT = 5, 0.75
 SLOTS, BLOCK = 1 << 22, 1 << 12
-#: Bytes in the stretch whose mean log-ratio is the second feature.
-STRETCH = 32
+#: Bytes in the stretch whose mean log-ratio is the second feature; share of toxic words in the third.
+STRETCH, MIXED = 12, 0.01
+FEATURES = ("mean_ratio", "high_ratio", "evidence")
 CURVE_ROWS = 20_000
 SPACES = bytes.maketrans(b"\t\n\r\x0b\x0c", b"     ")
 PAD = b" " * (ORDER - 1)
@@ -57,9 +60,10 @@ def _slot(key):
 
 
 def _normal(batch: pa.RecordBatch, text: str) -> list[bytes]:
-    """Each whole text in lower case, white space as spaces, behind a margin of spaces."""
+    """Each whole text in lower case, behind a margin of spaces, each white space made such a margin:
+    a word is judged from its own start on, whatever stands before it."""
     column = pc.utf8_lower(batch.column(batch.schema.get_field_index(text))).cast(pa.binary())
-    return [PAD + (x or b"").translate(SPACES) for x in column.to_pylist()]
+    return [PAD + (x or b"").translate(SPACES).replace(b" ", PAD) for x in column.to_pylist()]
 
 
 def _grams(data: bytes) -> np.ndarray:
@@ -163,8 +167,9 @@ def _table(rows: DataFrame, key: str, empty: float) -> bytes:
     return b"".join(found.get(i, blank) for i in range(SLOTS // BLOCK))
 
 
-def _features(data: bytes, grams: np.ndarray, contexts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mean log-ratio of each padded text in ``data``, and that of its highest stretch."""
+def _features(data: bytes, grams: np.ndarray, contexts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each padded text in ``data``: mean log-ratio, that of its highest stretch, and the evidence
+    of its words (a word ends with its space)."""
     gram = _grams(data)
     ratio = grams[_slot(gram)]
     unseen = np.flatnonzero(np.isnan(ratio))
@@ -178,11 +183,19 @@ def _features(data: bytes, grams: np.ndarray, contexts: np.ndarray, ends: np.nda
         if b > a:
             w = min(STRETCH, b - a)
             high[i] = (total[a + w : b + 1] - total[a : b + 1 - w]).max() / w
-    return mean, high
+    spaces = np.flatnonzero(np.frombuffer(data, dtype="uint8") == 32) + 1
+    edges = np.unique(np.concatenate([spaces, starts, ends]))
+    word = np.diff(total[edges])
+    of = np.minimum(np.searchsorted(ends, edges[:-1], "right"), len(ends) - 1)
+    inside = (edges[:-1] >= starts[of]) & (np.diff(edges) > 1)  # words, not margins
+    one = np.log1p(MIXED * np.expm1(np.minimum(word[inside], 30.0)))
+    words = np.bincount(of[inside], minlength=len(ends))
+    evidence = np.bincount(of[inside], weights=one, minlength=len(ends)) / np.sqrt(words + 5.0)
+    return mean, high, evidence
 
 
 def with_features(docs: DataFrame, model: tuple[bytes, bytes], text: str = "text") -> DataFrame:
-    """``docs`` with ``mean_ratio`` and ``high_ratio`` of each whole text."""
+    """``docs`` with the ``FEATURES`` of each whole text."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -192,35 +205,36 @@ def with_features(docs: DataFrame, model: tuple[bytes, bytes], text: str = "text
         for a, b in chunks(texts, 1 << 22):
             ends = np.cumsum([len(x) for x in texts[a:b]])
             parts.append(_features(b"".join(texts[a:b]), grams, contexts, ends))
-        both = [np.concatenate(x) if parts else np.zeros(0) for x in (zip(*parts) if parts else ((), ()))]
-        return [pa.array(x, pa.float64()) for x in both]
+        every = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0)] * len(FEATURES)
+        return [pa.array(x, pa.float64()) for x in every]
 
-    return add_columns(docs, [T.StructField(n, T.DoubleType()) for n in ("mean_ratio", "high_ratio")], run)
+    return add_columns(docs, [T.StructField(n, T.DoubleType()) for n in FEATURES], run)
 
 
-def _curve(rows: list[tuple[float, float, int]]) -> list[float]:
-    """Weights of the two features and a bias: logistic regression by Newton's method."""
-    x = np.array([r[:2] for r in rows], dtype="float64").reshape(-1, 2)
-    y = np.array([r[2] for r in rows], dtype="float64")
+def _curve(rows: list[tuple]) -> list[float]:
+    """Weights of the features and a bias: logistic regression by Newton's method."""
+    k = len(FEATURES)
+    x = np.array([r[:k] for r in rows], dtype="float64").reshape(-1, k)
+    y = np.array([r[k] for r in rows], dtype="float64")
     if not len(y) or y.min() == y.max():
-        return [0.0, 0.0, -1e3]
+        return [0.0] * k + [-1e3]
     middle, spread = x.mean(axis=0), x.std(axis=0) + 1e-12
     x = np.column_stack([(x - middle) / spread, np.ones(len(y))])
-    weights, ridge = np.zeros(3), np.diag([1e-2, 1e-2, 1e-6])
+    weights, ridge = np.zeros(k + 1), np.diag([0.1] * k + [1e-6])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -35, 35)))
         step = np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge, x.T @ (y - p) - ridge @ weights)
         weights += step
         if np.abs(step).max() < 1e-9:
             break
-    a, b = weights[:2] / spread
-    return [float(a), float(b), float(weights[2] - a * middle[0] - b * middle[1])]
+    slopes = weights[:k] / spread
+    return [*map(float, slopes), float(weights[k] - slopes @ middle)]
 
 
 def score(
     docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic"
 ) -> DataFrame:
-    """(doc_id, mean_ratio, high_ratio, score), a row for each row of ``docs``.
+    """(doc_id, the ``FEATURES``, score), a row for each row of ``docs``.
 
     ``labels`` has the doc_id and the label; folds 0 and 1 train the models, fold 3 the curve,
     fold 2 is held out from both."""
@@ -234,9 +248,11 @@ def score(
     model = _table(seen, "gram", np.nan), _table(unseen, "context", 0.0)
     features = staged(with_features(texts, model).drop("text"), "toxicity-features")
     sample = features.join(known.where(fold("_of") == 3), F.col("doc_id") == F.col("_of")).orderBy(
-        F.xxhash64("doc_id", "_label"), "doc_id", "mean_ratio", "high_ratio").limit(CURVE_ROWS)
-    a, b, c = _curve([(r["mean_ratio"], r["high_ratio"], r["_label"]) for r in sample.collect()])
-    line = F.lit(a) * F.col("mean_ratio") + F.lit(b) * F.col("high_ratio") + F.lit(c)
+        F.xxhash64("doc_id", "_label"), "doc_id", *FEATURES).limit(CURVE_ROWS)
+    *slopes, bias = _curve([tuple(r[n] for n in (*FEATURES, "_label")) for r in sample.collect()])
+    line = F.lit(bias)
+    for name, slope in zip(FEATURES, slopes):
+        line = line + F.lit(slope) * F.col(name)
     return features.withColumn("score", 1 / (1 + F.exp(-F.greatest(F.least(line, F.lit(500.0)), F.lit(-500.0)))))
 
 
