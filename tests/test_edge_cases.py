@@ -129,12 +129,14 @@ def test_contract_rejects_nulls_and_types(spark):
 def test_player_pairs_salted_hot_games_equal_plain(spark):
     from tidemark.operators.graph import player_player_edges
 
-    rows = [(g, p, "T" + str(p % 2), float(p)) for g in range(3) for p in range(g * 3 + 2)]
-    d = spark.createDataFrame(rows, "game_id long, player_id long, team_abbreviation string, pts double")
+    rows = [(g, p, f"P{p}", "T" + str(p % 2), float(p)) for g in range(3) for p in range(g * 3 + 2)]
+    d = spark.createDataFrame(rows, "game_id long, player_id long, player_name string, team_abbreviation string, pts double")
     cols = ["subject_identifier", "object_identifier", "edge_type", "num_games", "subject_points", "object_points"]
     plain = player_player_edges(d).select(cols)
     salted = player_player_edges(d, hot_roster=3, salt_buckets=4).select(cols)  # games 1, 2 are "hot"
     assertDataFrameEqual(salted, plain)
+    same = d.withColumn("player_name", F.lit("one name"))
+    assert player_player_edges(same).count() == 0  # an edge joins players of different names
     # rosters 0..1, 0..4, 0..7 are nested, so the distinct pairs are those of the largest game
     assert plain.groupBy("subject_identifier", "object_identifier").count().count() == 8 * 7 // 2
 
