@@ -183,14 +183,14 @@ def _features(data: bytes, grams: np.ndarray, contexts: np.ndarray, ends: np.nda
         if b > a:
             w = min(STRETCH, b - a)
             high[i] = (total[a + w : b + 1] - total[a : b + 1 - w]).max() / w
-    spaces = np.flatnonzero(np.frombuffer(data, dtype="uint8") == 32) + 1
-    edges = np.unique(np.concatenate([spaces, starts, ends]))
-    word = np.diff(total[edges])
-    of = np.minimum(np.searchsorted(ends, edges[:-1], "right"), len(ends) - 1)
-    inside = (edges[:-1] >= starts[of]) & (np.diff(edges) > 1)  # words, not margins
-    one = np.log1p(MIXED * np.expm1(np.minimum(word[inside], 30.0)))
-    words = np.bincount(of[inside], minlength=len(ends))
-    evidence = np.bincount(of[inside], weights=one, minlength=len(ends)) / np.sqrt(words + 5.0)
+    space = np.frombuffer(data, dtype="uint8") == 32
+    first = np.flatnonzero(space[:-1] & ~space[1:]) + 1  # a word: every text begins with spaces
+    last = np.append(np.flatnonzero(~space[:-1] & space[1:]) + 2, len(data))[: len(first)]
+    of = np.searchsorted(ends, first, "right")
+    word = total[np.minimum(last, ends[of])] - total[first]
+    one = np.log1p(MIXED * np.expm1(np.minimum(word, 30.0)))
+    words = np.bincount(of, minlength=len(ends))
+    evidence = np.bincount(of, weights=one, minlength=len(ends)) / np.sqrt(words + 5.0)
     return mean, high, evidence
 
 
