@@ -34,7 +34,7 @@ BITS = [1 << i for i in range(1 << FAN)]
 
 #: Pre-tokens above which a worker starts anew; characters whose new pre-tokens are taken together;
 #: characters of pre-tokens merged at once. They bound a worker's memory.
-CACHE_SIZE, BATCH_CHARS, STEP_BYTES = 1 << 18, 12 << 20, 1 << 21
+CACHE_SIZE, BATCH_CHARS, STEP_BYTES = 1 << 17, 6 << 20, 1 << 20
 
 
 class RankQueue:
