@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +18,20 @@ from ..session import staging_path
 NULL_ID = -(2**63)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the Python workers (once an application), wherever the driver found it."""
+    context = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    if context.applicationId in _shipped or not os.path.isdir(root):
+        return
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="tidemark-"))  # Spark copies it from the driver
+    context.addPyFile(shutil.make_archive(os.path.join(folder, "tidemark"), "zip", root, "tidemark"))
+    _shipped.add(context.applicationId)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the cluster's shared checkpoint folder and read it back.
 

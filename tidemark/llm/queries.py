@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, byte_bpe, chat, line_dedup, mixing, quality_rules, secret_scan, simhash, substring_dedup, toxicity
+from .common import ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
