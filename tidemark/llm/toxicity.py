@@ -211,13 +211,13 @@ def with_features(docs: DataFrame, model: tuple[bytes, bytes], text: str = "text
     return add_columns(docs, [T.StructField(n, T.DoubleType()) for n in FEATURES], run)
 
 
-def _curve(rows: list[tuple]) -> list[float]:
-    """Weights of the features and a bias: logistic regression by Newton's method."""
+def _curve(rows: list[tuple]) -> list[float] | None:
+    """Weights of the features and a bias: logistic regression by Newton's method; None with one class."""
     k = len(FEATURES)
     x = np.array([r[:k] for r in rows], dtype="float64").reshape(-1, k)
     y = np.array([r[k] for r in rows], dtype="float64")
     if not len(y) or y.min() == y.max():
-        return [0.0] * k + [-1e3]
+        return None
     middle, spread = x.mean(axis=0), x.std(axis=0) + 1e-12
     x = np.column_stack([(x - middle) / spread, np.ones(len(y))])
     weights, ridge = np.zeros(k + 1), np.diag([0.1] * k + [1e-6])
@@ -249,7 +249,10 @@ def score(
     features = staged(with_features(texts, model).drop("text"), "toxicity-features")
     sample = features.join(known.where(fold("_of") == 3), F.col("doc_id") == F.col("_of")).orderBy(
         F.xxhash64("doc_id", "_label"), "doc_id", *FEATURES).limit(CURVE_ROWS)
-    *slopes, bias = _curve([tuple(r[n] for n in (*FEATURES, "_label")) for r in sample.collect()])
+    curve = _curve([tuple(r[n] for n in (*FEATURES, "_label")) for r in sample.collect()])
+    if curve is None:
+        return features.withColumn("score", F.lit(0.0))
+    *slopes, bias = curve
     line = F.lit(bias)
     for name, slope in zip(FEATURES, slopes):
         line = line + F.lit(slope) * F.col(name)
