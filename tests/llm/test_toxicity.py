@@ -87,3 +87,29 @@ def test_stretch_features_equal_brute_force():
         w = min(toxicity.STRETCH, len(r))
         assert np.isclose(m, r.mean())
         assert np.isclose(h, max(r[i:i + w].mean() for i in range(len(r) - w + 1)))
+
+
+def test_each_gram_keeps_its_own_ratio(spark):
+    """A rare toxic n-gram and a frequent ordinary one that share a slot; unseen ones get the backoff."""
+    rng = np.random.default_rng(1)
+    words = np.unique(rng.integers(97, 123, (40_000, 5)).astype("uint8").view("S5").ravel())
+    grams = toxicity._grams(b"".join(words.tolist()))[::5]
+    slots = toxicity._slot(grams)
+    order = np.argsort(slots, kind="stable")
+    same = np.flatnonzero(slots[order][1:] == slots[order][:-1])[:4]
+    pairs = [(words[order[i]].decode(), words[order[i + 1]].decode()) for i in same]
+    assert len(pairs) == 4
+    texts = [(a + " calm") if i % 2 else f"{b} {b}\u2003{b.upper()}  calm\n{b} " for i in range(200) for a, b in [pairs[i // 2 % 3]]]
+    texts += [pairs[3][0], pairs[0][0] + " " + pairs[0][1], "", None, " \n ", "zq\u00e9 " * 3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    train = docs.join(labels, "doc_id").where(toxicity.fold().isin(0, 1))
+    seen, unseen = toxicity.log_ratios(toxicity.count_grams(train).persist())
+    by_gram = {r["gram"]: r["ratio"] for r in seen.collect()}
+    by_context = {r["context"]: r["ratio"] for r in unseen.collect()}
+    got = {r["doc_id"]: r["mean_ratio"] for r in toxicity.score(docs, labels).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        data = toxicity.PAD + (t or "").lower().encode().translate(toxicity.SPACES).replace(b" ", toxicity.PAD)
+        ratios = [by_gram.get(g, by_context.get(g >> 8, 0.0)) for g in toxicity._grams(data).tolist()]
+        assert np.isclose(got[i], np.mean(ratios or [0.0]), atol=1e-5), (i, t)

@@ -9,10 +9,12 @@ stretch, and word by word as evidence for a mixture (ordinary text with a share
 words), divided by the root of the number of words. A logistic curve of the three, fitted on a
 further fold of labelled documents, makes the score.
 
-The counts are rows that Spark aggregates, and grow with the corpus. What every worker holds is
-bounded: a table of ``SLOTS`` log-ratios for n-grams and one for their contexts, where n-grams
-that share a slot share their mean by count (fixed size: 4 bytes a slot). Only the three weights and
-the bias of the curve come from a sample: the ``CURVE_ROWS`` labelled rows with the smallest hash.
+Counts and log-ratios are rows that Spark aggregates and joins: they grow with the corpus, every
+n-gram has its own, and one that neither class has seen gets its context's backoff. Documents are
+dealt to blocks of about ``BLOCK_BYTES`` by a hash; the n-grams of a block's distinct words are joined
+with the model once, and a task holds one block and its ratios, never the model. Only the three
+weights and the bias of the curve come from a sample: the ``CURVE_ROWS`` labelled rows with the
+smallest hash.
 
 Defined cases: NULL and empty texts have log-ratios 0 and get the curve's value there; without
 labelled documents of both classes every score is 0; labels other than 0 and 1 and labels of
@@ -31,10 +33,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, chunks, staged
+from .common import chunks, staged
 
 ORDER, DISCOUNT = 5, 0.75
-SLOTS, BLOCK = 1 << 22, 1 << 12
+#: Text of a block of documents, which share one look-up of their n-grams.
+BLOCK_BYTES = 1 << 24
+#: Size of the tables that ``_features`` reads.
+SLOTS = 1 << 22
 #: Bytes in the stretch whose mean log-ratio is the second feature; share of toxic words in the third.
 STRETCH, MIXED = 12, 0.01
 FEATURES = ("mean_ratio", "high_ratio", "evidence")
@@ -48,22 +53,23 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
 
 
-def _slot(key):
-    """Spreads an n-gram's bytes over the slots; ``key`` is a NumPy array or a column."""
-    if isinstance(key, np.ndarray):
-        key = key ^ (key >> 13)
-        key = key ^ (key << 7)
-        return (key ^ (key >> 17)) & (SLOTS - 1)
-    key = key.bitwiseXOR(F.shiftright(key, 13))
-    key = key.bitwiseXOR(F.shiftleft(key, 7))
-    return key.bitwiseXOR(F.shiftright(key, 17)).bitwiseAND(F.lit(SLOTS - 1))
+def _slot(key: np.ndarray) -> np.ndarray:
+    """Spreads n-grams over the slots of a table."""
+    key = key ^ (key >> 13)
+    key = key ^ (key << 7)
+    return (key ^ (key >> 17)) & (SLOTS - 1)
+
+
+def _plain(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
+    """Each whole text in lower case, with spaces for white space; NULL is empty."""
+    return [(x or b"").translate(SPACES) for x in pc.utf8_lower(column).cast(pa.binary()).to_pylist()]
 
 
 def _normal(batch: pa.RecordBatch, text: str) -> list[bytes]:
-    """Each whole text in lower case, behind a margin of spaces, each white space made such a margin:
-    a word is judged from its own start on, whatever stands before it."""
-    column = pc.utf8_lower(batch.column(batch.schema.get_field_index(text))).cast(pa.binary())
-    return [PAD + (x or b"").translate(SPACES).replace(b" ", PAD) for x in column.to_pylist()]
+    """Each plain text behind a margin of spaces, each white space made such a margin: a word is
+    judged from its own start on, whatever stands before it."""
+    plain = _plain(batch.column(batch.schema.get_field_index(text)))
+    return [PAD + x.replace(b" ", PAD) for x in plain]
 
 
 def _grams(data: bytes) -> np.ndarray:
@@ -149,31 +155,18 @@ def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return seen, unseen
 
 
-def _table(rows: DataFrame, key: str, empty: float) -> bytes:
-    """All slots' mean ratios as 32-bit floats: fixed in size, whatever the number of rows."""
-    slots = rows.groupBy(_slot(F.col(key)).alias("slot")).agg(
-        (F.sum(F.col("ratio") * F.col("weight")) / F.sum("weight")).cast("float").alias("ratio"))
-
-    def pack(table: pa.Table) -> pa.Table:
-        out = np.full(BLOCK, empty, dtype="float32")
-        slot = table["slot"].to_numpy()
-        out[slot % BLOCK] = table["ratio"].to_numpy()
-        return pa.table({"block": pa.array([int(slot[0]) // BLOCK]), "data": pa.array([out.tobytes()], pa.binary())})
-
-    block = F.shiftright("slot", BLOCK.bit_length() - 1)
-    blocks = slots.groupBy(block.alias("block")).applyInArrow(pack, "block long, data binary")
-    found = {r["block"]: bytes(r["data"]) for r in blocks.toLocalIterator()}
-    blank = np.full(BLOCK, empty, dtype="float32").tobytes()
-    return b"".join(found.get(i, blank) for i in range(SLOTS // BLOCK))
-
-
 def _features(data: bytes, grams: np.ndarray, contexts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of each padded text in ``data``: mean log-ratio, that of its highest stretch, and the evidence
-    of its words (a word ends with its space)."""
+    """``_summed`` with the ratios of two tables of ``SLOTS``; NaN in ``grams`` is an unseen n-gram."""
     gram = _grams(data)
     ratio = grams[_slot(gram)]
     unseen = np.flatnonzero(np.isnan(ratio))
     ratio[unseen] = contexts[_slot(gram[unseen] >> 8)]
+    return _summed(data, ratio, ends)
+
+
+def _summed(data: bytes, ratio: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each padded text in ``data``, with a ratio for each n-gram: mean log-ratio, that of its
+    highest stretch, and the evidence of its words (a word ends with its space)."""
     total = np.concatenate([np.zeros(ORDER - 1), [0.0], np.cumsum(ratio, dtype="float64")])  # total[i]: up to byte i
     starts = np.concatenate([[0], ends[:-1]]) + len(PAD)
     n = np.maximum(ends - starts, 1)
@@ -194,21 +187,96 @@ def _features(data: bytes, grams: np.ndarray, contexts: np.ndarray, ends: np.nda
     return mean, high, evidence
 
 
-def with_features(docs: DataFrame, model: tuple[bytes, bytes], text: str = "text") -> DataFrame:
-    """``docs`` with the ``FEATURES`` of each whole text."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        grams, contexts = (np.frombuffer(x, dtype="float32") for x in held.value)
-        texts = _normal(batch, text)
-        parts = []
-        for a, b in chunks(texts, 1 << 22):
-            ends = np.cumsum([len(x) for x in texts[a:b]])
-            parts.append(_features(b"".join(texts[a:b]), grams, contexts, ends))
-        every = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0)] * len(FEATURES)
-        return [pa.array(x, pa.float64()) for x in every]
+def _blocks(texts: DataFrame) -> DataFrame:
+    """(block, rows): ``texts`` dealt to blocks by a hash; a task's rows of a block are packed as one."""
+    size = texts.agg(F.sum(F.octet_length("text").cast("double"))).first()[0] or 0
+    n = max(1, -int(-size // BLOCK_BYTES))
 
-    return add_columns(docs, [T.StructField(n, T.DoubleType()) for n in FEATURES], run)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = batch.column(0).to_numpy()
+            order = np.argsort(block, kind="stable")
+            kinds, first = np.unique(block[order], return_index=True)
+            for k, rows in zip(kinds, np.split(order, first[1:])):
+                piece, sink = batch.take(pa.array(rows)).select(["doc_id", "text"]), pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(piece)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "rows"])
+
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
+    return texts.select(block.alias("block"), "doc_id", "text").mapInArrow(run, "block int, rows binary")
+
+
+def _unpacked(block: pa.Table) -> Iterator[pa.Table]:
+    for rows in block["rows"]:
+        yield pa.ipc.open_stream(rows.as_buffer()).read_all()
+
+
+def _words(plain: list[bytes]) -> pa.DictionaryArray:
+    """The words of the texts in order; white space beside white space has an empty word between."""
+    return pa.array(b" ".join(plain).split(b" "), pa.binary()).dictionary_encode()
+
+
+def _wanted(block: pa.Table) -> pa.Table:
+    """(block, gram): the distinct n-grams of a block's documents."""
+    words: set[bytes] = set()
+    for rows in _unpacked(block):
+        plain = _plain(rows["text"])
+        for a, b in chunks(plain, 1 << 22):
+            words.update(_words(plain[a:b]).dictionary.to_pylist())
+    every, found = list(words), [np.zeros(0, dtype="int64")]
+    for a, b in chunks(every, 1 << 20):
+        found.append(np.unique(_grams(PAD + PAD.join(every[a:b]) + PAD)))
+    grams = np.unique(np.concatenate(found))
+    return pa.table({"block": pa.array(np.full(len(grams), block["block"][0].as_py(), dtype="int32")), "gram": pa.array(grams)})
+
+
+def _ratios(words: pa.DictionaryArray, grams: np.ndarray, ratios: np.ndarray) -> np.ndarray:
+    """The ratio of each n-gram of the words in order, each with the margin behind it."""
+    kinds = words.dictionary.to_pylist()
+    gram = _grams(PAD + PAD.join(kinds) + PAD)
+    place = np.minimum(np.searchsorted(grams, gram), max(len(grams) - 1, 0))
+    if not np.array_equal(grams[place], gram):
+        raise ValueError("an n-gram of the block was not looked up")
+    length = np.array([len(x) + len(PAD) for x in kinds])
+    start = np.cumsum(length) - length
+    of = words.indices.to_numpy()
+    n = length[of]
+    shift = start[of] - (np.cumsum(n) - n)
+    return ratios[place][np.repeat(shift, n) + np.arange(n.sum())]
+
+
+def with_features(texts: DataFrame, seen: DataFrame, unseen: DataFrame) -> DataFrame:
+    """(doc_id, the ``FEATURES``) of each whole text, by the exact ratios of ``log_ratios``."""
+    blocks = _blocks(texts)
+    wanted = blocks.groupBy("block").applyInArrow(_wanted, "block int, gram long")
+    # one row an n-gram: both joins are of distinct n-grams, whatever the number of blocks
+    kinds = wanted.groupBy("gram").agg(F.collect_list("block").alias("blocks"))
+    backoff = unseen.select("context", F.col("ratio").alias("backoff"))
+    known = kinds.join(seen.select("gram", "ratio"), "gram", "left").join(
+        backoff, F.shiftright("gram", 8) == F.col("context"), "left")
+    ratio = F.coalesce("ratio", "backoff", F.lit(0.0)).cast("float")
+    model = known.select(F.explode("blocks").alias("block"), "gram", ratio.alias("ratio"))
+
+    def run(block: pa.Table, model: pa.Table) -> pa.Table:
+        order = np.argsort(model["gram"].to_numpy())
+        grams, ratios = model["gram"].to_numpy()[order], model["ratio"].to_numpy()[order]
+        ids, parts = [], []
+        for rows in _unpacked(block):
+            ids += rows["doc_id"].chunks
+            plain = _plain(rows["text"])
+            for a, b in chunks(plain, 1 << 22):
+                some = plain[a:b]
+                data = PAD + b" ".join(some).replace(b" ", PAD)
+                ends = np.cumsum([len(PAD) + len(x) + (len(PAD) - 1) * x.count(b" ") for x in some])
+                ratio = _ratios(_words(some), grams, ratios)[: len(data) - len(PAD)]
+                parts.append(_summed(data, ratio, ends))
+        every = [np.concatenate(x) for x in zip(*parts)]
+        return pa.table({"doc_id": pa.chunked_array(ids), **dict(zip(FEATURES, every))})
+
+    schema = T.StructType([texts.schema["doc_id"], *(T.StructField(n, T.DoubleType()) for n in FEATURES)])
+    return blocks.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(run, schema)
 
 
 def _curve(rows: list[tuple]) -> list[float] | None:
@@ -245,8 +313,7 @@ def score(
     train = texts.where(fold("doc_id").isin(0, 1)).join(learnt, F.col("doc_id") == F.col("_of"))
     grams = staged(count_grams(train, "text", "_label"), "toxicity-grams")
     seen, unseen = log_ratios(grams)
-    model = _table(seen, "gram", np.nan), _table(unseen, "context", 0.0)
-    features = staged(with_features(texts, model).drop("text"), "toxicity-features")
+    features = staged(with_features(texts, seen, unseen), "toxicity-features")
     sample = features.join(known.where(fold("_of") == 3), F.col("doc_id") == F.col("_of")).orderBy(
         F.xxhash64("doc_id", "_label"), "doc_id", *FEATURES).limit(CURVE_ROWS)
     curve = _curve([tuple(r[n] for n in (*FEATURES, "_label")) for r in sample.collect()])
