@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 from tidemark.llm import secret_scan as ss
 
@@ -71,3 +72,36 @@ def test_constants_reach_sensitive_names():
 def test_scores():
     assert ss.sensitivity("apiKey") == ss.sensitivity("API_KEY") == 1.0 > ss.sensitivity("keyboard") == 0
     assert ss.key_like("q7Rt9ZxW2mLp") > 0.8 > 0.2 > ss.key_like("hello world example text")
+
+
+LITERAL = "Xy9kQ2mLp0"
+
+
+def test_literals_reach_their_own_names():
+    lines = {
+        f'api_key: str = "{LITERAL}"': "api_key", f'const apiKey: string = "{LITERAL}"': "apiKey",
+        f'SECRET = b"{LITERAL}"': "SECRET", f"SECRET = rf'{LITERAL}'": "SECRET", f'SECRET=u"{LITERAL}"': "SECRET",
+        f'password = """{LITERAL}"""': "password", f"password = \'\'\'{LITERAL}\'\'\'": "password",
+        f"db: {{pwd: {LITERAL}}}": "pwd", f"INFO: pwd={LITERAL}": "pwd", f'a = auth = "{LITERAL}"': "auth",
+        f'a=auth="{LITERAL}"': "auth", f'secretKey = P+"{LITERAL}"': "secretKey",
+        f'pwd: Optional[str] = "{LITERAL}"': "pwd", f'conn = "Server=x;Pwd={LITERAL};"': "Pwd",
+        f"url=https://h/x?pwd={LITERAL}&b=1": "pwd", f'{{"a": 1, "auth": {{"pwd": "{LITERAL}"}}}}': "pwd",
+    }
+    for line, name in lines.items():
+        found = [(n, line[a:b]) for n, spans, _ in ss.pairs(line) for a, b in spans]
+        assert (name, LITERAL) in found, (line, found)
+        assert LITERAL in literals(line), line
+    assert ("k", LITERAL) in [(n, f'k = P+"{LITERAL}"'[a:b]) for n, spans, _ in ss.pairs(f'k = P+"{LITERAL}"') for a, b in spans]
+    assert literals(f'x: str = "{LITERAL}"\napi_key: str = "Zt7wB4nVs1"') == ["Zt7wB4nVs1"]
+    assert literals(f'password = my_value = "{LITERAL}"') == [LITERAL]
+    for value in (LITERAL, "ab:cd1234XYZ", "Xy9kQ2mL=p0", "Xy9(kQ2mLp0", "p@ss(1)Word9x"):
+        assert literals(f"password={value}") == [value]
+    for value in (f"{{{LITERAL}}}", f"[{LITERAL}", f"+{LITERAL}", f'("{LITERAL}")', f' ["{LITERAL}"]'):
+        assert literals(f"password={value}") == [LITERAL]
+
+
+def test_nested_pairs_stay_linear():
+    for line in ("a=", "a:", "Xy9kQ2mL_token=", "a=b+c:", "a: b=", 'a="b=', "a=\"\"\"b=", "password:", "Xy9kQ2mL_token:x+", "a={", "a=b[", "a=((b", "a(=(", "a: b|"):
+        start = time.process_time()
+        ss.scan(line * (200_000 // len(line)) + "z")
+        assert time.process_time() - start < 10, line

@@ -1,9 +1,11 @@
 """Secret scans by assignment-aware lexing.
 
 Three base patterns are matched anywhere. Beside them, each line that holds a ``=`` or ``:`` is lexed
-as source or configuration: a name (dotted, indexed or quoted), an assignment sign (``=``, ``:``,
-``:=``, ``=>``) and a value made of quoted literals, bare words and references joined by ``+``. That
-gives name-literal pairs. Names whose value is a reference (``b = a``, ``${a}``, ``$a``) pass their
+as source or configuration: a name (dotted, indexed or quoted) with an optional type, an assignment
+sign (``=``, ``:``, ``:=``, ``=>``) and a value made of quoted literals (also prefixed or in triple
+quotes), bare words and references joined by ``+``. That gives name-literal pairs. A value can hold
+pairs of its own: a bare one that begins with a further assignment is a reference to that name, and
+the insides of values are lexed as well. Names whose value is a reference (``b = a``, ``${a}``, ``$a``) pass their
 own sensitivity on to what they refer to, until nothing changes, so that a literal counts for each
 name it reaches. A literal's score is the sensitivity of the most telling name times how much the
 literal looks like a key; those above a threshold become spans of kind ``literal``.
@@ -44,12 +46,25 @@ THRESHOLD = 0.45
 # Possessive quantifiers, and names that begin where no word character stands before, keep the
 # lexer linear on words and lines of any length.
 _NAME = r"(?<![\w$])[A-Za-z_$][\w$]*+(?:(?:\.|->|::|-)[A-Za-z_$][\w$]*+)*+"
-_LITERAL = r'"(?:[^"\\\n]|\\.)*+"' + r"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`"
-_BARE = r"""[^\s"'`,;]++"""
-_PAIR = re.compile(
+_LITERAL = (
+    r"(?:[bBrRfFuU]{1,2}|[@$L])?(?:"
+    r'"""(?P<a>(?:[^"\\]|\\[\s\S]|"(?!""))*+)"""' + r"|'''(?P<b>(?:[^'\\]|\\[\s\S]|'(?!''))*+)'''"
+    r'|"(?P<c>(?:[^"\\\n]|\\.)*+)"' + r"|'(?P<d>(?:[^'\\\n]|\\.)*+)'|`(?P<e>[^`\n]*+)`)")
+_REF = r"\$\{\w+\}|\$\w+"
+_TYPE = r"[&*]?[A-Za-z_][\w.]*+(?:<[^<>\n=]*+>|\[[^\[\]\n=]*+\])*+\??(?:[ \t]*+\|[ \t]*+[A-Za-z_][\w.]*+)*+"
+_HEAD = re.compile(
     rf"""(?P<quote>["']?)(?P<name>{_NAME})(?P=quote)(?:\[[ \t]*+(?P<index>"[^"\n]*+"|'[^'\n]*+'|\w++)[ \t]*+\])?"""
-    rf"""[ \t]*+(?::=|=>|=(?!=)|:(?!:))[ \t]*+(?P<value>(?:{_LITERAL}|{_BARE})(?:[ \t]*+\+[ \t]*+(?:{_LITERAL}|{_BARE}))*+)""")
-_PART = re.compile(rf"(?P<literal>{_LITERAL})|(?P<ref>\$\{{\w+\}}|\$\w+)|(?P<bare>[^\s\"'`,;+]++)")
+    rf"""(?:[ \t]*+\??(?P<typed>:)[ \t]*+{_TYPE}[ \t]*+(?==(?![=>])))?[ \t]*+(?::=|=>|=(?!=)|:(?!:))[ \t]*+""")
+_STOP = r"\s\"'`,;+{}()\[\]"
+_PART, _NESTED = (  # a bare value that lies inside another one ends at the next sign
+    re.compile(rf"(?P<literal>{_LITERAL})|(?P<ref>{_REF})(?![^{_STOP}])|(?P<bare>{bare})")
+    for bare in (rf"(?:\$\{{\w+\}}|[^{_STOP}])(?:\$\{{\w+\}}|[^{_STOP}]|[{{}}()\[\]]++(?=[^{_STOP}]))*+", rf"[^{_STOP}][^{_STOP}=:&|]*+"))
+#: Brackets and signs before a value that are not followed by a pair of their own.
+_OPEN = re.compile(rf"""(?:[({{\[+][ \t]*+)++(?!["']?{_NAME}["']?[ \t]*+[=:])""")
+_PLUS = re.compile(r"[ \t]*+\+[ \t]*+")
+#: A further assignment at the start of a bare value, and whether its own value is quoted.
+_INNER = re.compile(rf"(?P<name>{_NAME})[ \t]*+(?::=|=>|=(?!=))[ \t]*+(?:(?P<quoted>[bBrRfFuUL@$]{{0,2}}[\"'`])|(?=[^\s,;]))")
+_SIGN = re.compile(r"[=:]")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -79,23 +94,58 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def pairs(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
-    """(name, literals' spans, names referred to) of each assignment, in order."""
-    out = []
-    for m in _PAIR.finditer(text):
-        name = m["name"] + ("." + m["index"].strip("\"'") if m["index"] else "")
-        literals, refs = [], []
-        for p in _PART.finditer(text, *m.span("value")):
-            if p["literal"]:
-                literals.append((p.start() + 1, p.end() - 1))
-            elif p["ref"]:
-                refs.append(p["ref"].strip("${}"))
+    """(name, literals' spans, names referred to) of each assignment, by place; the insides of quoted
+    values come after the text around them."""
+    out, regions = [], [(0, len(text))]
+    for start, end in regions:  # grows by what quoted values hold
+        at, reach = start, start
+        while m := _HEAD.search(text, at, end):
+            literals, refs, after = _value(text, m.end(), end, m.start() < reach)
+            at = m.end()
+            if after is None:
+                continue
+            name = m["name"] + ("." + m["index"].strip("\"'") if m["index"] else "")
+            out.append((name, [(a, b) for a, b, _ in literals], refs))
+            if m["typed"]:
+                at = m.end("typed")  # what reads like a type may be a name, as in a line of a log
+            elif literals and literals[0][2]:
+                at = after if all(quoted for _, _, quoted in literals) and not refs else literals[0][1]
+                regions += [(a, b) for a, b, quoted in literals if quoted and a < at and _SIGN.search(text, a, b)]
             else:
-                refs.append(p["bare"])
-                literals.append(p.span())  # a bare word is a literal too, as in configuration files
-        out.append((name, literals, refs))
+                reach = max(reach, after)
     return out
 
 
+def _value(text: str, at: int, end: int, inside: bool) -> tuple[list[tuple[int, int, bool]], list[str], int | None]:
+    """(start, end, whether quoted) of the literals of the value at ``at``, the names it refers to,
+    and its end, None without a value. One that lies inside another value ends at the next sign, so
+    that no text is read for more than two values."""
+    literals, refs, after = [], [], None
+    part = _NESTED if inside else _PART
+    opened = _OPEN.match(text, at, end)
+    at = opened.end() if opened else at
+    while True:
+        if inner := _INNER.match(text, at, end):
+            refs.append(inner["name"])
+            if inner["quoted"] or key_like(inner["name"]) < THRESHOLD:
+                return literals, refs, at
+        p = part.match(text, at, end)
+        if not p:
+            return literals, refs, after
+        after = p.end()
+        if p["literal"]:
+            literals.append((*next(p.span(k) for k in "abcde" if p[k] is not None), True))
+        elif p["ref"]:
+            refs.append(p["ref"].strip("${}"))
+        else:
+            refs.append(p["bare"])
+            literals.append((*p.span(), False))  # a bare word is a literal too, as in configuration files
+        plus = None if inside else _PLUS.match(text, after, end)
+        if not plus:
+            return literals, refs, after
+        at = plus.end()
+
+
 def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, str]]:
     """Literals that reach a sensitive name, directly or through constants."""
     found = pairs(text)
