@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, byte_bpe, chat, line_dedup, mixing, quality_rules, secret_scan, simhash, substring_dedup, toxicity
+from . import (
+    ann, byte_bpe, chat, gnat, lexical, line_dedup, mixing, quality_rules, secret_scan, simhash, substring_dedup,
+    suffix_dedup, toxicity,
+)
 from .common import ship_package
 
 
@@ -86,6 +89,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build(_table(spark, sf_dir, "documents"))
+    return lexical.search(index, _table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return gnat.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_toxicity": op2_toxicity,
@@ -97,6 +116,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 # Each occurrence of a line of three words or more, the lines on at least 8 sources, and of those all
 # occurrences but the first; texts are put together again from the other lines.
@@ -146,4 +168,60 @@ SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c.copy
 FROM documents d JOIN times t USING (doc_id), LATERAL (SELECT unnest(range(t.n))::INTEGER AS copy) c
 """
 
-ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op10_mixing": OP10_SQL}
+# Every document's score for every item that shares a term with it, ranked.
+OP11_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS doc, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), postings AS (
+  SELECT doc, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM words GROUP BY doc, term
+), lengths AS (
+  SELECT doc, sum(tf)::BIGINT AS n FROM postings GROUP BY doc
+), totals AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lengths
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings, totals GROUP BY term, docs
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, doc, any_value(doc_id) AS doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN postings USING (term) JOIN lengths USING (doc), totals
+  GROUP BY item_id, doc
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 50
+"""
+
+# Every anchor's score with every row: its first positives, and the first negatives of each one's window.
+OP13_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id % 50 = 0 AND r.vec_id <> a.vec_id AND len(a.v) = len(r.v)
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": OP5_SQL, "op10_mixing": OP10_SQL, "op11_lexical_search": OP11_SQL, "op13_hard_negatives": OP13_SQL}
