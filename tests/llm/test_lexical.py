@@ -49,6 +49,7 @@ def test_equals_brute_force_over_many_blocks_and_shards(spark, monkeypatch):
     docs += [(7000 + i, "w0 w1 w50") for i in range(300)]  # many equal scores
     items = [(i, " ".join(rng.sample(words, rng.randint(1, 12)))) for i in range(12)] + [(3, "w2 w2 W3"), (None, "w5 w9"), (90, None), (91, "unknown")]
     want = brute_force(docs, items, 10)
+    monkeypatch.setattr(lexical, "SLICE", 500)
     for block, size, parts in ((8, 1 << 13, 256), (128, 1 << 25, 5)):
         monkeypatch.setattr(lexical, "BLOCK", block)
         monkeypatch.setattr(lexical, "RANGE", 64)
@@ -78,10 +79,14 @@ def test_blocks_round_trip_and_bounds_reject_blocks():
     rng = np.random.default_rng(2)
     docs = np.unique(rng.integers(0, 200_000, 1000)).astype("int64")
     tfs, lengths = rng.integers(1, 400, len(docs)), rng.integers(400, 900, 200_001).astype("u4")
-    heads, data = lexical.compress(docs, tfs, lengths)
-    heads = np.frombuffer(heads, lexical.HEAD)
-    back = [np.concatenate(x) for x in zip(*(lexical.decompress(heads, data, len(docs), i) for i in range(len(heads))))]
-    assert (back[0] == docs).all() and (back[1] == tfs).all()
+    parts = [(docs, tfs), (docs[:1], tfs[:1] + 70_000), (docs[5:700], tfs[5:700]), (docs[-3:], tfs[-3:])]
+    starts = np.cumsum([0, *(len(d) for d, _ in parts)])[:-1]
+    lists = lexical.compress(*(np.concatenate(x) for x in zip(*parts)), lengths, starts)
+    for (own, tf), (heads, data) in zip(parts, lists, strict=True):
+        heads = np.frombuffer(heads, lexical.HEAD)
+        back = [np.concatenate(x) for x in zip(*(lexical.decompress(heads, data, len(own), i) for i in range(len(heads))))]
+        assert (back[0] == own).all() and (back[1] == tf).all()
+        assert heads["tf"].max() == tf.max() and heads["n"].min() == lengths[own].min()
 
     import pyarrow as pa
 
@@ -90,8 +95,8 @@ def test_blocks_round_trip_and_bounds_reject_blocks():
     every = np.arange(n)
     rare = np.arange(0, 4000, 40)
     rows = [(0, None, n, lengths.tobytes(), np.arange(n, dtype="i8").tobytes()),
-            (0, b"often", n, *lexical.compress(every, np.ones(n, "int64"), lengths)),
-            (0, b"rare", len(rare), *lexical.compress(rare, np.full(len(rare), 3), lengths))]
+            (0, b"often", n, *next(lexical.compress(every, np.ones(n, "int64"), lengths, np.array([0])))),
+            (0, b"rare", len(rare), *next(lexical.compress(rare, np.full(len(rare), 3), lengths, np.array([0]))))]
     table = pa.table({c: pa.array(v) for c, v in zip(("shard", "term", "df", "heads", "data"), zip(*rows))})
     shard = lexical._Lists(table, n, 100 * n)
     at, scores = shard.best({b"often": 1, b"rare": 5000}, 20)

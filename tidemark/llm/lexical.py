@@ -43,8 +43,8 @@ from .common import NULL_ID, key_of, staged, utf8
 
 #: Bytes of text to a shard, postings to a block, items to a block of items, documents to a range.
 SHARD_BYTES, BLOCK, BLOCK_ITEMS, RANGE = 1 << 25, 128, 256, 4096
-#: Bytes of decompressed blocks that a task keeps for its next items.
-CACHE_BYTES = 1 << 26
+#: Bytes of decompressed blocks that a task keeps for its next items, and postings compressed at once.
+CACHE_BYTES, SLICE = 1 << 26, 1 << 18
 #: ASCII but for letters and digits separates terms; only A-Z are lower-cased.
 TERMS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 INDEX = "shard long, term binary, df long, heads binary, data binary"
@@ -60,21 +60,39 @@ def weight(df: int, n_docs: int) -> int:
     return floor(1000 * log((2 * n_docs + 2) / (2 * df + 1)))
 
 
-def _width(most: int) -> int:
-    return 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
-
-
-def compress(docs: np.ndarray, tfs: np.ndarray, lengths: np.ndarray) -> tuple[bytes, bytes]:
-    """Heads and bytes of the blocks of one list (ascending documents of a shard)."""
-    heads, data, size = np.zeros(-(-len(docs) // BLOCK), HEAD), [], 0
-    for i, a in enumerate(range(0, len(docs), BLOCK)):
-        own, tf = docs[a : a + BLOCK], tfs[a : a + BLOCK]
-        gaps = np.diff(own, prepend=docs[a - 1] if a else 0)
-        gap, wide = _width(int(gaps.max())), _width(int(tf.max()))
-        heads[i] = (own[-1], tf.max(), lengths[own].min(), size, gap, wide)
-        data += [gaps.astype(f"<u{gap}").tobytes(), tf.astype(f"<u{wide}").tobytes()]
-        size += len(own) * (gap + wide)
-    return heads.tobytes(), b"".join(data)
+def compress(docs: np.ndarray, tfs: np.ndarray, lengths: np.ndarray, starts: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+    """Heads and bytes of the blocks of each list: the lists lie one behind another (ascending
+    documents of a shard in each) and begin at ``starts``."""
+    sizes = np.diff(np.append(starts, len(docs)))
+    n_blocks = -(-sizes // BLOCK)
+    first = np.cumsum(n_blocks) - n_blocks  # of each list's blocks
+    nth = np.arange(n_blocks.sum()) - np.repeat(first, n_blocks)
+    begin = np.repeat(starts, n_blocks) + nth * BLOCK
+    count = np.minimum(BLOCK, np.repeat(sizes, n_blocks) - nth * BLOCK)
+    gaps = np.diff(docs, prepend=0)
+    gaps[starts] = docs[starts]
+    heads = np.zeros(len(begin), HEAD)
+    heads["last"], heads["tf"] = docs[begin + count - 1], np.maximum.reduceat(tfs, begin)
+    heads["n"] = np.minimum.reduceat(lengths[docs], begin)
+    for name, values in (("gap", np.maximum.reduceat(gaps, begin)), ("wide", heads["tf"])):
+        heads[name] = np.where(values < 1 << 8, 1, np.where(values < 1 << 16, 2, 4))
+    size = count * (heads["gap"].astype("int64") + heads["wide"])
+    ends = np.cumsum(size)
+    heads["begin"] = ends - size - np.repeat((ends - size)[first], n_blocks)
+    out = np.zeros(int(ends[-1]), "u1")
+    place = np.arange(len(docs)) - np.repeat(begin, count)  # within the block
+    before = np.repeat(ends - size, count)
+    for values, name in ((gaps, "gap"), (tfs, "wide")):
+        width = np.repeat(heads[name], count).astype("int64")
+        at = before + place * width
+        for byte in range(4):
+            own = width > byte
+            out[at[own] + byte] = (values[own] >> (8 * byte)) & 255
+        before = before + np.repeat(count * heads["gap"].astype("int64"), count)
+    cuts, ends = np.append(first, len(begin)).tolist(), np.append(0, ends)[np.append(first, len(begin))].tolist()
+    raw_heads, raw, wide = heads.tobytes(), out.tobytes(), HEAD.itemsize
+    for i in range(len(starts)):
+        yield raw_heads[cuts[i] * wide : cuts[i + 1] * wide], raw[ends[i] : ends[i + 1]]
 
 
 def decompress(heads: np.ndarray, data: bytes, df: int, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,11 +132,13 @@ class _Shard:
         docs, tfs = np.frombuffer(self.docs, "u4")[order].astype("int64"), np.frombuffer(self.tfs, "u4")[order].astype("int64")
         cuts = np.append(np.flatnonzero(np.diff(kinds[order], prepend=-1)), len(order))
         yield self._batch([(shard, None, len(self.ids), lengths.tobytes(), self.ids.tobytes())])
-        words = list(self.vocabulary)
-        for a in range(0, len(words), 1 << 14):
-            yield self._batch([
-                (shard, words[i], int(cuts[i + 1] - cuts[i]), *compress(docs[cuts[i] : cuts[i + 1]], tfs[cuts[i] : cuts[i + 1]], lengths))
-                for i in range(a, min(len(words), a + (1 << 14)))])
+        words, a = iter(self.vocabulary), 0
+        while a < len(cuts) - 1:  # the lists of some SLICE postings, one at least
+            b = max(a + 1, int(np.searchsorted(cuts, cuts[a] + SLICE, "right")) - 1)
+            own = slice(cuts[a], cuts[b])
+            packed = compress(docs[own], tfs[own], lengths, cuts[a:b] - cuts[a])
+            yield self._batch([(shard, word, df, *lists) for df, lists, word in zip(np.diff(cuts[a : b + 1]).tolist(), packed, words)])
+            a = b
 
     @staticmethod
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
