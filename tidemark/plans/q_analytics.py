@@ -344,9 +344,9 @@ pg AS (SELECT page_id, MIN(url) AS referrer FROM pages GROUP BY 1),
 we AS (
   SELECT e.event_id, e.user_id, e.ts AS event_time, e.event_type AS url, e.value,
          e.user_id * 14 + CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS device_id,
-         'host_' || CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 3 AS VARCHAR) AS host,
+         'host_' || CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS VARCHAR) AS host,
          CAST(e.ts AS DATE) AS event_date, pg.referrer
-  FROM events e LEFT JOIN pg ON pg.page_id = e.user_id + CAST(json_extract_string(e.props, '$.k') AS BIGINT)
+  FROM events e LEFT JOIN pg ON pg.page_id = e.user_id * 2 + CAST(json_extract_string(e.props, '$.k') AS BIGINT)
 ),
 dev AS (SELECT p_partkey AS device_id, p_brand AS browser_type, p_type AS os_type,
                split_part(p_name, ' ', 2) AS device_type FROM part)"""

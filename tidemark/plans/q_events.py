@@ -325,7 +325,7 @@ QUERIES = {
 EV = """
 ev AS (
   SELECT e.user_id, CAST(e.ts AS DATE) AS d,
-         'host_' || CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 3 AS VARCHAR) AS host,
+         'host_' || CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS VARCHAR) AS host,
          e.user_id * 14 + CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS device_id
   FROM events e WHERE e.user_id IS NOT NULL
 ),

@@ -53,7 +53,7 @@ def q_session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw JSON events (as a Kafka value) -> parsed event time -> geo range join -> sink."""
+    """Raw JSON events (as a Kafka value) -> parsed event time -> geo range search, batch by batch -> sink."""
     t = Tables(spark, sf_dir)
     web = sources.web_event_stream(spark, sf_dir)
     raw = web.select(
@@ -62,12 +62,15 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("event_ts", sources.EVENT_TIME_FORMAT).alias("event_time"),
     )
     parsed = sources.parse_raw_events(sources.encode_json(raw))
-    enriched = geo.enrich(parsed, "ip", geo.nation_ranges(t.nation, t.region))
-    sink = enriched.select(
-        "ip", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"), "referrer", "host", "url",
-        "country", "state", "city",
-    )
-    return runner.run_to_completion(spark, sink, "ingest")
+    known = geo.index(geo.nation_ranges(t.nation, t.region))
+
+    def located(batch: DataFrame) -> DataFrame:
+        return geo.enrich(batch, "ip", known).select(
+            "ip", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"), "referrer", "host", "url",
+            "country", "state", "city",
+        )
+
+    return runner.run_batches_to_completion(spark, parsed, located, "ingest")
 
 
 def q_geo_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,17 +91,19 @@ QUERIES = {
 WEBS = """
 pg AS (SELECT page_id, MIN(url) AS referrer FROM pages GROUP BY 1),
 we AS (
-  SELECT e.event_id, e.ts, e.event_type AS url, '10.0.0.' || CAST(e.user_id % 5 AS VARCHAR) AS ip,
-         'host_' || CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 3 AS VARCHAR) AS host, pg.referrer
-  FROM events e LEFT JOIN pg ON pg.page_id = e.user_id + CAST(json_extract_string(e.props, '$.k') AS BIGINT)
+  SELECT e.event_id, e.ts, e.event_type AS url, '10.' || CAST(a.n // 65536 AS VARCHAR) || '.' || CAST(a.n // 256 % 256 AS VARCHAR) || '.' || CAST(a.n % 256 AS VARCHAR) AS ip,
+         'host_' || CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS VARCHAR) AS host, pg.referrer
+  FROM events e, LATERAL (SELECT e.user_id * 104729 % 1835008 AS n) a
+  LEFT JOIN pg ON pg.page_id = e.user_id * 2 + CAST(json_extract_string(e.props, '$.k') AS BIGINT)
 ),
 wm AS (SELECT MAX(ts) - INTERVAL 15 SECOND AS w FROM events)"""
 
 GEO = """
 geo AS (
-  SELECT 167772160 + 2 * n.n_nationkey AS ip_start, 167772160 + 2 * n.n_nationkey + 1 AS ip_end,
-         n.n_name AS country, r.r_name AS state, n.n_name || ' City' AS city
-  FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
+  SELECT 167772160 + 65536 * n.n_nationkey + p.low AS ip_start, 167772160 + 65536 * n.n_nationkey + p.high AS ip_end,
+         n.n_name AS country, r.r_name AS state, n.n_name || p.city AS city
+  FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey,
+       (VALUES (0, 65535, ' City'), (16384, 20479, ' Centre')) AS p(low, high, city)
 )"""
 
 IPNUM = ("(CAST(split_part({c}, '.', 1) AS BIGINT) * 16777216 + CAST(split_part({c}, '.', 2) AS BIGINT) * 65536 "
@@ -129,8 +134,10 @@ FROM closed GROUP BY ROLLUP (host)""",
     "stream_ingest": f"""WITH {WEBS}, {GEO}
 SELECT we.ip, date_trunc('millisecond', we.ts) AS event_timestamp, we.referrer, we.host, we.url,
        g.country, g.state, g.city
-FROM we LEFT JOIN geo g ON {IPNUM.format(c='we.ip')} BETWEEN g.ip_start AND g.ip_end""",
+FROM we LEFT JOIN geo g ON {IPNUM.format(c='we.ip')} BETWEEN g.ip_start AND g.ip_end
+QUALIFY row_number() OVER (PARTITION BY we.event_id ORDER BY g.ip_start DESC) = 1""",
     "geo_enrich": f"""WITH {WEBS}, {GEO}
 SELECT we.event_id, we.ip, g.country, g.state, g.city
-FROM we LEFT JOIN geo g ON {IPNUM.format(c='we.ip')} BETWEEN g.ip_start AND g.ip_end""",
+FROM we LEFT JOIN geo g ON {IPNUM.format(c='we.ip')} BETWEEN g.ip_start AND g.ip_end
+QUALIFY row_number() OVER (PARTITION BY we.event_id ORDER BY g.ip_start DESC) = 1""",
 }

@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cents, milli
+from ..operators.geo import BASE_IP, long_to_ip
 from ..plans.joins import bounded_broadcast
 from .tables import Tables
 
 # Fixed values of the stand-in mapping.
-HOSTS = 3  # host = 'host_' || k % 3, where k is the key in the event's props
-IPS = 5  # ip = '10.0.0.' || user_id % 5
+# host = 'host_' || k, where k is the key in the event's props
+PAGES_PER_USER = 2  # page = user_id * 2 + k: all pages, and some ids beyond the last page
+# ip = 10.0.0.0 + user_id * 104729 % (28 * 65536): over the /16 of each of 25 nations, and three /16 of none
+IP_STRIDE, IP_SPAN = 104729, 28 << 16
 DEVICES_PER_USER = 14  # device = part user_id * 14 + k: all parts, and some ids beyond the last part
 ASSIST_PRIORITIES = ("1-URGENT", "2-HIGH")
 
@@ -138,9 +141,9 @@ def with_web_keys(events: DataFrame) -> DataFrame:
     return events.select(
         *[c for c in events.columns if c != "props"],
         (F.col("user_id") * DEVICES_PER_USER + k).alias("device_id"),
-        F.concat(F.lit("host_"), (k % HOSTS).cast("string")).alias("host"),
-        F.concat(F.lit("10.0.0."), (F.col("user_id") % IPS).cast("string")).alias("ip"),
-        (F.col("user_id") + k).alias("page_id"),
+        F.concat(F.lit("host_"), k.cast("string")).alias("host"),
+        F.when(F.col("user_id").isNotNull(), long_to_ip(F.col("user_id") * IP_STRIDE % IP_SPAN + BASE_IP)).alias("ip"),
+        (F.col("user_id") * PAGES_PER_USER + k).alias("page_id"),
     )
 
 

@@ -47,6 +47,30 @@ def run_to_completion(spark: SparkSession, df: DataFrame, name: str, mode: str =
     return spark.read.schema(df.schema).parquet(sink)
 
 
+def folder_writer(path: str, transform: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """Batch writer for a transformation that streams cannot run themselves (range partitioning,
+    windows): each micro-batch has a folder of its own, which a replay overwrites."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        transform(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def run_batches_to_completion(
+    spark: SparkSession, df: DataFrame, transform: Callable[[DataFrame], DataFrame], name: str
+) -> DataFrame:
+    """Process everything available batch by batch through ``transform``, then return all batches."""
+    sink, ckpt = stream_paths(spark, name)
+    schema = transform(spark.createDataFrame([], df.schema)).schema
+    spark.createDataFrame([], schema).write.parquet(f"{sink}/batch_id=-1")  # a stream without rows has no batch
+    q = start_batch_sink(df, folder_writer(sink, transform), ckpt, available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream {name} failed: {q.exception()}")
+    return spark.read.schema(schema).parquet(sink).select(*schema.names)
+
+
 def jdbc_writer(url: str, table: str, properties: dict[str, str]) -> Callable[[DataFrame, int], None]:
     """Batch writer for a JDBC table; credentials come from the caller. Rows carry the batch id,
     and a batch first deletes the rows of its own id, so that one replayed after a failure is
