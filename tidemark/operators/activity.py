@@ -66,6 +66,27 @@ def datelist_activity(packed: DataFrame, col: str = "datelist_int") -> DataFrame
     )
 
 
+def datelist_map_step(previous: DataFrame, activity: DataFrame, key: str, dim: str, date_col: str, as_of: dt.date,
+                      out: str) -> DataFrame:
+    """Yesterday's maps (key, ``out`` as ``MAP<dim, ARRAY<DATE>>``) + today's activity -> today's maps.
+
+    Today's values of a key become a map, too (bounded by the number of values of ``dim``), and one
+    full join merges the two entry by entry; values without activity today keep their dates. Running
+    the step again for the same day changes nothing."""
+    today = activity.where(F.col(date_col) == _as_date(as_of)).groupBy(key).agg(
+        F.map_from_entries(F.transform(F.array_sort(F.collect_set(dim)), lambda d: F.struct(d, F.array(_as_date(as_of))))).alias("_today"))
+    nothing = F.create_map().cast(f"map<{dict(activity.dtypes)[dim]},array<date>>")
+    merged = F.map_zip_with(
+        F.coalesce(F.col(out), nothing), F.coalesce(F.col("_today"), nothing),
+        lambda _, before, now: F.array_union(F.coalesce(before, F.array().cast("array<date>")), F.coalesce(now, F.array().cast("array<date>"))))
+    return previous.select(key, out).join(today, key, "full").select(key, merged.alias(out), _as_date(as_of).alias("date"))
+
+
+def datelist_map_int(maps: DataFrame, dates: str, date: str = "date", out: str = "datelist_ints") -> DataFrame:
+    """The maps' date arrays as 32-bit masks: ``MAP<dim, BIGINT>``."""
+    return maps.withColumn(out, F.transform_values(dates, lambda _, days: bits.datelist_to_int(days, F.col(date))))
+
+
 def datelist_map(per_dimension: DataFrame, key: str, dim: str, dates: str = "dates_active") -> DataFrame:
     """``MAP<dim, ARRAY<DATE>>`` per key from one row per (key, dim); the map is bounded by the
     number of distinct dimension values (e.g. browser types)."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sequence import running_totals
@@ -36,20 +36,35 @@ def parse_dates(df: DataFrame, cols: Sequence[str], fmt: str | None = None) -> D
     return df.withColumn("parse_failed", failed).withColumns(parsed_cols)
 
 
-def exact_median(df: DataFrame, col: str) -> float | None:
-    """Exact median of a numeric column (NULL and NaN do not count), without gathering its values.
+def order_statistics(df: DataFrame, cols: Sequence[str], positions: Column) -> DataFrame:
+    """(column, total, values): of each numeric column the values at ``positions`` (an array that may
+    use ``total``, the column's number of values) in rising order; NULL and NaN do not count.
+
+    All columns go together: they are melted to (column, value) and counted (which combines before
+    the shuffle); the counts are range partitioned by (column, value) and summed up in order. A value
+    stands at every position between the running counts before and after it."""
+    melted = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("x")).select("x.*")
+    counts = melted.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+    running = running_totals(counts, ["column"], ["value"], "n")
+    totals = running.groupBy("column").agg(F.sum("n").alias("total"))
+    at = running.join(totals, "column").withColumn("position", F.explode(positions))
+    held = at.where((F.col("position") > F.col("running") - F.col("n")) & (F.col("position") <= F.col("running")))
+    return held.groupBy("column", "total").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("position", "value"))), lambda x: x["value"]).alias("values"))
+
 
-    Values are counted (which combines before the shuffle), the counts are range partitioned by
-    value and summed up in order; the two middle values are the first whose running count reaches
-    the middle positions. Only these come to the driver."""
-    values = df.select(F.col(col).cast("double").alias("value")).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = running_totals(values.groupBy("value").agg(F.count(F.lit(1)).alias("n")), [], ["value"], "n")
-    total = counts.agg(F.sum("n")).first()[0]
-    if not total:
-        return None
-    at_least = [F.min(F.when(F.col("running") >= position, F.col("value"))) for position in ((total + 1) // 2, total // 2 + 1)]
-    low, high = counts.agg(*at_least).first()
-    return (low + high) / 2
+def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """Exact medians of numeric columns; a column without values has none. One row a column comes to the driver."""
+    middle = F.array(F.expr("(total + 1) div 2"), F.expr("total div 2 + 1"))
+    found = order_statistics(df, cols, middle).select("column", (F.get("values", 0) + F.get("values", 1)) / 2)
+    return {r[0]: r[1] for r in found.collect()}
+
+
+def exact_median(df: DataFrame, col: str) -> float | None:
+    """Exact median of a numeric column (NULL and NaN do not count), without gathering its values."""
+    return exact_medians(df, [col]).get(col)
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10000) -> DataFrame:
@@ -62,5 +77,5 @@ def impute_median(df: DataFrame, cols: Sequence[str], approx: bool = False, accu
     if approx:
         medians = casted.agg(*[F.percentile_approx(c, 0.5, accuracy).alias(c) for c in cols]).first().asDict()
     else:
-        medians = {c: exact_median(casted, c) for c in cols}
+        medians = exact_medians(casted, cols)
     return casted.fillna({c: m for c, m in medians.items() if m is not None})

@@ -35,17 +35,58 @@ def write_bucketed(
     files per task. Size ``buckets`` to the table (``buckets_for``): 16 is the reference's
     demonstration value; at 100 TB a bucket should stay around a gigabyte.
     """
+    return _write_bucketed_on(spark, df, name, [key], buckets, table)
+
+
+def _write_bucketed_on(
+    spark: SparkSession, df: DataFrame, name: str, keys: list[str], buckets: int, table: str | None = None
+) -> DataFrame:
     table = table or f"tidemark_{name}_{uuid.uuid4().hex[:10]}"
     (
-        df.repartition(buckets, key).write.mode("overwrite")
-        .bucketBy(buckets, key)
-        .sortBy(key)
+        df.repartition(buckets, *keys).write.mode("overwrite")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
         .option("path", staging_path(spark, name))
         .saveAsTable(table)
     )
     return spark.table(table)
 
 
+SALT = "_salt"
+
+
+def heavy_keys(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """(key, salts) of the keys with more than ``most`` rows: so many salts that a share has ``most`` at
+    most, on average. There are fewer than rows / ``most`` of them."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+    return counts.select(key, F.ceil(F.col("n") / most).cast("int").alias("salts"))
+
+
+def write_salted(
+    spark: SparkSession, rows: DataFrame, other: DataFrame, names: tuple[str, str], spread: str, key: str = "match_id",
+    buckets: int = BUCKETS, most: int = 4_000_000,
+) -> tuple[DataFrame, DataFrame]:
+    """``rows`` and ``other`` bucketed alike on (``key``, salt): joined on both (see ``salted_join``) they
+    need no exchange, and the rows of a heavy key lie in several buckets.
+
+    The keys with more than ``most`` rows are counted and written once; their rows are dealt over
+    salts by a hash of ``spread``, and ``other``'s rows of these keys alone are repeated for each salt.
+    All other rows have salt 0, so that both tables keep their size."""
+    path = staging_path(spark, f"{names[0]}-heavy")
+    heavy_keys(rows, key, most).write.parquet(path)
+    heavy = bounded_broadcast(spark.read.parquet(path))
+    salts = F.coalesce(F.col("salts"), F.lit(1))
+    dealt = rows.join(heavy, key, "left").withColumn(SALT, F.pmod(F.xxhash64(spread), salts).cast("int")).drop("salts")
+    repeated = other.join(heavy, key, "left").withColumn(SALT, F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    return tuple(  # type: ignore[return-value]
+        _write_bucketed_on(spark, df, name, [key, SALT], buckets) for df, name in ((dealt, names[0]), (repeated, names[1])))
+
+
+def salted_join(rows: DataFrame, other: DataFrame, key: str = "match_id") -> DataFrame:
+    """The join of two tables of ``write_salted``: each row meets the copy in its own bucket."""
+    return rows.join(other, [key, SALT]).drop(SALT)
+
+
 def match_facts(
     matches: DataFrame, details: DataFrame, medal_rows: DataFrame, medals: DataFrame, maps: DataFrame
 ) -> DataFrame:

@@ -11,8 +11,10 @@ from ..functions.numeric import idiv
 from ..operators.cumulative import cumulative_backfill, cumulative_step, history_rows
 from ..operators.scd import scd_backfill, scd_increment
 from ..operators.states import player_state_changes
+from ..session import staging_path
 from ..sources import adapters
 from ..sources.tables import Tables
+from .scd_store import ScdStore
 
 PLAYER_STATS = ("gp", "pts", "ast", "reb")
 PLAYER_STATICS = ("college", "country")
@@ -89,6 +91,20 @@ def q_scd_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scd_out(scd_increment(prior, current, ["player_name"], PLAYER_TRACKED, as_of=last))
 
 
+def q_scd_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SCD kept in open and closed folders: the first run takes the history up to four seasons
+    before the last, then each season's run adds to it."""
+    t = Tables(spark, sf_dir)
+    last = last_season(t)
+    path = staging_path(spark, "scd-snapshots")
+    players_snapshots(t, last).select("player_name", "season", *PLAYER_TRACKED).write.parquet(path)
+    snaps = spark.read.parquet(path)  # each season's run reads its own rows
+    store = ScdStore(spark, staging_path(spark, "scd-store"), ["player_name"], PLAYER_TRACKED, time_col="season")
+    for season in (last - 4, last):
+        store.run(snaps, season)
+    return _scd_out(store.table().withColumnRenamed("as_of", "current_season"))
+
+
 def q_player_state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     snaps = players_snapshots(Tables(spark, sf_dir))
     return player_state_changes(snaps, ["player_name"], "season").select(
@@ -217,6 +233,7 @@ QUERIES = {
     "players_step": q_players_step,
     "scd_backfill": q_scd_backfill,
     "scd_incremental": q_scd_incremental,
+    "scd_store": q_scd_store,
     "player_state_changes": q_player_state_changes,
     "scoring_class": q_scoring_class,
     "season_spine": q_season_spine,
@@ -342,6 +359,7 @@ FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""",
     "players_step": f"WITH {SNAP_CTE} SELECT {_SNAP_COLS} FROM snap WHERE season = (SELECT s FROM last_season)",
     "scd_backfill": SCD_PLAYERS,
     "scd_incremental": SCD_PLAYERS,
+    "scd_store": SCD_PLAYERS,
     "player_state_changes": f"""WITH {SNAP_CTE}
 SELECT cur.player_name, cur.season, cur.is_active,
        CASE WHEN prev.player_name IS NULL THEN 'New'

@@ -197,6 +197,26 @@ def q_user_devices_datelist_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     return act.datelist_int(snap).select("user_id", "browser_type", "datelist_int", _s("date").alias("date"))
 
 
+def user_devices_map(t: Tables) -> DataFrame:
+    """Today's map per user: yesterday's map and today's activity, merged entry by entry."""
+    d = last_day(t)
+    activity = device_activity(t)
+    rows = act.datelist_backfill(activity, ["user_id", "browser_type"], "event_date", d - dt.timedelta(days=1))
+    yesterday = act.datelist_map(rows, "user_id", "browser_type")
+    return act.datelist_map_step(yesterday, activity, "user_id", "browser_type", "event_date", d, "browser_type_dates_active")
+
+
+def q_user_devices_map_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    maps = user_devices_map(Tables(spark, sf_dir))
+    rows = maps.select("user_id", F.explode("browser_type_dates_active").alias("browser_type", "dates_active"), "date")
+    return _flat_datelist(rows, "user_id", "browser_type")
+
+
+def q_user_devices_map_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masks = act.datelist_map_int(user_devices_map(Tables(spark, sf_dir)), "browser_type_dates_active")
+    return masks.select("user_id", F.explode("datelist_ints").alias("browser_type", "datelist_int"), _s("date").alias("date"))
+
+
 def q_hosts_cumulated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incremental: yesterday's host datelist + today's host activity."""
     t = Tables(spark, sf_dir)
@@ -308,6 +328,8 @@ QUERIES = {
     "array_metrics_by_day": q_array_metrics_by_day,
     "user_devices_cumulated": q_user_devices_cumulated,
     "user_devices_datelist_int": q_user_devices_datelist_int,
+    "user_devices_map_step": q_user_devices_map_step,
+    "user_devices_map_int": q_user_devices_map_int,
     "hosts_cumulated": q_hosts_cumulated,
     "host_activity_reduced": q_host_activity_reduced,
     "host_activity_reduced_step": q_host_activity_reduced_step,
@@ -465,6 +487,12 @@ x AS (SELECT ev.user_id, dev.browser_type, ev.d FROM ev JOIN dev ON dev.device_i
 {_datelist_sql('user_id, browser_type', 'x')}""",
     "user_devices_datelist_int": f"""WITH {EV}, {DEV},
 x AS (SELECT ev.user_id, dev.browser_type, ev.d FROM ev JOIN dev ON dev.device_id = ev.device_id),
+{_mask_sql('user_id, browser_type', 'x')} SELECT user_id, browser_type, datelist_int, date FROM dl""",
+    "user_devices_map_step": f"""WITH {EV}, {DEV},
+x AS (SELECT ev.user_id, dev.browser_type, ev.d FROM ev JOIN dev ON dev.device_id = ev.device_id)
+{_datelist_sql('user_id, browser_type', 'x')}""",
+    "user_devices_map_int": f"""WITH {EV}, {DEV},
+x AS (SELECT ev.user_id, dev.browser_type, ev.d FROM ev JOIN dev ON dev.device_id = ev.device_id),
 {_mask_sql('user_id, browser_type', 'x')} SELECT user_id, browser_type, datelist_int, date FROM dl""",
     "hosts_cumulated": f"WITH {EV} {_datelist_sql('host', 'ev')}",
     "host_activity_reduced": f"""WITH {EV},
