@@ -1,8 +1,8 @@
 """Toxicity: class-conditional Kneser-Ney models over byte n-grams.
 
 Of all labelled training documents the n-grams of each class are counted (``ORDER`` bytes of the
-lower-cased text; every n-gram counts). At the top order each class has its own discounted counts;
-below, both back off to one interpolated Kneser-Ney model of shared continuation counts, so that an
+lower-cased text, a Latin letter with an accent being one byte; every n-gram counts). At the top
+order each class has its own discounted counts; below, both back off to one interpolated Kneser-Ney model of shared continuation counts, so that an
 expression which neither class has seen often is judged by what both have in common. A document's
 log-likelihoods under the two models are compared per byte over the whole text, in its most toxic
 stretch, and word by word as evidence for a mixture (ordinary text with a share ``MIXED`` of toxic
@@ -33,18 +33,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, staged
+from .common import chunks, key_of, staged
 
-ORDER, DISCOUNT = 5, 0.75
+ORDER, DISCOUNT = 6, 0.75
 #: Text of a block of documents, which share one look-up of their n-grams.
 BLOCK_BYTES = 1 << 24
-#: Size of the tables that ``_features`` reads.
-SLOTS = 1 << 22
+#: Blocks in one list of those that want an n-gram; a frequent one has as many lists as it needs.
+LIST_BLOCKS = 1 << 12
 #: Bytes in the stretch whose mean log-ratio is the second feature; share of toxic words in the third.
 STRETCH, MIXED = 12, 0.01
 FEATURES = ("mean_ratio", "high_ratio", "evidence")
+#: The hash of a scored row's text, which tells apart rows of one doc_id.
+TEXT_HASH = "text_hash"
 CURVE_ROWS = 20_000
 SPACES = bytes.maketrans(b"\t\n\r\x0b\x0c", b"     ")
+#: The first bytes of U+0080 to U+00FF: without them each of these characters is its second byte.
+LEADS = b"\xc2\xc3"
 PAD = b" " * (ORDER - 1)
 
 
@@ -53,16 +57,9 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
 
 
-def _slot(key: np.ndarray) -> np.ndarray:
-    """Spreads n-grams over the slots of a table."""
-    key = key ^ (key >> 13)
-    key = key ^ (key << 7)
-    return (key ^ (key >> 17)) & (SLOTS - 1)
-
-
 def _plain(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
-    """Each whole text in lower case, with spaces for white space; NULL is empty."""
-    return [(x or b"").translate(SPACES) for x in pc.utf8_lower(column).cast(pa.binary()).to_pylist()]
+    """Each whole text in lower case, with spaces for white space and without ``LEADS``; NULL is empty."""
+    return [(x or b"").translate(SPACES, LEADS) for x in pc.utf8_lower(column).cast(pa.binary()).to_pylist()]
 
 
 def _normal(batch: pa.RecordBatch, text: str) -> list[bytes]:
@@ -155,15 +152,6 @@ def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return seen, unseen
 
 
-def _features(data: bytes, grams: np.ndarray, contexts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``_summed`` with the ratios of two tables of ``SLOTS``; NaN in ``grams`` is an unseen n-gram."""
-    gram = _grams(data)
-    ratio = grams[_slot(gram)]
-    unseen = np.flatnonzero(np.isnan(ratio))
-    ratio[unseen] = contexts[_slot(gram[unseen] >> 8)]
-    return _summed(data, ratio, ends)
-
-
 def _summed(data: bytes, ratio: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of each padded text in ``data``, with a ratio for each n-gram: mean log-ratio, that of its
     highest stretch, and the evidence of its words (a word ends with its space)."""
@@ -187,10 +175,8 @@ def _summed(data: bytes, ratio: np.ndarray, ends: np.ndarray) -> tuple[np.ndarra
     return mean, high, evidence
 
 
-def _blocks(texts: DataFrame) -> DataFrame:
+def _blocks(texts: DataFrame, n: int) -> DataFrame:
     """(block, rows): ``texts`` dealt to blocks by a hash; a task's rows of a block are packed as one."""
-    size = texts.agg(F.sum(F.octet_length("text").cast("double"))).first()[0] or 0
-    n = max(1, -int(-size // BLOCK_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,14 +184,14 @@ def _blocks(texts: DataFrame) -> DataFrame:
             order = np.argsort(block, kind="stable")
             kinds, first = np.unique(block[order], return_index=True)
             for k, rows in zip(kinds, np.split(order, first[1:])):
-                piece, sink = batch.take(pa.array(rows)).select(["doc_id", "text"]), pa.BufferOutputStream()
+                piece, sink = batch.take(pa.array(rows)).select(["doc_id", "text", TEXT_HASH]), pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                     out.write_batch(piece)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "rows"])
 
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
-    return texts.select(block.alias("block"), "doc_id", "text").mapInArrow(run, "block int, rows binary")
+    return texts.select(block.alias("block"), "doc_id", "text", F.xxhash64("text").alias(TEXT_HASH)).mapInArrow(run, "block int, rows binary")
 
 
 def _unpacked(block: pa.Table) -> Iterator[pa.Table]:
@@ -248,11 +234,14 @@ def _ratios(words: pa.DictionaryArray, grams: np.ndarray, ratios: np.ndarray) ->
 
 
 def with_features(texts: DataFrame, seen: DataFrame, unseen: DataFrame) -> DataFrame:
-    """(doc_id, the ``FEATURES``) of each whole text, by the exact ratios of ``log_ratios``."""
-    blocks = _blocks(texts)
+    """(doc_id, ``TEXT_HASH``, the ``FEATURES``) of each whole text, by the exact ratios of ``log_ratios``."""
+    size = texts.agg(F.sum(F.octet_length("text").cast("double"))).first()[0] or 0
+    n = max(1, -int(-size // BLOCK_BYTES))
+    blocks = _blocks(texts, n)
     wanted = blocks.groupBy("block").applyInArrow(_wanted, "block int, gram long")
-    # one row an n-gram: both joins are of distinct n-grams, whatever the number of blocks
-    kinds = wanted.groupBy("gram").agg(F.collect_list("block").alias("blocks"))
+    # few rows an n-gram: both joins are of lists of at most about LIST_BLOCKS blocks, whatever their number
+    part = F.pmod("block", F.lit(-(-n // LIST_BLOCKS)))
+    kinds = wanted.groupBy("gram", part.alias("part")).agg(F.collect_list("block").alias("blocks"))
     backoff = unseen.select("context", F.col("ratio").alias("backoff"))
     known = kinds.join(seen.select("gram", "ratio"), "gram", "left").join(
         backoff, F.shiftright("gram", 8) == F.col("context"), "left")
@@ -262,9 +251,10 @@ def with_features(texts: DataFrame, seen: DataFrame, unseen: DataFrame) -> DataF
     def run(block: pa.Table, model: pa.Table) -> pa.Table:
         order = np.argsort(model["gram"].to_numpy())
         grams, ratios = model["gram"].to_numpy()[order], model["ratio"].to_numpy()[order]
-        ids, parts = [], []
+        ids, hashes, parts = [], [], []
         for rows in _unpacked(block):
             ids += rows["doc_id"].chunks
+            hashes += rows[TEXT_HASH].chunks
             plain = _plain(rows["text"])
             for a, b in chunks(plain, 1 << 22):
                 some = plain[a:b]
@@ -273,9 +263,9 @@ def with_features(texts: DataFrame, seen: DataFrame, unseen: DataFrame) -> DataF
                 ratio = _ratios(_words(some), grams, ratios)[: len(data) - len(PAD)]
                 parts.append(_summed(data, ratio, ends))
         every = [np.concatenate(x) for x in zip(*parts)]
-        return pa.table({"doc_id": pa.chunked_array(ids), **dict(zip(FEATURES, every))})
+        return pa.table({"doc_id": pa.chunked_array(ids), TEXT_HASH: pa.chunked_array(hashes), **dict(zip(FEATURES, every))})
 
-    schema = T.StructType([texts.schema["doc_id"], *(T.StructField(n, T.DoubleType()) for n in FEATURES)])
+    schema = T.StructType([texts.schema["doc_id"], T.StructField(TEXT_HASH, T.LongType()), *(T.StructField(n, T.DoubleType()) for n in FEATURES)])
     return blocks.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(run, schema)
 
 
@@ -302,7 +292,7 @@ def _curve(rows: list[tuple]) -> list[float] | None:
 def score(
     docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic"
 ) -> DataFrame:
-    """(doc_id, the ``FEATURES``, score), a row for each row of ``docs``.
+    """(doc_id, ``TEXT_HASH``, the ``FEATURES``, score), a row for each row of ``docs``.
 
     ``labels`` has the doc_id and the label; folds 0 and 1 train the models, fold 3 the curve,
     fold 2 is held out from both."""
@@ -329,9 +319,11 @@ def score(
 def without_toxic(
     docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", limit: float = 0.3
 ) -> DataFrame:
-    """The rows of ``docs`` whose score is below ``limit``; those with a NULL doc_id have no
-    score to join and stay."""
+    """The rows of ``docs`` whose score is below ``limit``, each judged by its own text: rows that share a
+    doc_id, or have none, are told apart by the hash of their text."""
     scored = score(docs, labels, text, doc_id, label)
-    bad = scored.where((F.col("score") >= limit) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_of"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
-    return rows.join(bad.distinct().hint("merge"), F.col(f"row.{doc_id}") == F.col("_of"), "left_anti").select("row.*")
+    bad = scored.where(F.col("score") >= limit).select(key_of("doc_id").alias("_of"), F.col(TEXT_HASH).alias("_hash"))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), key_of(doc_id).alias("_key"), F.xxhash64(F.col(text).cast("string")).alias("_text"))
+    same = (F.col("_key") == F.col("_of")) & (F.col("_text") == F.col("_hash"))
+    return rows.join(bad.distinct().hint("merge"), same, "left_anti").select("row.*")
