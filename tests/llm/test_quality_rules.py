@@ -92,3 +92,72 @@ def test_edge_cases(spark):
     none = qr.judge(docs, spark.createDataFrame([], labels.schema))
     assert none.where("kept = base_failed").count() == 0
     assert qr.judge(spark.createDataFrame([], docs.schema), labels).collect() == []
+
+
+def plain_selection(rows, names, risk, confidence):
+    """The cutoffs by hand from (stratum, rule -> ratio, label) of each labelled document."""
+    strata = {s for s, _, _ in rows}
+    sequences = {}
+    for s in strata:
+        good, bad = ([ratios for t, ratios, label in rows if t == s and label == of] for of in (1, 0))
+        level, left, limits, tried = confidence / (len(names) * len(strata)), list(names), {}, []
+
+        def hit(docs, limits):
+            return sum(any(d[n] > c for n, c in limits.items()) for d in docs)
+
+        while left:
+            before = hit(bad, limits)
+            rule = max(left, key=lambda n: hit(bad, {**limits, n: qr.GRID[-1]}) - before)
+            left.remove(rule)
+            last = before
+            for c in qr.GRID:
+                now = hit(bad, {**limits, rule: c})
+                if now > last and qr.upper_tail(now - before, len(bad), risk) <= level:
+                    last, limits = now, {**limits, rule: c}
+                    tried.append((limits, qr.tail(hit(good, limits), len(good), risk)))
+        if tried:
+            sequences[s] = tried
+    open_ones = sorted(sequences, key=lambda s: (max(p for _, p in sequences[s]), s or ""))
+    done = []
+    while open_ones and max(p for _, p in sequences[open_ones[0]]) <= confidence / len(open_ones):
+        done.append(open_ones.pop(0))
+    chosen = {}
+    for s, tried in sequences.items():
+        for limits, p in tried:
+            if s not in done and p > confidence / len(open_ones):
+                break
+            chosen[s] = limits
+    return {(s, n): c for s, limits in chosen.items() for n, c in limits.items()}
+
+
+def test_kept_equals_a_plain_selection(spark):
+    """At a tenth, the symbols are certified in all four languages, and no stratum loses too many good ones."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    judged = qr.judge(docs, labels).collect()
+    names = list(qr.rules())
+
+    def ratios(r):
+        words = max(r["n_words"], 1)
+        return dict(zip(names, (r["n_symbols"] / words, r["n_dup_lines"] / max(r["n_lines"], 1), r["n_repeat_words"] / words,
+                                max(r["word_chars"] / words - 10, 0) / 20)))
+
+    quality = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    rows = [(r["stratum"], ratios(r), quality[r["doc_id"]]) for r in judged if quality.get(r["doc_id"]) in (0, 1) and not r["base_failed"]]
+    limits = plain_selection(rows, names, qr.RISK, qr.CONFIDENCE)
+    assert {s for s, rule in limits if rule == "symbols"} == {"en", "de", "fr", "es"}
+    for r in judged:
+        failed = [n for n, x in ratios(r).items() if x > limits.get((r["stratum"], n), np.inf)]
+        assert r["failed"] == failed and r["kept"] == (not r["base_failed"] and not failed)
+    for stratum in ("en", "de", "fr", "es"):
+        good = [r["kept"] for r in judged if r["stratum"] == stratum and quality.get(r["doc_id"]) == 1 and not r["base_failed"]]
+        assert np.mean(good) >= 0.98
+
+
+def test_cutoffs_from_half_of_the_labels_spare_the_good_ones_of_the_other_half(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    judged = qr.judge(docs, labels.where("doc_id % 2 = 0")).join(labels, "doc_id").where("doc_id % 2 = 1 AND NOT base_failed")
+    lost = judged.where("quality = 1").groupBy("stratum").agg(F.avg((~F.col("kept")).cast("int")).alias("lost")).collect()
+    assert all(r["lost"] <= 0.02 for r in lost)
+    assert judged.where("quality = 0").agg(F.avg((~F.col("kept")).cast("int"))).first()[0] > 0.3

@@ -1,16 +1,21 @@
 """Quality rules with risk-controlled thresholds.
 
-Each rule is a ratio of a document. For each stratum (language) and rule a grid of cutoffs is tried,
-from the strictest on, on the labelled documents that pass the base rules. A cutoff is certified if,
-were its true share of good documents rejected as high as the risk allowed, so few rejections of
-good ones would be seen with a probability of at most ``confidence / tests`` (an exact binomial
-tail; Bonferroni's correction over all strata, rules and cutoffs that are tested). The allowed risk
-is split over the rules, so that with the chosen probability no stratum loses more than ``risk``
-of its good documents to all rules together. A cutoff must also be shown, by the same exact test, to
-reject bad documents more often than the risk allows for good ones. Per stratum and rule the strictest
-cutoff that passes both holds; a rule without one rejects nothing.
-
-The labelled holdout is aggregated by (stratum, rule, cutoff) before anything is decided. Defined
+Each rule is a ratio of a document, and each stratum (language) gets one set of rules with a cutoff
+each, from a grid. It is found on the labelled documents that pass the base rules, in two steps.
+
+The bad documents alone order the tries: the rule that catches the most of those still uncaught comes
+next, from its loosest cutoff on, and each cutoff that catches more is a step; a rule must catch
+more than the risk allows for good ones, by an exact binomial test (Bonferroni's correction over
+strata and rules). So the sequence of rule sets does not depend on the good documents.
+
+The good documents then certify steps. A step's p-value is the chance of so few good documents
+rejected by the whole set, were their true share as high as ``risk`` (an exact binomial tail). The
+steps are tested in order, each only if all before it held, so the sequence needs no correction;
+Holm's step-down corrects over the strata: one whose whole sequence holds leaves its share of the
+error to the others. The last certified step's set holds. So, with the chosen probability, no
+stratum loses more than ``risk`` of its good documents to all rules together.
+
+The labelled holdout is aggregated by stratum and cutoffs before anything is decided. Defined
 cases: NULL and wordless texts have 0 words and fail the base rule; a NULL stratum is a stratum like
 any other; strata without labels keep whatever passes the base rules; labels other than 0 and 1 are
 not used, a document with two labels counts under each; repeated rows get equal verdicts.
@@ -23,7 +28,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,29 +124,64 @@ def thresholds(measured: DataFrame, labels: DataFrame, stratum: str = "lang", do
     passing = measured.where(~base_failed()).select(
         F.col(doc_id).alias("_id"), F.col(stratum).cast("string").alias("stratum"), *[c.alias(n) for n, c in judged.items()])
     grid = F.array(*[F.lit(float(x)) for x in GRID])
-    step = [F.struct(F.lit(n).alias("rule"), F.size(F.filter(grid, lambda c: F.col(n) > c)).alias("above")) for n in judged]
-    # ``above``: how many cutoffs of the grid the document fails, counted from the strictest
-    held = passing.join(known, F.col("_id") == F.col("_of")).select("stratum", "_label", F.inline(F.array(*step)))
-    table = held.groupBy("stratum", "rule", "above").agg(
+    # how many cutoffs of the grid the document fails by each rule, counted from the strictest
+    above = [F.size(F.filter(grid, lambda c: F.col(n) > c)) for n in judged]
+    held = passing.join(known, F.col("_id") == F.col("_of")).select("stratum", "_label", F.array(*above).alias("above"))
+    cells = held.groupBy("stratum", "above").agg(
         F.count_if(F.col("_label") == 1).alias("good"), F.count_if(F.col("_label") == 0).alias("bad"))
-    tests = len(judged) * len(GRID) * max(1, table.select("stratum").distinct().count())
-    allowed, level = risk / len(judged), confidence / tests
-
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        n = len(GRID)
-        good, bad = (np.bincount(rows["above"], weights=rows[c], minlength=n + 1).astype(int) for c in ("good", "bad"))
-        out = []
-        for i in reversed(range(n)):  # the strictest first: a document above GRID[i] fails n - i or more
-            lost, caught = int(good[n - i:].sum()), int(bad[n - i:].sum())
-            if not caught or upper_tail(caught, int(bad.sum()), allowed) > level:
-                continue
-            if tail(lost, int(good.sum()), allowed) <= level:
-                out = [(rows["stratum"].iloc[0], rows["rule"].iloc[0], GRID[i], int(good.sum()), lost, int(bad.sum()), caught)]
-                break
-        return pd.DataFrame(out, columns=["stratum", "rule", "cutoff", "good", "good_rejected", "bad", "bad_rejected"])
-
-    return table.groupBy("stratum", "rule").applyInPandas(
-        choose, "stratum string, rule string, cutoff double, good long, good_rejected long, bad long, bad_rejected long")
+    return certified(cells, list(judged), risk, confidence)
+
+
+def steps(above: np.ndarray, bad: np.ndarray, risk: float, level: float) -> list[tuple[int, int, np.ndarray]]:
+    """(rule, place of its cutoff, cells rejected by the set so far), by the bad documents of the cells."""
+    n, total = len(GRID), int(bad.sum())
+    rejected, left, out = np.zeros(len(bad), bool), list(range(above.shape[1])), []
+    while left:
+        gains = [int(bad[(above[:, r] > 0) & ~rejected].sum()) for r in left]
+        rule, before = left.pop(int(np.argmax(gains))), int(bad[rejected].sum())
+        last, base = before, rejected
+        for i in range(n):  # the loosest first: above GRID[i] are those that fail n - i cutoffs or more
+            now = base | (above[:, rule] >= n - i)
+            caught = int(bad[now].sum())
+            if caught > last and upper_tail(caught - before, total, risk) <= level:
+                out.append((rule, i, now))
+                last, rejected = caught, now
+    return out
+
+
+def certified(cells: DataFrame, names: list[str], risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
+    """(stratum, rule, cutoff, good, good_rejected, bad, bad_rejected) of the rule sets that hold, the
+    counts being those of the whole set; from (stratum, above, good, bad): the labelled documents
+    that fail ``above`` cutoffs of each rule."""
+    strata = max(1, cells.select("stratum").distinct().count())
+    columns = ["stratum", "step", "cutoffs", "good", "good_rejected", "bad", "bad_rejected", "p"]
+
+    def tested(rows: pd.DataFrame) -> pd.DataFrame:
+        above, good, bad = np.array(rows["above"].tolist()), rows["good"].to_numpy(), rows["bad"].to_numpy()
+        cutoffs, out, p = [None] * len(names), [], 0.0
+        for step, (rule, i, rejected) in enumerate(steps(above, bad, risk, confidence / (len(names) * strata))):
+            cutoffs = [GRID[i] if r == rule else c for r, c in enumerate(cutoffs)]
+            lost = int(good[rejected].sum())
+            p = max(p, tail(lost, int(good.sum()), risk))  # a step holds if all before it do
+            out.append((rows["stratum"].iloc[0], step, cutoffs, int(good.sum()), lost, int(bad.sum()), int(bad[rejected].sum()), p))
+        return pd.DataFrame(out, columns=columns)
+
+    found = staged(cells.groupBy("stratum").applyInPandas(
+        tested, "stratum string, step int, cutoffs array<double>, good long, good_rejected long, bad long, bad_rejected long, "
+                "p double"), "quality-tests")
+    # Holm over the strata: one row each, in one task
+    whole = found.groupBy("stratum").agg(F.max("p").alias("p_whole"))
+    in_order, every = Window.orderBy("p_whole", "stratum"), Window.partitionBy(F.lit(0))
+    left = F.count(F.lit(1)).over(every) - F.row_number().over(in_order) + 1
+    ranked = whole.withColumn("holds", F.col("p_whole") <= F.lit(confidence) / left)
+    ranked = ranked.withColumn("done", F.min("holds").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    open_ones = F.count_if(~F.col("done")).over(every)
+    levels = ranked.select(F.col("stratum").alias("_stratum"), F.when(F.col("done"), F.lit(1.0)).otherwise(
+        F.lit(confidence) / F.greatest(open_ones, F.lit(1))).alias("level"))
+    held = found.join(levels, F.col("stratum").eqNullSafe(F.col("_stratum"))).where(F.col("p") <= F.col("level"))
+    last = held.groupBy("stratum").agg(F.max_by(F.struct(*columns[2:7]), "step").alias("x")).select("stratum", "x.*")
+    rules_of = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("rule"), F.col("cutoffs").alias("cutoff"))
+    return last.select("stratum", F.inline(rules_of).alias("rule", "cutoff"), *columns[3:7]).where("cutoff IS NOT NULL")
 
 
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", doc_id: str = "doc_id",
