@@ -3,6 +3,7 @@ the SCD increment equals the one-pass backfill, for random values including NULL
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
 from tidemark.operators.scd import scd_backfill, scd_increment
@@ -106,3 +107,13 @@ def test_datelist_fold_and_mask_equal_backfill(spark, users):
         want = sum(1 << (31 - (14 - k)) for k in days)
         assert packed[u] == want
     assert act.datelist_int(expected).where(F.col("datelist_int") < 0).count() == 0
+
+
+def test_integer_division_is_exact_above_doubles(spark):
+    from tidemark.functions.numeric import idiv, milli
+
+    big = (1 << 62) + 1
+    row = spark.createDataFrame([(big, 1), (big, 3), (7, 2)], "a long, b long").select(
+        idiv(F.col("a"), F.col("b")).alias("d"), milli(F.col("a"), F.col("b")).alias("m")).collect()
+    assert [r["d"] for r in row] == [big, big // 3, 3]
+    assert [r["m"] for r in row] == [float(big) / 1000, float(big // 3) / 1000, 0.003]

@@ -12,10 +12,10 @@ def cents(amount: Column) -> Column:
 
 
 def milli(numerator: Column, denominator: Column) -> Column:
-    """``floor(numerator / denominator) / 1000`` on integers (no float rounding step)."""
-    return (F.floor(numerator.cast("double") / denominator.cast("double")).cast("long")).cast("double") / 1000
+    """``numerator div denominator / 1000`` on integers: one division of doubles, at the end."""
+    return idiv(numerator, denominator).cast("double") / 1000
 
 
 def idiv(numerator: Column, denominator: Column) -> Column:
-    """Integer division (``div``) of two integral columns."""
-    return F.floor(numerator.cast("double") / denominator.cast("double")).cast("long")
+    """Integer division (``div``) of two integral columns, in 64 bits at every size."""
+    return F.call_function("div", numerator.cast("long"), denominator.cast("long"))

@@ -52,3 +52,8 @@ class Rollups:
 
     def devices_(self) -> DataFrame:
         return device_user_rollup(self.agg, self.devices)
+
+    def write(self, users_path: str, devices_path: str) -> None:
+        """Stores both reports; the events are read and aggregated for the first one only."""
+        self.users().write.parquet(users_path)
+        self.devices_().write.parquet(devices_path)

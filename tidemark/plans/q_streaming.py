@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import geo
+from ..operators import geo, sessions
 from ..plans.joins import scoped_setting
+from ..session import stream_paths
 from ..sources import adapters
 from ..sources.tables import Tables
-from ..streaming import runner, sources, windows
+from ..streaming import late, runner, shared, sources, windows
 
 
 def _ntz(c: str) -> F.Column:
@@ -42,16 +43,84 @@ def q_stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_sessions(spark, sf_dir)
 
 
+def closed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sessions that the stream emits, as a batch: a key's events lie in as many tasks as its hours."""
+    events = adapters.web_events(Tables(spark, sf_dir))
+    last = Tables(spark, sf_dir).events.agg(F.max("ts") - F.expr(f"INTERVAL {windows.WATERMARK}")).first()[0]
+    found = sessions.sliced_sessions(events, "event_time", ["ip", "host"], windows.SESSION_GAP)
+    return found.where(F.col("session_end") <= F.lit(last))
+
+
 def q_session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Average events per session, per host and over all hosts (rollup)."""
-    s = stream_sessions(spark, sf_dir)
-    return s.rollup("host").agg(
+    return closed_sessions(spark, sf_dir).rollup("host").agg(
         F.count(F.lit(1)).alias("n_sessions"),
         (F.sum("n_events").cast("double") / F.count(F.lit(1))).alias("avg_events_per_session"),
         F.max("n_events").alias("max_events"),
     )
 
 
+def q_sliced_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return closed_sessions(spark, sf_dir)
+
+
+def q_stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sinks of one reading and one state: hits per (window, host, referrer) and per (window, host).
+    All rows of a window close with it, in one batch, so the second is a sum over the batch."""
+    s = sources.with_event_time(sources.web_event_stream(spark, sf_dir))
+    agg = windows.tumbling_counts(s, "event_time", ["host", "referrer"], "host")
+    root, checkpoint = stream_paths(spark, "fan_out")
+    per_host = ["window_start", "window_end", "host"]
+
+    def hosts(batch: DataFrame) -> DataFrame:
+        return batch.groupBy(*per_host).agg(F.sum("num_hits").alias("num_hits"))
+
+    makers = {"referrers": lambda batch: batch, "hosts": hosts}
+    for name, make in makers.items():  # a stream without rows has no batch
+        empty = make(spark.createDataFrame([], agg.schema))
+        empty.write.parquet(f"{root}/{name}/batch_id=-1")
+    writers = {name: runner.folder_writer(f"{root}/{name}", make) for name, make in makers.items()}
+    q = shared.start_shared(agg, writers, f"{root}/ledger", checkpoint, available_now=True)
+    q.awaitTermination()
+    stored = [
+        spark.read.parquet(f"{root}/{name}").select(
+            F.lit(name).alias("sink"), _ntz("window_start"), _ntz("window_end"), "host",
+            (F.col("referrer") if name == "referrers" else F.lit(None).cast("string")).alias("referrer"), "num_hits")
+        for name in makers
+    ]
+    return stored[0].unionByName(stored[1])
+
+
+ARRIVALS = 3
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrive in ``ARRIVALS`` parts by the remainder of their id, so that later parts are late
+    nearly throughout: rows and late rows of each part, as stored beside the sink by the listener."""
+    events = Tables(spark, sf_dir).events.select("event_id", "ts")
+    root, checkpoint = stream_paths(spark, "late_rows")
+    listener = late.LateRows(spark, f"{root}/late", "late_rows")
+    spark.streams.addListener(listener)
+    runs = []
+    try:
+        for part in range(ARRIVALS):
+            events.where(F.pmod("event_id", F.lit(ARRIVALS)) == part).write.parquet(f"{root}/arrived/part={part}")
+            stream = spark.readStream.schema("event_id long, ts timestamp_ntz, part int").parquet(f"{root}/arrived")
+            timed = sources.with_event_time(stream, "ts").withWatermark("event_time", windows.WATERMARK)
+            once = timed.dropDuplicates(["event_id", "event_time"])
+            q = runner.start_parquet_sink(once, f"{root}/sink", checkpoint, available_now=True, name="late_rows")
+            q.awaitTermination()
+            listener.wait(q)
+            runs.append((str(q.runId), part))
+    finally:
+        spark.streams.removeListener(listener)
+    kept = spark.read.parquet(f"{root}/sink").groupBy("part").agg(F.count(F.lit(1)).alias("n_kept"))
+    parts = spark.createDataFrame(runs, "run_id string, part long")  # ARRIVALS rows
+    counted = listener.read().join(parts, "run_id").groupBy("part").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_late").alias("n_late"))
+    return counted.where("n_rows > 0").join(kept, "part", "left").select(
+        "part", "n_rows", "n_late", F.coalesce("n_kept", F.lit(0)).cast("long").alias("n_kept"))
+
+
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw JSON events (as a Kafka value) -> parsed event time -> geo range search, batch by batch -> sink."""
     t = Tables(spark, sf_dir)
@@ -84,6 +153,9 @@ QUERIES = {
     "stream_host_referrer_hits": q_stream_host_referrer_hits,
     "stream_sessions": q_stream_sessions,
     "session_stats": q_session_stats,
+    "sliced_sessions": q_sliced_sessions,
+    "stream_fan_out": q_stream_fan_out,
+    "stream_late_rows": q_stream_late_rows,
     "stream_ingest": q_stream_ingest,
     "geo_enrich": q_geo_enrich,
 }
@@ -131,6 +203,19 @@ FROM we GROUP BY 1, 2, 3, 4 HAVING time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL
 SELECT host, COUNT(*) AS n_sessions, CAST(SUM(n_events) AS DOUBLE) / COUNT(*) AS avg_events_per_session,
        MAX(n_events) AS max_events
 FROM closed GROUP BY ROLLUP (host)""",
+    "sliced_sessions": f"WITH {SESSIONS} SELECT session_start, session_end, ip, host, n_events FROM closed",
+    "stream_fan_out": f"""WITH {WEBS},
+hit AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, host, referrer FROM we)
+SELECT CASE WHEN GROUPING(referrer) = 1 THEN 'hosts' ELSE 'referrers' END AS sink, window_start,
+       window_start + INTERVAL 5 MINUTE AS window_end, host, referrer, COUNT(host) AS num_hits
+FROM hit WHERE window_start + INTERVAL 5 MINUTE <= (SELECT w FROM wm)
+GROUP BY GROUPING SETS ((window_start, host, referrer), (window_start, host))""",
+    "stream_late_rows": """WITH ev AS (SELECT event_id % 3 AS part, event_id, ts FROM events),
+top AS (SELECT part, MAX(date_trunc('millisecond', ts)) - INTERVAL 15 SECOND AS w FROM ev GROUP BY part),
+mark AS (SELECT e.part, e.event_id, e.ts, (SELECT MAX(t.w) FROM top t WHERE t.part < e.part) AS w FROM ev e)
+SELECT part, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE ts <= w) AS n_late,
+       COUNT(DISTINCT (event_id, ts)) FILTER (WHERE w IS NULL OR ts > w) AS n_kept
+FROM mark GROUP BY part""",
     "stream_ingest": f"""WITH {WEBS}, {GEO}
 SELECT we.ip, date_trunc('millisecond', we.ts) AS event_timestamp, we.referrer, we.host, we.url,
        g.country, g.state, g.city
