@@ -37,7 +37,7 @@ from .common import chunks, key_of, staged
 
 ORDER, DISCOUNT = 6, 0.75
 #: Text of a block of documents, which share one look-up of their n-grams.
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 25
 #: Blocks in one list of those that want an n-gram; a frequent one has as many lists as it needs.
 LIST_BLOCKS = 1 << 12
 #: Bytes in the stretch whose mean log-ratio is the second feature; share of toxic words in the third.
