@@ -89,3 +89,21 @@ def test_the_conversations_and_an_empty_table(spark):
     check(spark, rows)
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.windows(empty).collect() == [] and chat.read_back(chat.windows(empty)).collect() == []
+
+
+def test_windows_hold_their_budget_in_real_tokens(spark):
+    import public_tokenizers
+    from tidemark.llm import byte_bpe
+
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").select("conv_id", "turn", "role", "text")
+    odd = [(-1, 0, "user", "\n\n  <|im_end|>\n"), (-1, 1, None, None), (-1, 2, "assistant", "  \n"), (-1, 3, "x\ny", "\u00e9" * 5000)]
+    frame = chat.with_tokens(turns.unionByName(spark.createDataFrame(odd, turns.schema)), path, pattern)
+    made = chat.windows(frame, budget=512, history=128, counted="turn_tokens")
+    real = byte_bpe.encode(made, path, pattern, text="formatted").collect()
+    assert len(real) > 10
+    for w in real:
+        assert len(w["ids"]) == w["n_tokens"]  # the sum over the turns is the window's own number
+        assert w["over_budget"] == (w["n_tokens"] > 512)
+        assert not w["over_budget"] or w["n_turns"] - w["n_repeated"] == 1
+    assert sum(w["over_budget"] for w in real) < len(real)

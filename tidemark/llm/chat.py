@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.sequence import null_safe_join, running_totals
+from . import byte_bpe
 from .common import staged
 
 START, END = "<|im_start|>", "<|im_end|>\n"
@@ -47,6 +48,11 @@ def escape_role(role: Column) -> Column:
     return F.replace(plain, F.lit("|"), F.lit("\\p"))
 
 
+def head(role: Column) -> Column:
+    """What stands before a turn's text."""
+    return F.concat(F.lit(START), escape_role(role), F.lit("\n"))
+
+
 def unescape(text: str) -> str:
     return re.sub(r"<\\(\\*)\|", r"<\1|", text)
 
@@ -60,30 +66,44 @@ def token_estimate(text: Column) -> Column:
     return F.ceil(F.octet_length(text) / 4).cast("long")
 
 
+def with_tokens(
+    turns: DataFrame, path: str, pattern: str, role: str = "role", text: str = "text", out: str = "turn_tokens"
+) -> DataFrame:
+    """``turns`` with the number of tokens of each formatted turn, marks and escapes included, under the
+    byte-level ranks at ``path``. A turn ends with a line break behind a sign and the next begins with a
+    sign, where the pattern splits: the numbers of a window's turns sum up to the window's own."""
+    whole = F.concat(head(F.coalesce(F.col(role).cast("string"), F.lit(""))),
+                     escape(F.coalesce(F.col(text).cast("string"), F.lit(""))), F.lit(END))
+    encoded = byte_bpe.encode(turns.withColumn("_whole", whole), path, pattern, text="_whole", ids="_ids")
+    return encoded.withColumn(out, F.size("_ids").cast("long")).drop("_whole", "_ids")
+
+
 def windows(
     turns: DataFrame, budget: int = 1024, history: int = 256, conv_id: str = "conv_id", turn: str = "turn",
-    role: str = "role", text: str = "text", tokens=token_estimate,
+    role: str = "role", text: str = "text", tokens=token_estimate, counted: str | None = None,
 ) -> DataFrame:
-    """(conv_id, window, first_turn, n_repeated, n_turns, n_tokens, over_budget, formatted, loss).
+    """(conv_id, first_turn, n_repeated, n_turns, n_tokens, over_budget, formatted, loss).
+
+    A turn's tokens are ``tokens`` of its text and ``MARKS``, or the column ``counted`` if one is named
+    (see ``with_tokens``). Texts are joined to the finished lists of turns once, at the end.
 
     ``first_turn`` numbers the window's first new turn from 1, ``n_repeated`` counts the turns before
     it (system and history), ``loss`` lists the targets' (start, end) in code points of ``formatted``."""
-    rows = turns.select(
-        F.col(conv_id).alias("conv"), F.col(turn).alias("turn"),
-        F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-    )
-    rows = rows.withColumn("tokens", tokens(F.col("text")) + MARKS)
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((role, "role"), (text, "text"))]
+    number = F.greatest(F.col(counted).cast("long"), F.lit(1)) if counted else None
+    rows = turns.select(F.col(conv_id).alias("conv"), F.col(turn).alias("turn"), *texts, *([number.alias("tokens")] if counted else []))
+    if not counted:
+        rows = rows.withColumn("tokens", tokens(F.col("text")) + MARKS)
     placed = running_totals(rows, ["conv"], ["turn", "role", "text"], "tokens")
-    system = placed.where("position = 1 AND role = 'system'").select(
-        "conv", F.col("tokens").alias("system_tokens"),
-        F.struct("position", "role", "text").alias("system"))
+    placed = staged(placed.select("conv", "position", "role", "text", "tokens", "running"), "chat-turns")
+    said = placed.select("conv", "position", "role", "text")
+    placed = placed.select("conv", "position", "tokens", "running", ((F.col("position") == 1) & (F.col("role") == "system")).alias("leads"))
+    system = placed.where("leads").select("conv", F.col("tokens").alias("system_tokens"))
     placed = null_safe_join(placed, system, ["conv"], "left")
     room = F.greatest(F.lit(budget - history) - F.coalesce("system_tokens", F.lit(0)), F.lit(1))
     cell = F.floor((F.col("running") - F.col("tokens")) / room)
     last = F.floor((F.col("running") - 1) / room)
     placed = placed.select("*", room.alias("room"), last.alias("cell"), (cell < last).alias("across"))
-    placed = staged(placed, "chat-turns")
 
     # spans: (cell, across) is one span, or both together where they fit into the room
     key = ["conv", "cell", "across"]
@@ -102,27 +122,25 @@ def windows(
     width = max(history, 1)
     begins = F.col("running") - F.col("tokens")
     filed = placed.select(
-        F.col("conv"), F.floor(begins / width).alias("strip"), "position", "role", "text", "tokens",
+        F.col("conv"), F.floor(begins / width).alias("strip"), "position", "tokens", "leads",
         begins.alias("begins"))
     ends = spans.select(
         "conv", "first_turn", F.col("from"), F.explode(F.sequence(
             F.floor(F.greatest(F.col("from") - history, F.lit(0)) / width), F.floor(F.col("from") / width))).alias("strip"))
     before = null_safe_join(ends, filed, ["conv", "strip"]).where(
         (F.col("position") < F.col("first_turn")) & (F.col("begins") >= F.col("from") - history)
-    ).select("conv", "first_turn", "position", "role", "text", "tokens", F.lit(False).alias("new"))
-    merged = null_safe_join(
-        placed.select("conv", "cell", "position", "role", "text", "tokens"), spans, ["conv", "cell"]
-    ).where(F.col("position").between(F.col("first_turn"), F.col("last_turn")))
-    own = merged.select("conv", "first_turn", "position", "role", "text", "tokens", F.lit(True).alias("new"))
+    ).where(~F.col("leads")).select("conv", "first_turn", "position", "tokens", F.lit(False).alias("new"))
+    merged = null_safe_join(placed.select("conv", "cell", "position", "tokens"), spans, ["conv", "cell"]).where(
+        F.col("position").between(F.col("first_turn"), F.col("last_turn")))
+    own = merged.select("conv", "first_turn", "position", "tokens", F.lit(True).alias("new"))
     lead = null_safe_join(spans.select("conv", "first_turn"), system, ["conv"]).where("first_turn > 1").select(
-        "conv", "first_turn", F.lit(1).cast("long").alias("position"), F.col("system.role").alias("role"),
-        F.col("system.text").alias("text"), F.col("system_tokens").alias("tokens"), F.lit(False).alias("new"))
-    parts = before.where("position > 1 OR role <> 'system'").unionByName(own).unionByName(lead)
+        "conv", "first_turn", F.lit(1).cast("long").alias("position"), F.col("system_tokens").alias("tokens"), F.lit(False).alias("new"))
+    parts = null_safe_join(before.unionByName(own).unionByName(lead), said, ["conv", "position"])
 
     piece = F.struct(
         "position", "new", "tokens", (F.col("new") & (F.col("role") == "assistant")).alias("target"),
-        F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n")).alias("head"), escape(F.col("text")).alias("body"))
-    # a list is bounded by the budget: every turn has at least MARKS tokens
+        head(F.col("role")).alias("head"), escape(F.col("text")).alias("body"))
+    # a list is bounded by the budget: every turn has at least one token
     listed = parts.groupBy("conv", "first_turn").agg(F.array_sort(F.collect_list(piece)).alias("turns"))
     sizes = F.transform("turns", lambda t: F.length(t["head"]) + F.length(t["body"]) + len(END))
     ends_at = F.transform(F.sequence(F.lit(1), F.size("turns")), lambda i: F.aggregate(

@@ -22,7 +22,9 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
-    return chat.read_back(chat.windows(turns.unionByName(added)))
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    counted = chat.with_tokens(turns.unionByName(added), path, pattern)
+    return chat.read_back(chat.windows(counted, counted="turn_tokens"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
