@@ -75,7 +75,8 @@ def with_tokens(
     whole = F.concat(head(F.coalesce(F.col(role).cast("string"), F.lit(""))),
                      escape(F.coalesce(F.col(text).cast("string"), F.lit(""))), F.lit(END))
     encoded = byte_bpe.encode(turns.withColumn("_whole", whole), path, pattern, text="_whole", ids="_ids")
-    return encoded.withColumn(out, F.size("_ids").cast("long")).drop("_whole", "_ids")
+    # written once: the range partitioning of ``windows`` reads its rows twice, to sample them and to deal them
+    return staged(encoded.withColumn(out, F.size("_ids").cast("long")).drop("_whole", "_ids"), "chat-counted")
 
 
 def windows(
