@@ -60,8 +60,34 @@ def test_edge_cases(spark):
 
 def test_error_bounds_hold():
     rng = np.random.default_rng(2)
-    x, q = rng.normal(size=(500, 64)), rng.normal(size=(50, 64))
-    center = x.mean(axis=0)
-    about, slack = ann.estimate(*ann.encode(x, center), q, center, 3.0)
-    assert (np.abs(q @ x.T - about) <= slack).mean() > 0.99
-    assert abs((q @ x.T - about).mean()) < 0.1
+    for dim in (1, 3, 64, 100):
+        x, q = rng.normal(size=(500, dim)), rng.normal(size=(50, dim))
+        centers = ann.fit(x, 8)
+        about, slack = ann.estimate(*ann.encode(x, centers), q, centers, 3.0)
+        assert (np.abs(q @ x.T - about) <= slack).mean() > 0.99
+        assert abs((q @ x.T - about).mean()) < 0.1
+
+
+def test_planes_equal_the_signs_of_the_code():
+    """Counting shared bits gives the product of the signs with the query, up to its rounding."""
+    rng = np.random.default_rng(3)
+    x, q = rng.normal(size=(40, 70)), rng.normal(size=(9, 70))
+    centers = np.zeros((1, 70))
+    near, bits, length, aligned = ann.encode(x, centers)
+    about, slack = ann.estimate(near, bits, length, aligned, q, centers, 0.0)
+    signs = np.where(x @ ann.rotation(70).T > 0, 1.0, -1.0) / np.sqrt(70)
+    plain = (q @ ann.rotation(70).T) @ signs.T * (length / aligned)
+    assert (np.abs(plain - about) <= slack).all() and slack.max() < 0.05 * np.abs(plain).max()
+
+
+def test_few_vectors_are_reranked_in_clusters():
+    rng = np.random.default_rng(4)
+    middles = rng.normal(size=(40, 64))
+    x = middles[rng.integers(0, 40, 8000)] + 0.15 * rng.normal(size=(8000, 64))
+    q, centers = x[::80], ann.fit(x[:4096])
+    about, slack = ann.estimate(*ann.encode(x, centers), q, centers, 2.5)
+    exact = q @ x.T
+    floor = -np.sort(-exact, axis=1)[:, 20:21]
+    kept = about + slack >= floor
+    assert kept.mean() < 0.1
+    assert kept[exact >= floor].mean() > 0.99
