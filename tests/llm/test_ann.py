@@ -85,7 +85,7 @@ def test_few_vectors_are_reranked_in_clusters():
     middles = rng.normal(size=(40, 64))
     x = middles[rng.integers(0, 40, 8000)] + 0.15 * rng.normal(size=(8000, 64))
     q, centers = x[::80], ann.fit(x[:4096])
-    about, slack = ann.estimate(*ann.encode(x, centers), q, centers, 2.5)
+    about, slack = ann.estimate(*ann.encode(x, centers), q, centers, 2.0)
     exact = q @ x.T
     floor = -np.sort(-exact, axis=1)[:, 20:21]
     kept = about + slack >= floor

@@ -8,7 +8,8 @@ gives, with <q, c> and the scalars, an unbiased estimate of <q, x>. Its error li
 standard deviations plus what rounding to planes can add.
 
 Only codes meet all queries, in two passes over the same staged codes. The first takes each query's
-``k`` + 1 best estimates, whose exact products give a floor: no result lies below it. The second
+``guesses`` * (``k`` + 1) best estimates; the (``k`` + 1)-th best of their exact products is a floor:
+no result lies below it. The second
 keeps the vectors whose upper bound reaches the floor. Original vectors are fetched for those alone,
 by an equi-join, and reranked by the exact product.
 
@@ -197,8 +198,8 @@ def _rerank(asks: pa.Table, held: pa.Table, k: int) -> tuple[list, list, list]:
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding",
-           bound: float = 2.5, block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_QUERIES,
-           sample: int = SAMPLE) -> DataFrame:
+           bound: float = 2.0, block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_QUERIES,
+           sample: int = SAMPLE, guesses: int = 3) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row where ``is_query``, the ``k`` other rows with the
     largest inner product, nearest first, ties to the smaller id."""
     part = vectors.select(
@@ -252,15 +253,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec
         return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
 
     def first(asks: pa.Table, held: pa.Table) -> pa.Table:
-        found = _best(asks, held, centers, k + 1) if asks.num_rows and held.num_rows else ((), (), ())
+        found = _best(asks, held, centers, guesses * (k + 1)) if asks.num_rows and held.num_rows else ((), (), ())
         return pa.table(dict(zip(("query", "kind", "about"), map(pa.array, found, (pa.int64(), pa.int64(), pa.float64())))))
 
     near = Window.partitionBy("query").orderBy(F.desc("about"), "kind")
     guessed = paired(asking, first, "query long, kind long, about double").select(
-        "query", "kind", F.row_number().over(near).alias("n")).where(F.col("n") <= k + 1)
+        "query", "kind", F.row_number().over(near).alias("n")).where(F.col("n") <= guesses * (k + 1))
     product = F.aggregate(F.zip_with("v", "wanted", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     floors = guessed.join(kinds.select("kind", "v"), "kind").join(asking, "query").groupBy("query").agg(
-        F.when(F.count("*") > k, F.min(product)).otherwise(F.lit(float("-inf"))).alias("floor"))
+        F.coalesce(F.get(F.sort_array(F.collect_list(product), asc=False), F.lit(k)), F.lit(float("-inf"))).alias("floor"))
     asking = staged(asking.join(floors, "query"), "ann-asking")
 
     place = "dim int, bq int, br int"
