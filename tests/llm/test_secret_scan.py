@@ -100,8 +100,33 @@ def test_literals_reach_their_own_names():
         assert literals(f"password={value}") == [LITERAL]
 
 
+def test_values_of_everyday_forms():
+    forms = [
+        f'MY_VALUE={LITERAL}; DB_PASSWORD="${{MY_VALUE}}"', f'k="{LITERAL}"; password=f"{{k}}"',
+        f'k = "{LITERAL}"\npassword = "%(k)s"', f'k = "{LITERAL}"\nauth = "$k"',
+        f'pwd = \\\n    "{LITERAL}"', f'pwd =\n    "{LITERAL}"', f'pwd: |\n  {LITERAL}\nname: bob', f'pwd: >-\n  {LITERAL}\n',
+        f"<pwd>{LITERAL}</pwd>", f"<db><pwd kind='a'> {LITERAL} </pwd></db>", f'pwd = os.getenv("PWD", "{LITERAL}")',
+        f'auth = get("{LITERAL}")', f'auth = b64(strip("{LITERAL}"))', f"$pwd = 'ab' . '{LITERAL}';", f'user, pwd = "bob", "{LITERAL}"',
+        f'pwd, user = "{LITERAL}", "Zt7wB4nVs1"', f'pwd = (\n    "ab"\n    "{LITERAL}"\n)', f'pwd = "ab" +\n    "{LITERAL}"',
+        f'self.k = "{LITERAL}"\npassword = self.k', f'k = "{LITERAL}"\npassword = self.k', f'pwd = ["ab", "{LITERAL}"]',
+        f'k = "{LITERAL}"\npwd = wrap(k)',
+    ]
+    for text in forms:
+        assert literals(text) == [LITERAL], (text, literals(text))
+
+
+def test_references_and_calls_are_no_literals():
+    for text in (
+        "password = self.k", "password = config.db_password", 'password = "${DB_PASSWORD_1}"', 'password = f"{vault_entry_9x}"',
+        "password = os.getenv(SOME_NAME)", 'pwd:\n  "Xy9kQ2mLp0": 1', "pwd: |\nname",
+    ):
+        assert literals(text) == [], (text, literals(text))
+    assert literals('password = "pa$Sw0rd9Xy"') == ["pa$Sw0rd9Xy"]  # no such name is known
+    assert literals("pwd: |\n  Ab3dE6gH9k\n  Lm2nP5qR8t\nx: Xy9kQ2mLp0") == ["Ab3dE6gH9k", "Lm2nP5qR8t"]
+
+
 def test_nested_pairs_stay_linear():
-    for line in ("a=", "a:", "Xy9kQ2mL_token=", "a=b+c:", "a: b=", 'a="b=', "a=\"\"\"b=", "password:", "Xy9kQ2mL_token:x+", "a={", "a=b[", "a=((b", "a(=(", "a: b|"):
+    for line in ("a=", "a:", "Xy9kQ2mL_token=", "a=b+c:", "a: b=", 'a="b=', "a=\"\"\"b=", "password:", "Xy9kQ2mL_token:x+", "a={", "a=b[", "a=((b", "a(=(", "a: b|", "a=b(", "a,b=", "a, ", "<a>", "<a ", "a=(\"b\"", "a=\"${b\"", "a=f'{b'+", "a: |\n  ", "a=\\\n", "a=\n'b'", "a='b' . ", "a=f(a,"):
         start = time.process_time()
         ss.scan(line * (200_000 // len(line)) + "z")
         assert time.process_time() - start < 10, line
