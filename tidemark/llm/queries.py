@@ -150,21 +150,33 @@ SELECT d.doc_id,
 FROM documents d LEFT JOIN rebuilt r USING (doc_id)
 """
 
-# The same hash-seeded numbers against each source's Poisson distribution, summed up term by term.
+# The same hash-seeded numbers, one for each part of a rate over 512, against each source's Poisson
+# distribution, summed up term by term as far as the rate asks.
 OP10_SQL = """
 WITH sizes AS (
   SELECT source, sum(length(coalesce(text, '')))::DOUBLE AS size FROM documents GROUP BY source
 ), rates AS (
-  SELECT source, (SELECT sum(size) FROM sizes) / (SELECT count(*) FROM sizes) / size AS rate FROM sizes
+  SELECT source, CASE WHEN size > 0 THEN (SELECT sum(size) FROM sizes) / (SELECT count(*) FROM sizes) / size END AS rate
+  FROM sizes
+), parts AS (
+  SELECT source, ceil(rate / 512)::BIGINT AS parts, rate / ceil(rate / 512) AS part FROM rates WHERE rate IS NOT NULL
+), terms AS (
+  SELECT source, part, unnest(range(0, ceil(part + 12 * sqrt(part) + 17)::BIGINT)) AS k FROM parts
 ), series AS (
-  SELECT source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cumulative
-  FROM rates, range(0, 400) AS r(k)
+  SELECT source, sum(exp(-part + k * ln(part) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cumulative
+  FROM terms
+), draws AS (
+  SELECT d.doc_id, d.source, unnest(range(1, p.parts + 1)) AS i
+  FROM documents d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source
 ), drawn AS (
   SELECT doc_id, source,
-         ('0x' || substr(md5('7|' || coalesce(doc_id::VARCHAR, '') || '|1'), 1, 13))::BIGINT / 4503599627370496.0 AS u
-  FROM documents
+         ('0x' || substr(md5('7|' || coalesce(doc_id::VARCHAR, '') || '|' || i), 1, 13))::BIGINT / 4503599627370496.0 AS u
+  FROM draws
 ), times AS (
-  SELECT doc_id, count(*) AS n FROM drawn JOIN series USING (source) WHERE cumulative <= u GROUP BY doc_id
+  SELECT doc_id, count(*) AS n FROM drawn JOIN series ON drawn.source IS NOT DISTINCT FROM series.source
+  WHERE cumulative <= u GROUP BY doc_id
+  UNION ALL
+  SELECT doc_id, 1 FROM documents d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source WHERE rate IS NULL
 )
 SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c.copy
 FROM documents d JOIN times t USING (doc_id), LATERAL (SELECT unnest(range(t.n))::INTEGER AS copy) c
