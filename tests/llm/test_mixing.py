@@ -77,3 +77,18 @@ def test_edge_cases(spark):
     assert {r["source"] for r in mixing.mix(docs, odd).collect()} <= {None}
     none = spark.createDataFrame([], "source string, weight double")
     assert mixing.mix(docs, none).collect() == []
+
+
+def test_sql_at_rates_of_several_parts(spark, tmp_path):
+    import duckdb
+
+    from tidemark.llm import queries
+
+    rows = [(1, "a", "en", "small", 1), (2, "b" * 4000, "en", "large", 4000), (3, None, "en", "empty", 0), (4, "c" * 9, "en", None, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        want = sorted(db.execute(f"SELECT doc_id, copy FROM ({queries.OP10_SQL})").fetchall())
+    got = sorted(tuple(r) for r in queries.op10_mixing(spark, str(tmp_path)).select("doc_id", "copy").collect())
+    assert got == want and len(want) > 900 and (3, 0) in want
