@@ -161,3 +161,26 @@ def test_each_gram_keeps_its_own_ratio(spark):
         data = toxicity.PAD + (t or "").lower().encode().translate(toxicity.SPACES, toxicity.LEADS).replace(b" ", toxicity.PAD)
         ratios = [by_gram.get(g, by_context.get(g >> 8, 0.0)) for g in toxicity._grams(data).tolist()]
         assert np.isclose(got[i], np.mean(ratios or [0.0]), atol=1e-5), (i, t)
+
+
+def test_a_task_scores_a_block_in_portions():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    words = ["".join(map(chr, rng.integers(97, 123, 7))) for _ in range(2000)]
+    texts = [" ".join(rng.choice(words, 2000)) for _ in range(260)]  # 4 MB in all
+    piece = pa.table({"doc_id": range(260), "text": texts, toxicity.TEXT_HASH: range(260)})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, piece.schema) as out:
+        out.write_table(piece)
+    block = pa.table({"block": pa.array([0], pa.int32()), "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+    grams = toxicity._wanted(block)["gram"]
+    model = pa.table({"gram": grams, "ratio": pa.array(rng.normal(size=len(grams)).astype("float32"))})
+    tracemalloc.start()
+    got = toxicity._block_features(block, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got["doc_id"].to_pylist() == list(range(260))
+    assert peak < 80 << 20, f"{peak >> 20} MB for 4 MB of text"

@@ -38,6 +38,8 @@ from .common import chunks, key_of, staged
 ORDER, DISCOUNT = 6, 0.75
 #: Text of a block of documents, which share one look-up of their n-grams.
 BLOCK_BYTES = 1 << 25
+#: Text that a task scores at a time: arrays of eight bytes for each of its n-grams exist only for so much.
+SCORED_BYTES = 1 << 20
 #: Blocks in one list of those that want an n-gram; a frequent one has as many lists as it needs.
 LIST_BLOCKS = 1 << 12
 #: Bytes in the stretch whose mean log-ratio is the second feature; share of toxic words in the third.
@@ -209,7 +211,7 @@ def _wanted(block: pa.Table) -> pa.Table:
     words: set[bytes] = set()
     for rows in _unpacked(block):
         plain = _plain(rows["text"])
-        for a, b in chunks(plain, 1 << 22):
+        for a, b in chunks(plain, SCORED_BYTES):
             words.update(_words(plain[a:b]).dictionary.to_pylist())
     every, found = list(words), [np.zeros(0, dtype="int64")]
     for a, b in chunks(every, 1 << 20):
@@ -230,7 +232,28 @@ def _ratios(words: pa.DictionaryArray, grams: np.ndarray, ratios: np.ndarray) ->
     of = words.indices.to_numpy()
     n = length[of]
     shift = start[of] - (np.cumsum(n) - n)
-    return ratios[place][np.repeat(shift, n) + np.arange(n.sum())]
+    where = np.repeat(shift, n)
+    where += np.arange(len(where))
+    return ratios[place][where]
+
+
+def _block_features(block: pa.Table, model: pa.Table) -> pa.Table:
+    """(doc_id, ``TEXT_HASH``, the ``FEATURES``) of a block's documents, by the ratios of its n-grams."""
+    order = np.argsort(model["gram"].to_numpy())
+    grams, ratios = model["gram"].to_numpy()[order], model["ratio"].to_numpy()[order]
+    ids, hashes, parts = [], [], []
+    for rows in _unpacked(block):
+        ids += rows["doc_id"].chunks
+        hashes += rows[TEXT_HASH].chunks
+        plain = _plain(rows["text"])
+        for a, b in chunks(plain, SCORED_BYTES):
+            some = plain[a:b]
+            data = PAD + b" ".join(some).replace(b" ", PAD)
+            ends = np.cumsum([len(PAD) + len(x) + (len(PAD) - 1) * x.count(b" ") for x in some])
+            ratio = _ratios(_words(some), grams, ratios)[: len(data) - len(PAD)]
+            parts.append(_summed(data, ratio, ends))
+    every = [np.concatenate(x) for x in zip(*parts)]
+    return pa.table({"doc_id": pa.chunked_array(ids), TEXT_HASH: pa.chunked_array(hashes), **dict(zip(FEATURES, every))})
 
 
 def with_features(texts: DataFrame, seen: DataFrame, unseen: DataFrame) -> DataFrame:
@@ -248,25 +271,8 @@ def with_features(texts: DataFrame, seen: DataFrame, unseen: DataFrame) -> DataF
     ratio = F.coalesce("ratio", "backoff", F.lit(0.0)).cast("float")
     model = known.select(F.explode("blocks").alias("block"), "gram", ratio.alias("ratio"))
 
-    def run(block: pa.Table, model: pa.Table) -> pa.Table:
-        order = np.argsort(model["gram"].to_numpy())
-        grams, ratios = model["gram"].to_numpy()[order], model["ratio"].to_numpy()[order]
-        ids, hashes, parts = [], [], []
-        for rows in _unpacked(block):
-            ids += rows["doc_id"].chunks
-            hashes += rows[TEXT_HASH].chunks
-            plain = _plain(rows["text"])
-            for a, b in chunks(plain, 1 << 22):
-                some = plain[a:b]
-                data = PAD + b" ".join(some).replace(b" ", PAD)
-                ends = np.cumsum([len(PAD) + len(x) + (len(PAD) - 1) * x.count(b" ") for x in some])
-                ratio = _ratios(_words(some), grams, ratios)[: len(data) - len(PAD)]
-                parts.append(_summed(data, ratio, ends))
-        every = [np.concatenate(x) for x in zip(*parts)]
-        return pa.table({"doc_id": pa.chunked_array(ids), TEXT_HASH: pa.chunked_array(hashes), **dict(zip(FEATURES, every))})
-
     schema = T.StructType([texts.schema["doc_id"], T.StructField(TEXT_HASH, T.LongType()), *(T.StructField(n, T.DoubleType()) for n in FEATURES)])
-    return blocks.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(run, schema)
+    return blocks.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(_block_features, schema)
 
 
 def _curve(rows: list[tuple]) -> list[float] | None:
