@@ -304,3 +304,17 @@ def test_predicate_in_join_prunes_partitions(spark):
     joined = facts.join(keys, (facts["id"] == keys["k"]) & (facts["day"] == 3))
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and joined.count() == 10
+
+
+def test_layouts_of_a_large_input_are_written_by_many_tasks(spark, monkeypatch):
+    from tidemark.operators import layout
+
+    real = layout.storage_size
+
+    def large(spark, path, name):
+        size = real(spark, path, name)
+        return size.withColumn("total_bytes", F.lit(300 << 20)) if name == "input" else size
+
+    monkeypatch.setattr(layout, "storage_size", large)
+    report = layout.write_layouts(spark, spark.range(1000), {"sorted": ["id"]}).first()
+    assert (report["n_files"], report["n_rows"]) == (10, 1000)

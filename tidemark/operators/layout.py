@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from ..session import staging_path
 
 
-#: Bytes that a task writes to one file.
-FILE_BYTES = 256 << 20
+#: Bytes that a task writes to one file: few enough that one task's sort is short and all cores write.
+FILE_BYTES = 32 << 20
 
 
 def storage_size(spark: SparkSession, path: str, layout: str) -> DataFrame:
