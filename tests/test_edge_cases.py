@@ -306,6 +306,15 @@ def test_predicate_in_join_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(day" in plan and joined.count() == 10
 
 
+def test_keep_first_by_every_column_carries_a_row_once(spark):
+    rows = [(1, 2, "b"), (1, None, "z"), (1, 2, "a"), (2, 3, None), (2, 3, "c"), (None, 1, "n"), (None, 1, "n")]
+    df = spark.createDataFrame(rows, "k int, o int, v string").select("k", "v", "o")
+    for descending in (False, True):
+        one = keep_first(df, ["k"], ["o", "v"], descending=descending)
+        assert "min_by" not in one._jdf.queryExecution().toString() and "max_by" not in one._jdf.queryExecution().toString()
+        assertDataFrameEqual(one, keep_first(df, ["k"], ["o", "v"], descending=descending, method="window"))
+
+
 def test_layouts_of_a_large_input_are_written_by_many_tasks(spark, monkeypatch):
     from tidemark.operators import layout
 
@@ -318,3 +327,19 @@ def test_layouts_of_a_large_input_are_written_by_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(layout, "storage_size", large)
     report = layout.write_layouts(spark, spark.range(1000), {"sorted": ["id"]}).first()
     assert (report["n_files"], report["n_rows"]) == (10, 1000)
+
+
+def test_small_tasks_follow_the_size_of_the_source(spark, tmp_path, monkeypatch):
+    from tidemark.plans import joins
+
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    before, seen = [spark.conf.get(k) for k in keys], []
+
+    def make():
+        seen.extend(spark.conf.get(k) for k in keys)
+        return spark.range(5)
+
+    monkeypatch.setattr(joins, "estimated_bytes", lambda df: 100 * joins.SHUFFLED + 1)
+    assert joins.in_small_tasks(spark.range(1), make, str(tmp_path / "out")).count() == 5
+    assert seen == ["101", str(joins.SHUFFLED), str(joins.SCANNED)]
+    assert [spark.conf.get(k) for k in keys] == before

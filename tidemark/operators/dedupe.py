@@ -20,7 +20,8 @@ def keep_first(
 
     ``method="aggregate"`` (default): ``min_by``/``max_by`` over a struct of the row. The
     aggregate combines map-side, so a key holding a large share of the rows never lands whole
-    in one task. ``method="window"``: ``row_number`` over (keys, order) — one sort, somewhat
+    in one task. When ``order`` names every other column, the row is its own order: a plain ``min`` or
+    ``max`` of one struct, whose rows are half as wide in both sorts of the aggregate. ``method="window"``: ``row_number`` over (keys, order) — one sort, somewhat
     faster when keys are known to be small groups, but each key is sorted in one task.
     """
     if not order:
@@ -38,5 +39,8 @@ def keep_first(
     value_cols = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.col(c) for c in value_cols])
     ordering = F.struct(*[F.col(c) for c in order])
-    pick = F.max_by(row, ordering) if descending else F.min_by(row, ordering)
-    return df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*")
+    if set(order) == set(value_cols):
+        pick = F.max(ordering) if descending else F.min(ordering)
+    else:
+        pick = F.max_by(row, ordering) if descending else F.min_by(row, ordering)
+    return df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, *[F.col("_row")[c].alias(c) for c in value_cols])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,27 @@ def scoped_setting(spark: SparkSession, key: str, value: str):
         spark.conf.set(key, old)
 
 
+#: Shuffled and scanned bytes to a task of ``in_small_tasks``.
+SHUFFLED, SCANNED = 16 << 20, 16 << 20
+
+
+def in_small_tasks(source: DataFrame, make: Callable[[], DataFrame], path: str) -> DataFrame:
+    """What ``make`` gives, written to ``path`` by tasks of few rows, however large ``source`` is: there are
+    as many shuffle partitions as its bytes want, so that the memory of a task's sorts and hash tables
+    does not follow the size of the input."""
+    spark = source.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    n = max(int(spark.conf.get(key)), -(-estimated_bytes(source) // SHUFFLED))
+    with (
+        scoped_setting(spark, key, str(n)),
+        scoped_setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(SHUFFLED)),
+        scoped_setting(spark, "spark.sql.files.maxPartitionBytes", str(SCANNED)),
+    ):
+        made = make()
+        made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def broadcast_threshold(spark: SparkSession, value: str):
     """Scope ``spark.sql.autoBroadcastJoinThreshold`` (e.g. "-1" to show sort-merge plans)."""
     return scoped_setting(spark, "spark.sql.autoBroadcastJoinThreshold", value)

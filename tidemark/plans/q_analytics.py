@@ -10,6 +10,7 @@ from ..functions.numeric import cents
 from ..operators import cubes, graph, rollups, trends
 from ..operators.dedupe import dedupe_rows, keep_first
 from ..operators.funnel import funnel
+from ..plans.joins import in_small_tasks
 from ..session import staging_path
 from ..sources import adapters
 from ..sources.tables import Tables
@@ -94,8 +95,12 @@ def q_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- game facts: dedupe, cube, stretch, streak ---
 
 def deduped_details(t: Tables) -> DataFrame:
-    one = keep_first(adapters.box_scores(t), ["player_id", "game_id"], list(DETAILS_ORDER))
-    return adapters.with_player_team(t, one)
+    """Details are read by several parts of most queries: they are written once."""
+    def details() -> DataFrame:
+        one = keep_first(adapters.box_scores(t), ["player_id", "game_id"], list(DETAILS_ORDER))
+        return adapters.with_player_team(t, one)
+
+    return in_small_tasks(t.lineitem, details, staging_path(t.spark, "game-details"))
 
 
 def game_facts(t: Tables) -> DataFrame:
@@ -114,7 +119,11 @@ def team_games(facts: DataFrame) -> DataFrame:
 
 
 def q_game_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = game_facts(Tables(spark, sf_dir))
+    t = Tables(spark, sf_dir)
+    return in_small_tasks(t.lineitem, lambda: game_cube(game_facts(t)), staging_path(spark, "game-cube"))
+
+
+def game_cube(facts: DataFrame) -> DataFrame:
     tg = team_games(facts).select("game_id", "team_id", "won", "rep_player")
     # a player wins each game that the team wins; a team's win counts once, at its first player
     won = F.col("won").cast("int")
@@ -144,14 +153,18 @@ def q_game_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_best_90_game_stretch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tg = team_games(game_facts(Tables(spark, sf_dir)))
-    out = trends.best_stretch(tg, ["team_abbreviation"], ["game_date", "game_id"], F.col("won"), STRETCH_GAMES)
+    t = Tables(spark, sf_dir)
+    out = in_small_tasks(t.lineitem, lambda: trends.best_stretch(
+        team_games(game_facts(t)), ["team_abbreviation"], ["game_date", "game_id"], F.col("won"), STRETCH_GAMES,
+    ), staging_path(spark, "best-stretch"))
     return out.select("team_abbreviation", F.col("rows").alias("games"), F.col(f"best_{STRETCH_GAMES}").alias("best_90_game_wins"))
 
 
 def q_longest_scoring_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = game_facts(Tables(spark, sf_dir))
-    out = trends.longest_streak(facts, ["player_name"], ["game_date", "game_id"], F.col("pts") > STREAK_POINTS)
+    t = Tables(spark, sf_dir)
+    out = in_small_tasks(t.lineitem, lambda: trends.longest_streak(
+        game_facts(t), ["player_name"], ["game_date", "game_id"], F.col("pts") > STREAK_POINTS,
+    ), staging_path(spark, "longest-streak"))
     return out.select("player_name", F.col("rows").alias("games"), "longest_streak")
 
 
@@ -194,9 +207,7 @@ def q_player_player_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def graph_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(vertices, edges) of the whole graph: player, game and team vertices; plays_in,
     shares_team and plays_against edges."""
-    path = staging_path(t.spark, "game-details")
-    deduped_details(t).write.parquet(path)  # read by five parts of the graph, computed once
-    details = t.spark.read.parquet(path)
+    details = deduped_details(t)  # read by five parts of the graph
     facts = details.join(adapters.game_dates(t), "game_id")
     players = details.groupBy("player_id").agg(
         F.min("player_name").alias("player_name"), F.count(F.lit(1)).alias("games"), F.sum("pts").alias("pts")
@@ -239,7 +250,11 @@ def q_graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_graph_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row and key counts per vertex and edge type (the key uniqueness check of the DDL)."""
-    v, e = graph_tables(Tables(spark, sf_dir))
+    t = Tables(spark, sf_dir)
+    return in_small_tasks(t.lineitem, lambda: graph_counts(*graph_tables(t)), staging_path(spark, "graph-counts"))
+
+
+def graph_counts(v: DataFrame, e: DataFrame) -> DataFrame:
     vk = v.select(F.lit("vertex").alias("kind"), "type", F.concat_ws("|", "identifier", "type").alias("key"))
     ek = e.select(
         F.lit("edge").alias("kind"), F.col("edge_type").alias("type"),
