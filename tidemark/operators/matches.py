@@ -96,14 +96,15 @@ def match_facts(
     are joined to the (size-checked) medal dimension and aggregated per (match, player) before
     the fact join; the 25-row map dimension is broadcast.
     """
-    named = medal_rows.join(bounded_broadcast(medals.select("medal_id", F.col("name").alias("medal_name"))), "medal_id")
-    # The per-player aggregate reuses the match_id bucketing (no exchange). The (match, player)
-    # join then shuffles on both keys: co-partitioning on match_id alone would put a hot match
+    sprees = medals.select("medal_id", (F.col("name") == KILLING_SPREE).alias("is_spree"))  # a flag is shorter than a name
+    named = medal_rows.join(bounded_broadcast(sprees), "medal_id")
+    # The per-player aggregate reuses the match_id bucketing (no exchange, if the medals are few
+    # enough to be broadcast). The (match, player) join then shuffles on both keys: co-partitioning on match_id alone would put a hot match
     # in one task (Spark's default requireAllClusterKeysForCoPartition), and AQE can split a
     # skewed (match, player) partition.
     per_player = named.groupBy("match_id", "player_gamertag").agg(
         F.sum("count").alias("n_medals"),
-        F.sum(F.when(F.col("medal_name") == KILLING_SPREE, F.col("count")).otherwise(0)).alias("killing_sprees"),
+        F.sum(F.when(F.col("is_spree"), F.col("count")).otherwise(0)).alias("killing_sprees"),
     )
     facts = details.join(matches, "match_id").join(per_player, ["match_id", "player_gamertag"], "left")
     maps_b = bounded_broadcast(maps.select("mapid", F.col("name").alias("map_name")))

@@ -7,16 +7,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, BinaryType, StringType
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
-    """Broadcast ``df`` only if the optimizer bounds its size by ``max_bytes``.
+#: Bytes of rows in memory up to which one side of a join may be broadcast.
+BROADCAST_BYTES = 32 << 20
 
-    The estimate comes from the statistics of the plan (file sizes of the scans, which joins and
-    aggregates do not raise without bound), so no job runs for it. Beyond the bound the plain
-    DataFrame is returned, and the planner and AQE pick a join by the sizes they see.
-    """
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if its rows take ``max_bytes`` in memory at most, else join it by sort-merge."""
+    return F.broadcast(df) if _fits(df, max_bytes) else df.hint("merge")
+
+
+def bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` for a join that the planner picks, but by sort-merge if its rows take more than ``max_bytes``."""
+    return df if _fits(df, max_bytes) else df.hint("merge")
+
+
+def _fits(df: DataFrame, max_bytes: int) -> bool:
+    """Whether the rows of ``df`` take ``max_bytes`` at most. The optimizer's estimate (no job) rules out
+    what is large in files already. It is of compressed files, and all that the planner holds against its
+    threshold: a few MB of Parquet may be millions of rows, which the driver would collect and hash. So
+    what passes is counted."""
+    return estimated_bytes(df) <= max_bytes and row_bytes(df) <= max_bytes
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of ``df`` as Spark holds them in memory, from one job that counts the rows and the
+    bytes of their texts: 8 for the nulls of 64 columns, 8 for each column, and what a text takes besides.
+    Nested columns count as their text."""
+    df = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # names may repeat
+    texts = [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType)) or not isinstance(f.dataType, AtomicType)]
+    held = [F.coalesce(F.sum(F.ceil(F.octet_length(F.col(c).cast("string")) / 8) * 8), F.lit(0)) for c in texts]
+    n, *long = df.agg(F.count(F.lit(1)), *held).first()
+    return n * 8 * (-(-len(df.columns) // 64) + len(df.columns)) + sum(long)
 
 
 @contextlib.contextmanager

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import cents, milli
 from ..operators.geo import BASE_IP, long_to_ip
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import bounded, bounded_broadcast
 from .tables import Tables
 
 # Fixed values of the stand-in mapping.
@@ -177,7 +177,7 @@ def purchase_activity(t: Tables) -> DataFrame:
 def matches(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
     c = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("mapid"))
-    return o.join(c, "o_custkey").select(
+    return o.join(bounded(c), "o_custkey").select(
         F.col("o_orderkey").alias("match_id"),
         F.col("o_orderpriority").alias("playlist_id"),
         F.col("mapid").cast("long").alias("mapid"),
